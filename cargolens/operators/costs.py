@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,23 +60,22 @@ def gold(silver_rows: DataFrame) -> DataFrame:
     The exact distinct count runs as its own narrow aggregation. Beside the sums it
     would force all of them through a shuffle on (route day, cost id), one wide row
     per cost row; apart, the sums combine before they are shuffled and only the id
-    travels.
+    travels. The two meet on the route day as one struct, which is equal to itself
+    even with a null inside, and a reader that skips the count skips its branch.
     """
-    sums = silver_rows.groupBy(*ROUTE_KEYS).agg(
+    rows = silver_rows.withColumn("_route_day", F.struct(*ROUTE_KEYS))
+    sums = rows.groupBy("_route_day").agg(
         F.sum("delivery_count").alias("total_deliveries"),
-        exact_sum(silver_rows, "planned_cost").alias("planned_cost"),
-        exact_sum(silver_rows, "actual_total_cost").alias("actual_cost"),
-        *[exact_sum(silver_rows, part).alias(part) for part in COST_PARTS],
-        exact_sum(silver_rows, "actual_distance_km").alias("total_distance_km"),
+        exact_sum(rows, "planned_cost").alias("planned_cost"),
+        exact_sum(rows, "actual_total_cost").alias("actual_cost"),
+        *[exact_sum(rows, part).alias(part) for part in COST_PARTS],
+        exact_sum(rows, "actual_distance_km").alias("total_distance_km"),
         stable_avg(F.col("vehicle_utilization_pct")).alias("avg_vehicle_utilization_pct"),
-        exact_avg(silver_rows, "actual_duration_minutes").alias("avg_delivery_duration_minutes"),
+        exact_avg(rows, "actual_duration_minutes").alias("avg_delivery_duration_minutes"),
         stable_avg(F.col("duration_variance_minutes")).alias("avg_duration_variance_minutes"),
     )
-    ids = silver_rows.groupBy(*[F.col(k).alias(f"_{k}") for k in ROUTE_KEYS]).agg(
-        F.count_distinct("cost_id").alias("cost_record_count")
-    )
-    same_group = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ROUTE_KEYS])
-    totals = sums.join(ids, same_group).drop(*[f"_{k}" for k in ROUTE_KEYS])
+    ids = rows.groupBy("_route_day").agg(F.count_distinct("cost_id").alias("cost_record_count"))
+    totals = sums.join(ids, "_route_day", "left").select("_route_day.*", "*").drop("_route_day")
     actual = number("actual_cost")
     # Decimal money is subtracted as decimal, then divided as double.
     gap = (F.col("actual_cost") - F.col("planned_cost")).cast("double")

@@ -175,6 +175,10 @@ _VIEWS["current_costs"] = """
 SELECT * FROM transportation_costs
 QUALIFY row_number() OVER (PARTITION BY cost_id ORDER BY updated_at DESC, vehicle_id DESC, route_id DESC) = 1"""
 
+_VIEWS["heavy_costs"] = """
+SELECT * FROM transportation_costs WHERE used_capacity > 25
+QUALIFY row_number() OVER (PARTITION BY cost_id ORDER BY updated_at DESC, vehicle_id DESC, route_id DESC) = 1"""
+
 GOLD_MONEY = "planned_cost actual_cost fuel_cost driver_cost toll_cost maintenance_cost other_cost total_distance_km".split()
 COST_DECIMALS = (
     "planned_distance_km actual_distance_km planned_cost fuel_cost driver_cost toll_cost maintenance_cost other_cost "
@@ -306,20 +310,20 @@ FROM (SELECT s.*, date_diff('second', planned_arrival_timestamp, estimated_arriv
 
 
 def _upsert() -> str:
-    """Known heavy loads take the revised measures; every heavy load adds its return trip."""
+    """A key with a heavy load takes the revised measures of its latest one; that load adds a return trip."""
     revised = {
-        "other_cost": "other_cost + 5",
-        "actual_total_cost": "actual_total_cost + 5",
-        "updated_at": "updated_at + INTERVAL '1' DAY",
+        "other_cost": "h.other_cost + 5",
+        "actual_total_cost": "h.actual_total_cost + 5",
+        "updated_at": "h.updated_at + INTERVAL '1' DAY",
     }
     changed = ", ".join(
-        f"CASE WHEN used_capacity > 25 THEN {revised[c]} ELSE {c} END AS {c}" for c in COST_UPDATE_COLUMNS if c in revised
+        f"CASE WHEN h.cost_id IS NOT NULL THEN {revised.get(c, f'h.{c}')} ELSE b.{c} END AS {c}" for c in COST_UPDATE_COLUMNS
     )
     return f"""
 SELECT * {AS_COST} FROM (
-  SELECT * REPLACE ({changed}) FROM current_costs
+  SELECT b.* REPLACE ({changed}) FROM current_costs b LEFT JOIN heavy_costs h ON b.cost_id = h.cost_id
   UNION ALL
-  SELECT * REPLACE (concat('return-', cost_id) AS cost_id) FROM current_costs WHERE used_capacity > 25)"""
+  SELECT * REPLACE (concat('return-', cost_id) AS cost_id) FROM heavy_costs)"""
 
 
 def _seconds(start: str, end: str) -> str:

@@ -391,26 +391,36 @@ def bi_filtered_cost(spark: SparkSession, sf: str) -> DataFrame:
 # -- tables by key, lifecycle ------------------------------------------------------------
 
 
+COST_ORDER = ["updated_at", "vehicle_id", "route_id"]
+
+
 def _cost_feed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Current cost rows, and a feed that revises heavy loads and adds their return trips."""
-    base = latest.latest_by_key(_costs(spark, sf), ["cost_id"], ["updated_at", "vehicle_id", "route_id"])
-    heavy = base.filter(F.col("used_capacity") > 25)
-    revised = heavy.withColumns(
+    """Current cost rows, and a feed that revises heavy loads and adds their return trips.
+
+    The feed repeats keys: an older version of every revision comes after it.
+    """
+    rows = _costs(spark, sf)
+    kind = F.explode(F.array(*[F.lit(k) for k in ("revised", "stale", "return")]))
+    heavy = rows.filter(F.col("used_capacity") > 25).withColumn("_kind", kind)
+    revised, returned = F.col("_kind") == "revised", F.col("_kind") == "return"
+    money = "decimal(12,2)"
+    feed = heavy.withColumns(
         {
-            "other_cost": (F.col("other_cost") + 5).cast("decimal(12,2)"),
-            "actual_total_cost": (F.col("actual_total_cost") + 5).cast("decimal(12,2)"),
-            "region": F.lit("ignored: not among the updated columns"),
-            "updated_at": F.col("updated_at") + F.expr("INTERVAL '1' DAY"),
+            "cost_id": F.when(returned, F.concat(F.lit("return-"), "cost_id")).otherwise(F.col("cost_id")),
+            "region": F.when(returned, F.col("region")).otherwise(F.lit("not an updated column")),
+            "other_cost": F.when(revised, F.col("other_cost") + 5).otherwise(F.col("other_cost")).cast(money),
+            "actual_total_cost": F.when(revised, F.col("actual_total_cost") + 5)
+            .otherwise(F.col("actual_total_cost"))
+            .cast(money),
+            "updated_at": F.when(revised, F.col("updated_at") + F.expr("INTERVAL '1' DAY")).otherwise(F.col("updated_at")),
         }
-    )
-    stale = revised.withColumns({"updated_at": F.col("created_at"), "other_cost": F.lit(0).cast("decimal(12,2)")})
-    returns = heavy.withColumn("cost_id", F.concat(F.lit("return-"), "cost_id"))
-    return base, revised.unionByName(stale).unionByName(returns)
+    ).drop("_kind")
+    return latest.latest_by_key(rows, ["cost_id"], COST_ORDER), feed
 
 
 def upsert_cost(spark: SparkSession, sf: str) -> DataFrame:
     base, changes = _cost_feed(spark, sf)
-    return latest.upsert(base, changes, ["cost_id"], COST_UPDATE_COLUMNS, ["updated_at"])
+    return latest.upsert(base, changes, ["cost_id"], COST_UPDATE_COLUMNS, COST_ORDER)
 
 
 def insert_absent(spark: SparkSession, sf: str) -> DataFrame:

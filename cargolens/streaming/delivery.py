@@ -66,27 +66,27 @@ def write_quarantine(rejected: DataFrame, batch_id: int, tables: DeliveryTables)
 
 
 def write_serving(good: DataFrame, batch_id: int, tables: DeliveryTables) -> None:
-    """Admitted events into history first, then both states; computed once."""
-    held = good.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_month_slice(held, tables.history, batch_id, "event_timestamp", SORT_KEYS["delivery_events"])
-        state = latest_by_key(ev.delivery_projection(held), ["delivery_id"], ev.DELIVERY_STATE_ORDER)
-        write_slice(state, tables.deliveries, batch_id)
-        vehicles = latest_by_key(ev.vehicle_projection(held), ["vehicle_id"], ev.VEHICLE_STATE_ORDER)
-        write_slice(vehicles, tables.vehicles, batch_id)
-    finally:
-        held.unpersist()
+    """Admitted events into history first, then both states."""
+    write_month_slice(good, tables.history, batch_id, "event_timestamp", SORT_KEYS["delivery_events"])
+    state = latest_by_key(ev.delivery_projection(good), ["delivery_id"], ev.DELIVERY_STATE_ORDER)
+    write_slice(state, tables.deliveries, batch_id)
+    vehicles = latest_by_key(ev.vehicle_projection(good), ["vehicle_id"], ev.VEHICLE_STATE_ORDER)
+    write_slice(vehicles, tables.vehicles, batch_id)
 
 
-def write_batch(parsed: DataFrame, batch_id: int, tables: DeliveryTables) -> None:
-    """One micro-batch into quarantine and serving tables.
+def write_batch(rows: DataFrame, batch_id: int, tables: DeliveryTables) -> None:
+    """One micro-batch, parsed once, into quarantine and serving tables.
 
     Every write replaces what an earlier attempt at the same batch left behind.
     """
-    held = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_quarantine(held.filter(rejected_delivery()), batch_id, tables)
-        write_serving(held.filter(is_valid_delivery()).drop("is_corrupt"), batch_id, tables)
+        if "is_corrupt" in held.columns:
+            write_quarantine(held.filter(rejected_delivery()), batch_id, tables)
+            held_good = held.filter(is_valid_delivery()).drop("is_corrupt")
+        else:
+            held_good = held
+        write_serving(held_good, batch_id, tables)
     finally:
         held.unpersist()
 
@@ -110,7 +110,7 @@ def start(
         return [run(parsed, "delivery-serving", lambda df, batch_id: write_batch(df, batch_id, tables))]
     rejected = parsed.filter(rejected_delivery())
     return [
-        run(valid_events(values, dedup=True), "delivery-serving", lambda df, batch_id: write_serving(df, batch_id, tables)),
+        run(valid_events(values, dedup=True), "delivery-serving", lambda df, batch_id: write_batch(df, batch_id, tables)),
         run(rejected, "delivery-quarantine", lambda df, batch_id: write_quarantine(df, batch_id, tables)),
     ]
 
