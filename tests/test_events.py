@@ -1,0 +1,131 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from cargolens.operators import events as ev
+from cargolens.operators.latest import insert_absent, latest_by_key, upsert
+
+SCHEMA = (
+    "event_id string, status string, event_timestamp timestamp, delivery_id string, vehicle_id string, route_id string, "
+    "region string, warehouse_id string, delay_minutes int, capacity_used double, capacity_total double, "
+    "order_value double, package_count int, planned_distance_km double"
+)
+
+
+def event(i, status, delay, used, total, value=1.0, packages=1, km=1.0, at=datetime(2024, 5, 1, 10), delivery="d1"):
+    return (str(i), status, at, delivery, "v1", "r1", "north", "w1", delay, used, total, value, packages, km)
+
+
+def kpi_row(spark, rows):
+    found = ev.daily_kpi(ev.enrich(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert len(found) == 1
+    return found[0]
+
+
+def test_daily_kpi_by_hand(spark):
+    row = kpi_row(
+        spark,
+        [
+            event(1, "DELIVERED", 0, 50.0, 100.0, 10.0, 1, 5.0),
+            event(2, "DELIVERED", 10, 80.0, 100.0, 20.5, 2, 7.0),
+            event(3, "IN_TRANSIT", None, 5.0, 0.0, 5.0, 3, 9.0),
+        ],
+    )
+    assert (row["business_date"], row["region"], row["warehouse_id"]) == (date(2024, 5, 1), "north", "w1")
+    assert (row["completed_deliveries"], row["delayed_deliveries"], row["on_time_deliveries"]) == (2, 1, 2)
+    assert row["delay_rate"] == pytest.approx(1 / 3)
+    assert row["on_time_rate"] == pytest.approx(2 / 3)
+    assert row["avg_delay_minutes"] == 5.0  # the null delay is skipped
+    assert row["avg_vehicle_utilization"] == pytest.approx(1.3 / 3)
+    assert (row["total_order_value"], row["total_package_count"], row["avg_distance_km"]) == (35.5, 6, 7.0)
+
+
+def test_on_time_rate_may_exceed_one(spark):
+    row = kpi_row(spark, [event(i, "IN_TRANSIT", 0, 1.0, 2.0) for i in range(3)])
+    assert (row["delay_rate"], row["on_time_rate"]) == (0.0, 3.0)
+
+
+def test_repeated_events_count_in_the_kpi_but_once_in_bronze(spark):
+    rows = [event(1, "DELIVERED", 0, 1.0, 2.0), event(1, "DELIVERED", 0, 1.0, 2.0)]
+    assert kpi_row(spark, rows)["completed_deliveries"] == 2
+    assert ev.dedup_events(spark.createDataFrame(rows, SCHEMA)).count() == 1
+
+
+def test_all_delays_null(spark):
+    row = kpi_row(spark, [event(1, "DELIVERED", None, 1.0, None)])
+    assert row["avg_delay_minutes"] is None
+    assert (row["on_time_deliveries"], row["avg_vehicle_utilization"]) == (1, 0.0)
+
+
+def test_text_event_time_is_parsed_and_bad_text_is_null(spark):
+    df = spark.createDataFrame(
+        [("2024-05-01 10:00:00.000", "DELIVERED", 0, 1.0, 2.0), ("nonsense", None, None, 1.0, -1.0)],
+        "event_timestamp string, status string, delay_minutes int, capacity_used double, capacity_total double",
+    )
+    good, bad = ev.enrich(df).orderBy(F.col("event_timestamp").asc_nulls_last()).collect()
+    assert (good["business_date"], good["is_completed"], good["utilization_ratio"]) == (date(2024, 5, 1), 1, 0.5)
+    assert (bad["business_date"], bad["is_completed"], bad["is_delayed"], bad["utilization_ratio"]) == (None, 0, 0, 0.0)
+
+
+def test_latest_by_version_whatever_the_arrival_order(spark):
+    df = spark.createDataFrame([("k", 5, "a"), ("k", 9, "b"), ("k", 7, "c"), ("z", 1, "d")], "k string, version long, x string")
+    twice = df.union(df)
+    for frame in (df, twice):
+        assert {(r["k"], r["x"]) for r in latest_by_key(frame, ["k"], ["version"]).collect()} == {("k", "b"), ("z", "d")}
+
+
+def test_latest_limits_each_group_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("version"))
+    plan = latest_by_key(df, ["k"], ["version"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_upsert_updates_named_columns_and_inserts_whole_rows(spark):
+    schema = "id string, day string, cost int, at int"
+    base = spark.createDataFrame([("a", "mon", 1, 1), ("b", "mon", 2, 1), ("c", "tue", 3, 1)], schema)
+    changes = spark.createDataFrame([("b", "wed", 20, 2), ("b", "wed", 15, 1), ("n", "thu", 9, 1), ("a", "mon", None, 2)], schema)
+    result = {tuple(r) for r in upsert(base, changes, ["id"], ["cost", "at"], ["at"]).collect()}
+    # ``day`` is not updated; a null in the change replaces the value; the older change of b loses.
+    assert result == {("a", "mon", None, 2), ("b", "mon", 20, 2), ("c", "tue", 3, 1), ("n", "thu", 9, 1)}
+
+
+def test_upsert_applied_twice_changes_nothing(spark):
+    base = spark.createDataFrame([("a", 1, 1)], "id string, cost int, at int")
+    changes = spark.createDataFrame([("a", 5, 2), ("b", 6, 2)], base.schema)
+    once = upsert(base, changes, ["id"], ["cost", "at"], ["at"])
+    twice = upsert(once, changes, ["id"], ["cost", "at"], ["at"])
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [("a", 5, 2), ("b", 6, 2)]
+
+
+def test_insert_absent_keeps_known_keys_out(spark):
+    base = spark.createDataFrame([("a", 1)], "id string, at int")
+    new = spark.createDataFrame([("a", 9), ("b", 1), ("b", 2)], base.schema)
+    assert [tuple(r) for r in insert_absent(base, new, ["id"], ["at"]).collect()] == [("b", 2)]
+
+
+def test_utilization_view_takes_last_status_by_version(spark):
+    state = spark.createDataFrame(
+        [("v1", "OLD", "r1", 0.2, datetime(2024, 1, 1), 1), ("v1", "NEW", "r2", 0.4, datetime(2024, 1, 2), 2)],
+        "vehicle_id string, active_status string, route_id string, utilization_ratio double, last_event_timestamp timestamp, version long",
+    )
+    row = ev.vehicle_utilization(state).first()
+    assert (row["active_status"], row["route_id"], row["last_seen_at"]) == ("NEW", "r2", datetime(2024, 1, 2))
+    assert row["avg_utilization_ratio"] == pytest.approx(0.3)
+
+
+def test_warehouse_view_merges_versions(spark):
+    kpi = spark.createDataFrame(
+        [(date(2024, 1, 1), "n", "w", 1, 1.0, 10), (date(2024, 1, 1), "n", "w", 2, 1.0, 11)],
+        "business_date date, region string, warehouse_id string, completed_deliveries long, avg_delay_minutes double, version long",
+    )
+    view = ev.warehouse_daily_kpi(kpi)
+    assert view.columns == ["business_date", "region", "warehouse_id", "completed_deliveries"]
+    assert [r["completed_deliveries"] for r in view.collect()] == [2]
+
+
+def test_volume_adds_up_to_the_row_count(spark, sf_dir):
+    from cargolens.sources.adapters import delivery_events
+
+    events = delivery_events(spark, sf_dir, ["event_timestamp", "event_type", "region", "delivery_id"])
+    assert ev.event_volume(events).agg(F.sum("event_count")).first()[0] == events.count()
