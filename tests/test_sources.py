@@ -1,0 +1,120 @@
+from unittest.mock import MagicMock
+
+import pytest
+
+from cargolens.session import shared_dir
+from cargolens.sources import adapters, readers
+from cargolens.sources.metadata import Dataset, load_folder
+
+DOCUMENT = {
+    "dataset_id": "delivery.costs",
+    "application": "delivery",
+    "domain": "transportation",
+    "source": {"type": "postgres", "table": "costs"},
+    "ingestion": {"primary_key": ["cost_id"], "watermark_column": "updated_at"},
+    "targets": {"iceberg": {"bronze_table": "c.bronze.t"}},
+    "quality": {"relationships": {"vehicle_id": "public.vehicles.vehicle_id"}},
+    "sla": {"freshness_hours": 24},
+}
+
+
+def test_metadata():
+    dataset = Dataset.parse(DOCUMENT)
+    assert (dataset.source_table, dataset.primary_key, dataset.watermark_column) == ("public.costs", ["cost_id"], "updated_at")
+    assert dataset.relationships == {"vehicle_id": ("public.vehicles", "vehicle_id")}
+    assert dataset.target("iceberg")["bronze_table"] == "c.bronze.t" and dataset.target("clickhouse") == {}
+    assert dataset.max_lag_seconds == 86400
+
+
+def test_metadata_errors():
+    with pytest.raises(ValueError, match="missing keys: application, domain, source, ingestion, targets"):
+        Dataset.parse({"dataset_id": "x"})
+    with pytest.raises(ValueError, match="not a mapping: source"):
+        Dataset.parse({**DOCUMENT, "source": "postgres"})
+    with pytest.raises(ValueError, match="expected a mapping"):
+        Dataset.parse(["x"])
+    with pytest.raises(ValueError, match="primary_key"):
+        _ = Dataset.parse({**DOCUMENT, "ingestion": {}}).primary_key
+    with pytest.raises(ValueError, match="not a PostgreSQL source"):
+        _ = Dataset.parse({**DOCUMENT, "source": {"type": "kafka"}}).source_table
+    with pytest.raises(ValueError, match="targets.iceberg"):
+        Dataset.parse({**DOCUMENT, "targets": {"iceberg": "x"}}).target("iceberg")
+
+
+def test_registry_of_a_folder(tmp_path):
+    import yaml
+
+    (tmp_path / "a.yaml").write_text(yaml.safe_dump(DOCUMENT))
+    assert list(load_folder(tmp_path)) == ["delivery.costs"]
+    (tmp_path / "b.yaml").write_text(yaml.safe_dump(DOCUMENT))
+    with pytest.raises(ValueError, match="duplicate dataset id"):
+        load_folder(tmp_path)
+
+
+def test_shipped_datasets_load():
+    from pathlib import Path
+
+    registry = load_folder(Path(__file__).resolve().parents[1] / "datasets")
+    assert set(registry) == {"delivery.transportation_costs", "fleet.vehicle_telemetry"}
+    assert registry["fleet.vehicle_telemetry"].max_lag_seconds == 300
+
+
+def test_jdbc_options_and_partitioned_scan():
+    options = readers.jdbc_options(
+        Dataset.parse(DOCUMENT), {"url": "jdbc:x", "user": "u"}, readers.partitioned_scan("business_date", "2024-01-01", "2024-12-31", 64)
+    )
+    assert options["dbtable"] == "public.costs" and options["driver"] == "org.postgresql.Driver"
+    assert (options["partitionColumn"], options["numPartitions"]) == ("business_date", "64")
+
+
+def test_event_history_query_names_28_columns():
+    spark = MagicMock()
+    readers.read_event_history(spark, "delivery.delivery_events", {"url": "jdbc:x"})
+    options = spark.read.format.return_value.options.call_args.kwargs
+    assert options["dbtable"].startswith("(SELECT schema_version, event_id") and options["dbtable"].count(",") == 27
+    assert "toString(event_timestamp) AS event_timestamp" in options["dbtable"]
+
+
+def test_dataset_readers(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    files = Dataset.parse({**DOCUMENT, "source": {"type": "parquet", "path": str(tmp_path / "t")}})
+    assert readers.read_dataset(spark, files).count() == 3
+    with pytest.raises(ValueError, match="no batch reader"):
+        readers.read_dataset(spark, Dataset.parse({**DOCUMENT, "source": {"type": "kafka"}}))
+    with pytest.raises(ValueError, match="no stream reader"):
+        readers.stream_dataset(spark, Dataset.parse(DOCUMENT), {})
+
+
+def test_kafka_options():
+    options = readers.kafka_options("b:9092", "t", group="g", max_offsets=1000)
+    assert options == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "t",
+        "startingOffsets": "earliest",
+        "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "1000",
+    }
+
+
+def test_select_columns_lists_what_is_missing(spark):
+    with pytest.raises(ValueError, match="a, z"):
+        readers.select_columns(spark.range(1), ["z", "id", "a"])
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_every_line_has_its_order(spark, sf):
+    """The foreign key that lets a reader of line columns skip the orders table."""
+    folder = f"/root/testdata/sf{sf}"
+    lines, orders = adapters.table(spark, folder, "lineitem"), adapters.table(spark, folder, "orders")
+    assert lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_anti").isEmpty()
+    assert orders.groupBy("o_orderkey").count().filter("count > 1").isEmpty()
+
+
+def test_shared_dir_follows_the_cluster_setting():
+    session = MagicMock()
+    session.conf.get.return_value = "hdfs://shared/checkpoints/"
+    assert shared_dir(session, "x").startswith("hdfs://shared/checkpoints/cargolens/x-")
+    session.conf.get.return_value = None
+    session.sparkContext.master = "spark://cluster:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session, "x")

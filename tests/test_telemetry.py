@@ -1,0 +1,92 @@
+from datetime import datetime, timedelta
+
+import pytest
+
+from cargolens.operators import telemetry as tm
+from cargolens.plans import fleet_sql
+
+BASE = datetime(2024, 1, 1)
+SCHEMA = (
+    "schema_version int, event_id string, event_type string, event_timestamp timestamp, ingestion_timestamp timestamp, "
+    "vehicle_id string, driver_id string, latitude double, longitude double, speed_kmh double, fuel_level_pct double, "
+    "engine_temperature_c double, odometer_km double, engine_status string, vehicle_status string"
+)
+
+
+def reading(t, speed, fuel, temp, vehicle="VEH-101", version=1, kind="VEHICLE_TELEMETRY"):
+    at = BASE + timedelta(seconds=t)
+    return (version, f"e{t}-{vehicle}", kind, at, at, vehicle, "DRV-001", 40.0, 49.0, speed, fuel, temp, 1.0, "RUNNING", "IN_TRANSIT")
+
+
+SCENARIO = [
+    reading(0, 62.0, 68.0, 88.0),
+    reading(180, 108.0, 66.0, 91.0),
+    reading(360, 75.0, 14.0, 94.0),
+    reading(540, 70.0, 13.0, 108.0),
+]
+
+
+def frame(spark, rows=SCENARIO):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+ALERTS = [
+    ("OVERSPEED", "warning", 108.0, 100.0),
+    ("LOW_FUEL", "warning", 14.0, 15.0),
+    ("ENGINE_TEMPERATURE_HIGH", "critical", 108.0, 105.0),
+]
+
+
+def alert_rows(df):
+    return [tuple(r)[3:] for r in df.orderBy("event_timestamp").collect()]
+
+
+def test_alerts_first_match_wins(spark):
+    assert alert_rows(tm.health_alerts(tm.admit(frame(spark)))) == ALERTS
+
+
+def test_named_sql_gives_the_same_alerts(spark):
+    assert alert_rows(fleet_sql.run("alerts", frame(spark))) == ALERTS
+    with pytest.raises(KeyError, match="vehicle_extremes"):
+        fleet_sql.run("nothing", frame(spark))
+
+
+def test_thresholds_are_inclusive_and_adjustable(spark):
+    rows = [reading(0, 100.0, 50.0, 50.0), reading(1, 99.9, 15.0, 50.0), reading(2, 1.0, 15.1, 105.0), reading(3, 1.0, 15.1, 104.9)]
+    kinds = [r[0] for r in alert_rows(tm.health_alerts(frame(spark, rows)))]
+    assert kinds == ["OVERSPEED", "LOW_FUEL", "ENGINE_TEMPERATURE_HIGH"]
+    assert tm.health_alerts(frame(spark, rows), tm.AlertLimits(500, -1, 500)).count() == 0
+
+
+def test_null_measures_neither_alert_nor_fail(spark):
+    df = frame(spark, [reading(0, None, None, None), reading(1, 120.0, None, None)])
+    assert alert_rows(tm.health_alerts(df)) == [("OVERSPEED", "warning", 120.0, 100.0)]
+    row = tm.fleet_metrics(frame(spark, [reading(0, None, None, None)])).first()
+    assert (row["active_vehicle_count"], row["avg_speed_kmh"], row["max_engine_temperature_c"]) == (1, None, None)
+    assert (row["overspeed_vehicle_count"], row["low_fuel_vehicle_count"]) == (0, 0)
+
+
+def test_admission(spark):
+    rows = [reading(0, 1.0, 1.0, 1.0), reading(1, 1.0, 1.0, 1.0, version=2), reading(2, 1.0, 1.0, 1.0, kind="HEARTBEAT")]
+    assert tm.raw(tm.admit(frame(spark, rows))).count() == 1
+
+
+def test_five_minute_windows(spark):
+    rows = [tuple(r) for r in tm.fleet_metrics(frame(spark)).orderBy("window_start").collect()]
+    five = timedelta(minutes=5)
+    assert rows == [
+        (BASE, BASE + five, 1, 85.0, 67.0, 91.0, 1, 0),
+        (BASE + five, BASE + 2 * five, 1, 72.5, 13.5, 108.0, 0, 2),
+    ]
+
+
+def test_two_level_windows_equal_the_plain_ones(spark):
+    rows = [reading(t, 60.0 + t % 70, float(t % 40), 80.0 + t % 30, f"VEH-{t % 7:03d}") for t in range(0, 1500, 3)]
+    plain, staged = tm.fleet_metrics(frame(spark, rows)), tm.fleet_metrics_stream(frame(spark, rows))
+    assert plain.columns == staged.columns
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, staged.collect()))
+
+
+def test_latest_vehicle_state(spark):
+    row = tm.fleet_state(frame(spark)).first()
+    assert (row["event_id"], row["version"]) == ("e540-VEH-101", int((BASE - datetime(1970, 1, 1)).total_seconds()) * 1000 + 540_000)
