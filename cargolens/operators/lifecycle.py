@@ -33,8 +33,15 @@ def freshness(df: DataFrame, column: str, as_of: datetime, max_lag_seconds: int)
     )
 
 
-def for_date(df: DataFrame, batch_date: date | None, column: str = "business_date") -> DataFrame:
-    return df if batch_date is None else df.filter(F.col(column) == F.lit(batch_date))
+def for_date(
+    df: DataFrame, batch_date: date | None, column: str = "business_date", last_date: date | None = None
+) -> DataFrame:
+    """Rows of one date, or of a closed range of dates; all rows without a date."""
+    if batch_date is None:
+        return df
+    if last_date is None:
+        return df.filter(F.col(column) == F.lit(batch_date))
+    return df.filter(F.col(column).between(F.lit(batch_date), F.lit(last_date)))
 
 
 def require_rows(df: DataFrame, what: str, batch_date: date | None = None) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,15 @@ class AlertLimits:
     low_fuel_pct: float = 15.0
     overspeed_kmh: float = 100.0
 
+    @classmethod
+    def of(cls, processing: Mapping) -> AlertLimits:
+        """Limits from an application's settings; a missing one keeps its default."""
+        return cls(
+            float(processing.get("engine_temperature_threshold_c", cls.hot_engine_c)),
+            float(processing.get("low_fuel_threshold_pct", cls.low_fuel_pct)),
+            float(processing.get("overspeed_threshold_kmh", cls.overspeed_kmh)),
+        )
+
 
 WINDOW = "5 minutes"
 

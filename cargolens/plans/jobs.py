@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
@@ -12,24 +12,42 @@ from pyspark.sql import functions as F
 
 from cargolens.operators import costs, quality
 from cargolens.operators import events as ev
-from cargolens.operators.lifecycle import for_date, require_rows
+from cargolens.operators.integrity import orphans
+from cargolens.operators.latest import latest_by_key
+from cargolens.operators.lifecycle import for_date, high_water_mark, incremental, require_rows
 from cargolens.session import tune
 from cargolens.sources.metadata import Dataset
 from cargolens.sources.schemas import COST_KPI_COLUMNS, DAILY_KPI_COLUMNS
-from cargolens.sources.tables import SORT_KEYS, arrange, ensure_namespace, publish, write_mode, write_table
+from cargolens.sources.tables import (
+    SORT_KEYS,
+    arrange,
+    ensure_namespace,
+    publish,
+    upsert_table,
+    write_mode,
+    write_table,
+)
 
 Save = Callable[[DataFrameWriter], None]
 
 
 @dataclass(frozen=True)
 class Run:
-    """One execution of a batch job. The moment is an input, so a rerun can repeat it."""
+    """One execution of a batch job. The moment is an input, so a rerun can repeat it.
+
+    ``last_date`` turns a dated run into a backfill of a closed range: one job, which
+    replaces the partitions of all its dates.
+    """
 
     run_id: str
     batch_date: date | None = None
+    last_date: date | None = None
     moment: datetime | None = None
     provider: str = "parquet"
 
+    def rows_of(self, df: DataFrame) -> DataFrame:
+        return for_date(df, self.batch_date, last_date=self.last_date)
+
     @property
     def stamp(self) -> datetime:
         return self.moment or datetime.now(UTC)
@@ -61,11 +79,11 @@ def cost_job(source: DataFrame, dataset: Dataset, run: Run, save: Save, *, sourc
 
     A database source is held for guard, validation and the first layer, so that all
     three see the same rows and the database is read once; files are cheaper to scan
-    again, column by column. Every later layer reads the one written before it. A run
-    of one date publishes that date only.
+    again, column by column. Every later layer reads the one written before it. A
+    dated run publishes its dates only.
     """
     spark = tune(source.sparkSession)
-    held = for_date(source, run.batch_date)
+    held = run.rows_of(source)
     if dataset.source_type == "postgres":
         held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -78,14 +96,63 @@ def cost_job(source: DataFrame, dataset: Dataset, run: Run, save: Save, *, sourc
             run_id=run.run_id,
             source_system=source_system,
             ingested_at=F.lit(run.stamp),
-            batch_date=run.batch_date,
+            batch_date=None if run.last_date else run.batch_date,
         )
         _store(layer, names["bronze_table"], ("cost_id",), mode, run)
     finally:
         held.unpersist()
-    bronze_rows = for_date(spark.table(names["bronze_table"]), run.batch_date)
+    bronze_rows = run.rows_of(spark.table(names["bronze_table"]))
     _store(costs.silver(bronze_rows), names["silver_table"], ("cost_id",), mode, run)
-    silver_rows = for_date(spark.table(names["silver_table"]), run.batch_date)
+    silver_rows = run.rows_of(spark.table(names["silver_table"]))
     kpi = ev.stamp(costs.gold(silver_rows), F.lit(run.stamp))
     _store(kpi, names["gold_table"], SORT_KEYS["daily_transportation_cost_kpi"], mode, run)
-    return publish(for_date(spark.table(names["gold_table"]), run.batch_date), COST_KPI_COLUMNS, save)
+    return publish(run.rows_of(spark.table(names["gold_table"])), COST_KPI_COLUMNS, save)
+
+
+def load_job(source: DataFrame, dataset: Dataset, table: str, *, partition: str, update: Sequence[str], run: Run) -> int:
+    """Move a source into one lake table as its metadata says; returns the rows taken.
+
+    ``snapshot`` replaces the table. ``merge`` and ``append`` take the rows changed after
+    the newest change the table already holds, so the mark cannot drift from the data
+    and a failed run simply starts from the same mark again.
+    """
+    spark = tune(source.sparkSession)
+    kind = str(dataset.ingestion.get("load_type", "snapshot"))
+    if kind not in ("snapshot", "merge", "append"):
+        raise ValueError(f"{dataset.dataset_id}: unknown load type {kind!r}")
+    ensure_namespace(spark, table)
+    if kind == "snapshot" or not spark.catalog.tableExists(table):
+        rows = source if kind == "append" or kind == "snapshot" else latest_by_key(source, dataset.primary_key, _order(dataset))
+        write_table(arrange(rows, partition), table, partition=partition, provider=run.provider)
+        return spark.table(table).count()
+    mark = high_water_mark(spark.table(table), _watermark(dataset))
+    changed = incremental(source, _watermark(dataset), mark).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        taken = changed.count()
+        if taken and kind == "merge":
+            upsert_table(
+                spark, table, changed, keys=dataset.primary_key, update=update, version=_order(dataset), partition=partition
+            )
+        elif taken:
+            write_table(changed, table, partition=partition, mode="append", provider=run.provider)
+        return taken
+    finally:
+        changed.unpersist()
+
+
+def _watermark(dataset: Dataset) -> str:
+    if not dataset.watermark_column:
+        raise ValueError(f"{dataset.dataset_id}: ingestion.watermark_column is not set")
+    return dataset.watermark_column
+
+
+def _order(dataset: Dataset) -> list[str]:
+    return [_watermark(dataset)]
+
+
+def relationship_counts(child: DataFrame, dataset: Dataset, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Orphans of every relationship the metadata declares, parents looked up by table name."""
+    missing = sorted({t for t, _ in dataset.relationships.values()} - set(tables))
+    if missing:
+        raise ValueError(f"{dataset.dataset_id}: no table given for {', '.join(missing)}")
+    return orphans(child, {column: (tables[t], key) for column, (t, key) in dataset.relationships.items()})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,9 @@ from cargolens.operators import events as ev
 from cargolens.operators import telemetry as tm
 from cargolens.plans import fleet_sql
 from cargolens.session import shared_dir, tune
+from cargolens.plans.jobs import relationship_counts
 from cargolens.sources import adapters, tables
+from cargolens.sources.metadata import load_folder
 from cargolens.sources.schemas import (
     COST_UPDATE_COLUMNS,
     DELIVERY_EVENT_V1,
@@ -24,7 +27,7 @@ from cargolens.sources.schemas import (
     VEHICLE_TELEMETRY_V1,
 )
 from cargolens.streaming import delivery, fleet
-from cargolens.streaming.run import drain
+from cargolens.streaming.run import dedup, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,22 +38,9 @@ COST_HIGH_WATER = datetime(2000, 6, 1)
 SERVICE_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 TOP_K = 10
 
-# Quality rules of the cost and telemetry datasets.
-COST_QUALITY = {
-    "not_null": ["cost_id", "business_date", "delivery_id", "route_id", "vehicle_id", "warehouse_id", "region"],
-    "non_negative": [
-        "planned_distance_km", "actual_distance_km", "planned_cost", "fuel_cost", "driver_cost", "toll_cost",
-        "maintenance_cost", "other_cost", "actual_total_cost", "fuel_liters", "delivery_count", "used_capacity",
-        "planned_duration_minutes", "actual_duration_minutes",
-    ],
-    "equality": {
-        "actual_total_cost": {"formula": "fuel_cost + driver_cost + toll_cost + maintenance_cost + other_cost"}
-    },
-}
-TELEMETRY_QUALITY = {
-    "not_null": ["event_id", "event_timestamp", "vehicle_id"],
-    "accepted_values": {"engine_status": ["RUNNING", "IDLE", "OFF"]},
-}
+DATASETS = load_folder(Path(__file__).resolve().parents[2] / "datasets")
+COST_QUALITY = DATASETS["delivery.transportation_costs"].quality
+TELEMETRY_QUALITY = DATASETS["fleet.vehicle_telemetry"].quality
 
 
 def serving(df: DataFrame) -> DataFrame:
@@ -204,11 +194,11 @@ def event_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 def relationships_cost(spark: SparkSession, sf: str) -> DataFrame:
     parents = {
-        "delivery_id": (_plans(spark, sf), "delivery_id"),
-        "vehicle_id": (_vehicles(spark, sf), "vehicle_id"),
-        "warehouse_id": (_warehouses(spark, sf), "warehouse_id"),
+        "public.delivery_plans": _plans(spark, sf),
+        "public.vehicles": _vehicles(spark, sf),
+        "public.warehouses": _warehouses(spark, sf),
     }
-    return integrity.orphans(_costs(spark, sf), parents)
+    return relationship_counts(_costs(spark, sf), DATASETS["delivery.transportation_costs"], parents)
 
 
 def event_cost_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,7 +304,7 @@ def telemetry_raw_stream(spark: SparkSession, sf: str) -> DataFrame:
 def telemetry_dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Watermarked stream dedup by event id."""
     marked = fleet.watermarked(tm.admit(_telemetry_stream(spark, sf)))
-    return drain(spark, tm.raw(marked.dropDuplicatesWithinWatermark(["event_id"])), "telemetry-dedup")
+    return drain(spark, tm.raw(dedup(marked, "event_id")), "telemetry-dedup")
 
 
 def _drained_fleet(spark: SparkSession, sf: str) -> fleet.FleetTables:

@@ -13,6 +13,7 @@ from cargolens.operators import events as ev
 from cargolens.operators.latest import latest_by_key
 from cargolens.operators.parse import is_valid_delivery, parse_delivery_events
 from cargolens.sources.tables import SORT_KEYS
+from cargolens.streaming.run import dedup as drop_repeats
 from cargolens.streaming.slices import read_latest, write_month_slice, write_slice
 
 WATERMARK = "30 seconds"
@@ -54,7 +55,7 @@ def valid_events(values: DataFrame, *, dedup: bool = False) -> DataFrame:
     """
     parsed = parse_delivery_events(values).filter(is_valid_delivery()).drop("is_corrupt")
     marked = parsed.withWatermark("event_timestamp", WATERMARK)
-    return marked.dropDuplicatesWithinWatermark(["event_id"]) if dedup else marked
+    return drop_repeats(marked, "event_id") if dedup else marked
 
 
 def rejected_delivery() -> Column:

@@ -1,8 +1,10 @@
-"""Drain a stream into a shared folder and hand back the result as a table."""
+"""Pieces every stream shares: dedup, progress figures and a drain into a table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cargolens.session import shared_dir
 
@@ -20,3 +22,22 @@ def drain(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/rows")
+
+
+def dedup(stream: DataFrame, key: str, salts: int = 8) -> DataFrame:
+    """Drop repeated keys within the watermark.
+
+    All copies of a key meet in one task. With ``salts`` they first meet in up to that
+    many tasks, by the input partition they came from, and only one copy of each goes
+    on; a key with very many copies is thinned out before its single task. The price is
+    a second state entry per key; ``salts=1`` leaves it out.
+    """
+    if salts > 1:
+        salted = stream.withColumn("_salt", F.spark_partition_id() % salts)
+        stream = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return stream.dropDuplicatesWithinWatermark([key])
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the recent batches of a query dropped behind the watermark."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

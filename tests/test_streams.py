@@ -188,3 +188,52 @@ def test_compaction_keeps_the_latest_state_at_every_step(spark, tmp_path):
     assert slices.compact(spark, tables.deliveries, keys, order, up_to=3) == ["slice=base-000000000002", "slice=delta-000000000003"]
     assert state() == before
     assert slices.slice_names(spark, tables.deliveries) == ["slice=base-000000000003"]
+
+
+def test_application_metadata_drives_the_stream(spark, tmp_path):
+    from pathlib import Path
+
+    from cargolens.plans.streams import start_application
+    from cargolens.sources.metadata import Application
+
+    folder = Path(__file__).resolve().parents[1] / "applications"
+    app = Application.load(folder / "fleet.yaml")
+    assert (app.topic, app.database) == ("vehicle-telemetry-events", "fleet")
+    assert tm.AlertLimits.of(app.processing) == tm.AlertLimits()
+    put(tmp_path / "in", "1.json", [telemetry(r) for r in SCENARIO])
+    run(start_application(spark, app, str(tmp_path / "out"), values=source(spark, tmp_path / "in"), once=True))
+    assert spark.read.parquet(fleet.FleetTables(str(tmp_path / "out")).alerts).count() == 3
+    assert Application.load(folder / "delivery.yaml").datasets == ("delivery.transportation_costs",)
+    with pytest.raises(ValueError, match="no stream for application"):
+        start_application(spark, Application("x", "y", None), "z", values=spark.range(1))
+    with pytest.raises(ValueError, match="no streaming topic"):
+        start_application(spark, Application("x", "y", None), "z")
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    from cargolens.streaming.run import late_rows
+
+    for i, rows in enumerate(([at(0)], [at(3600)], [at(3601)], [at(5), at(6)])):
+        put(tmp_path / "in", f"{i}.json", rows)
+    ordered(tmp_path / "in")
+    windows = fleet.window_metrics(fleet.telemetry_stream(source(spark, tmp_path / "in")))
+    query = (
+        windows.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    # Both late rows share a window and a vehicle: they are dropped as one partial group.
+    assert late_rows(query) == 1
+
+
+@pytest.mark.parametrize("salts", [1, 8])
+def test_stream_dedup_drops_every_copy(spark, tmp_path, salts):
+    from cargolens.streaming.run import dedup, drain
+
+    copies = [at(1)] * 50
+    for i, rows in enumerate(([*copies, at(2)], [*copies, at(3)], copies)):
+        put(tmp_path / "in", f"{i}.json", rows)
+    ordered(tmp_path / "in")
+    marked = fleet.watermarked(fleet.telemetry_stream(source(spark, tmp_path / "in")))
+    rows = drain(spark, dedup(marked, "event_id", salts), "dedup-test").collect()
+    assert sorted(r["event_id"] for r in rows) == ["x1VEH-101", "x2VEH-101", "x3VEH-101"]

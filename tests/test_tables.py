@@ -4,7 +4,7 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
-from cargolens.plans.jobs import Run, cost_job, daily_kpi_job
+from cargolens.plans.jobs import Run, cost_job, daily_kpi_job, load_job
 from cargolens.plans.queries import COST_QUALITY
 from cargolens.sources import tables
 from cargolens.sources.metadata import Dataset
@@ -217,3 +217,48 @@ def test_daily_kpi_job(spark, lake, tmp_path):
 def test_cost_update_list_matches_the_schema():
     names = [part.split()[0] for part in SCHEMA.replace("decimal(12,2)", "decimal").split(", ")]
     assert set(COST_UPDATE_COLUMNS) < set(names) and len(COST_UPDATE_COLUMNS) == 15
+
+
+def test_backfill_replaces_every_date_of_the_range(spark, lake, tmp_path):
+    save = tables.to_parquet(str(tmp_path / "serving"), "append")
+    days = [date(2024, 5, d) for d in (1, 2, 3)]
+    first = spark.createDataFrame([cost(f"c{d}", day=d) for d in days], SCHEMA)
+    cost_job(first, dataset(lake), Run("r1", moment=datetime(2024, 5, 4)), save, source_system="t")
+    again = spark.createDataFrame([cost(f"c{d}", actual=500, day=d) for d in days], SCHEMA)
+    run = Run("r2", batch_date=days[0], last_date=days[1], moment=datetime(2024, 5, 5))
+    assert cost_job(again, dataset(lake), run, save, source_system="t") == 2
+    gold = spark.table(f"{lake}.costs_gold").orderBy("business_date").collect()
+    assert [r["actual_cost"] for r in gold] == [500, 500, 110]
+    assert spark.table(f"{lake}.costs_bronze").filter("_batch_date = business_date").count() == 3
+
+
+def test_merge_load_takes_only_newer_rows(spark, lake):
+    name = f"{lake}.costs"
+    plan = dataset(lake)
+    plan = Dataset(**{**plan.__dict__, "ingestion": {**plan.ingestion, "load_type": "merge"}})
+
+    def go(*rows):
+        return load_job(
+            spark.createDataFrame(list(rows), SCHEMA), plan, name, partition="business_date", update=COST_UPDATE_COLUMNS, run=Run("r")
+        )
+
+    early, late, later = datetime(2024, 5, 1), datetime(2024, 5, 2), datetime(2024, 5, 3)
+    assert go(cost("a", updated_at=early), cost("b", updated_at=late, day=DAY2), cost("b", updated_at=early, day=DAY2)) == 2
+    assert go(cost("a", actual=300, updated_at=early)) == 0  # not newer than the table
+    change = cost("a", actual=300, updated_at=later, route="ignored"), cost("n", updated_at=later, day=DAY2)
+    assert go(*change) == 2
+    assert go(*change) == 0
+    found = {r["cost_id"]: (r["actual_total_cost"], r["route_id"], r["business_date"]) for r in spark.table(name).collect()}
+    assert found == {"a": (300, "r1", DAY1), "b": (110, "r1", DAY2), "n": (110, "r1", DAY2)}
+
+
+def test_load_types(spark, lake):
+    name, plan = f"{lake}.costs", dataset(lake)
+    source = spark.createDataFrame([cost("a")], SCHEMA)
+    for kind, expected in (("snapshot", 1), ("snapshot", 1), ("append", 1)):
+        data = Dataset(**{**plan.__dict__, "ingestion": {**plan.ingestion, "load_type": kind}})
+        load_job(source, data, name, partition="business_date", update=[], run=Run("r"))
+        assert spark.table(name).count() == expected
+    with pytest.raises(ValueError, match="unknown load type"):
+        odd = Dataset(**{**plan.__dict__, "ingestion": {"load_type": "guess"}})
+        load_job(source, odd, name, partition="business_date", update=[], run=Run("r"))
