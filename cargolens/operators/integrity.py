@@ -62,27 +62,46 @@ def arrivals_before_departure(events: DataFrame) -> DataFrame:
     return times.filter(F.col("delivered_at") < F.col("departed_at"))
 
 
+# Rows of one key a single task may sort. Keys above it are listed and broadcast: the
+# list cannot hold more than (all rows / HOT_ROWS) keys.
+HOT_ROWS = 1_000_000
+
+
 def with_previous(
-    df: DataFrame, key: str, time: str, ties: Sequence[str], value: str, out: str, chunk: str = "hour"
+    df: DataFrame,
+    key: str,
+    time: str,
+    ties: Sequence[str],
+    value: str,
+    out: str,
+    *,
+    hot_rows: int = HOT_ROWS,
+    chunk: str = "hour",
 ) -> DataFrame:
-    """``lag(value)`` per key in (time, ties) order, without one task per key.
+    """``lag(value)`` per key in (time, ties) order, without one task per hot key.
 
-    Rows are ranked within (key, time chunk), so a key with very many rows is spread
-    over its chunks. The first row of a chunk takes the last value of the key's
-    previous non-empty chunk, found over one summary row per chunk.
+    Ordinary keys take a plain window. A key with more than ``hot_rows`` rows is ranked
+    within its time chunks instead, and the first row of a chunk takes the last value of
+    the key's previous non-empty chunk, found over one summary row per chunk.
     """
+    hot = df.groupBy(F.col(key).alias("_hot")).count().filter(F.col("count") > hot_rows).select("_hot")
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     order = [F.col(c) for c in (time, *ties)]
-    chunked = df.withColumn("_chunk", F.date_trunc(chunk, F.col(time)))
+    plain = Window.partitionBy(key).orderBy(*order)
+    cold = df.join(F.broadcast(hot), is_hot, "left_anti").withColumn(out, F.lag(value).over(plain))
+
+    chunked = df.join(F.broadcast(hot), is_hot, "left_semi").withColumn("_chunk", F.date_trunc(chunk, F.col(time)))
     inside = Window.partitionBy(key, "_chunk").orderBy(*order)
     rows = chunked.withColumns({"_n": F.row_number().over(inside), "_before": F.lag(value).over(inside)})
-    last = chunked.groupBy(key, "_chunk").agg(F.max_by(value, F.struct(*order)).alias("_last"))
-    across = Window.partitionBy(key).orderBy("_chunk")
-    carried = last.select(key, "_chunk", F.lag("_last").over(across).alias("_carried"))
-    return (
-        rows.join(carried, [key, "_chunk"], "left")
-        .withColumn(out, F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_before")))
-        .drop("_chunk", "_n", "_before", "_carried", "_last")
+    last = chunked.groupBy(F.col(key).alias("_key"), F.col("_chunk").alias("_part")).agg(
+        F.max_by(value, F.struct(*order)).alias("_last")
     )
+    across = Window.partitionBy("_key").orderBy("_part")
+    carried = last.select("_key", "_part", F.lag("_last").over(across).alias("_carried"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_part"))
+    joined = rows.join(carried, same, "left")
+    warm = joined.withColumn(out, F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_before")))
+    return cold.unionByName(warm.select(*cold.columns))
 
 
 def is_forward(previous: Column, current: Column, order: Sequence[str]) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.numbers import stable_avg
+from cargolens.functions.numbers import UNITS, stable_avg, unit_sum
 from cargolens.functions.times import epoch_millis
 from cargolens.operators.latest import latest_by_key
 from cargolens.sources.schemas import FLEET_STATE_COLUMNS, TELEMETRY_COLUMNS
@@ -106,10 +106,6 @@ def fleet_metrics(admitted: DataFrame, limits: AlertLimits = AlertLimits()) -> D
     )
 
 
-def _units(name: str) -> Column:
-    return F.sum(F.rint(F.col(name) * 1e9).cast("decimal(38,0)"))
-
-
 def fleet_metrics_stream(admitted: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFrame:
     """The same windows over a watermarked stream.
 
@@ -118,15 +114,15 @@ def fleet_metrics_stream(admitted: DataFrame, limits: AlertLimits = AlertLimits(
     window is spread over the vehicles.
     """
     per_vehicle = admitted.groupBy(F.window("event_timestamp", WINDOW).alias("w"), "vehicle_id").agg(
-        _units("speed_kmh").alias("speed_units"),
+        unit_sum(F.col("speed_kmh")).alias("speed_units"),
         F.count("speed_kmh").alias("speed_n"),
-        _units("fuel_level_pct").alias("fuel_units"),
+        unit_sum(F.col("fuel_level_pct")).alias("fuel_units"),
         F.count("fuel_level_pct").alias("fuel_n"),
         *_metrics(limits),
     )
 
     def mean(units: str, n: str) -> Column:
-        return F.sum(units).cast("double") / (F.sum(n) * F.lit(1e9))
+        return F.sum(units).cast("double") / (F.sum(n) * F.lit(UNITS))
 
     return (
         per_vehicle.groupBy(F.window(F.window_time("w"), WINDOW).alias("w"))

@@ -54,6 +54,17 @@ def test_sums_do_not_depend_on_the_partitioning(spark):
     df.unpersist()
 
 
+def test_sum_is_exact_for_any_sign_and_size(spark):
+    from decimal import Decimal
+
+    from cargolens.functions.numbers import unit_sum
+
+    xs = [0.1, -0.1, 1e-9, -1e-9, 123456789.123456789, -8.999e9, 8.999e9, 9e9, -9e9, 1e18, -1e18, 2.5, None, -0.0]
+    df = spark.createDataFrame([(x,) for x in xs * 7], "x double").repartition(5)
+    expected = sum(7 * int(Decimal(x * 1e9).to_integral_value()) for x in xs if x is not None)
+    assert int(df.agg(unit_sum(F.col("x"))).first()[0]) == expected
+
+
 def test_empty_and_null_groups_have_null_averages(spark):
     df = spark.createDataFrame([(1, None)], "k int, x double")
     assert df.groupBy("k").agg(stable_avg(F.col("x")).alias("a"), stable_sum(F.col("x")).alias("s")).first()[1:] == (None, None)
