@@ -10,10 +10,9 @@ from cargolens.sources.schemas import Contract, Field
 NUMBERS = {"integer", "number"}
 
 
-def _checks(item: Field, value: Column) -> list[tuple[str, Column]]:
+def _checks(item: Field, value: Column, as_number: Column | None) -> list[tuple[str, Column]]:
     """(reason, failing condition) pairs; a null value only fails ``required``."""
     text = value.cast("string")
-    as_number = text.try_cast("double")
     checks: list[tuple[str, Column]] = []
     if item.required:
         checks.append(("required", value.isNull()))
@@ -23,7 +22,7 @@ def _checks(item: Field, value: Column) -> list[tuple[str, Column]]:
         checks.append(("type", as_number != F.floor(as_number)))
     if item.const is not None:
         # A numeric constant also rejects text that is no number at all.
-        same = as_number == float(item.const) if isinstance(item.const, int) else text == str(item.const)
+        same = as_number == float(item.const) if as_number is not None else text == str(item.const)
         checks.append(("const", value.isNotNull() & ~F.coalesce(same, F.lit(False))))
     if item.enum:
         checks.append(("enum", ~text.isin(*item.enum)))
@@ -49,10 +48,16 @@ def with_reasons(df: DataFrame, contract: Contract, *, root: str = "", raw: str
     a JSON text column, needed to see fields the contract forbids.
     """
     prefix = f"{root}." if root else ""
+    columns = df.columns
+    # A projection of their own, so that a number is read from its text once.
+    numeric = {item.name: f"_number_{i}" for i, item in enumerate(contract.fields) if item.type in NUMBERS}
+    df = df.withColumns(
+        {alias: F.col(prefix + name).cast("string").try_cast("double") for name, alias in numeric.items()}
+    )
     failing = [
         F.when(failed, F.lit(f"{item.name}:{check}"))
         for item in contract.fields
-        for check, failed in _checks(item, F.col(prefix + item.name))
+        for check, failed in _checks(item, F.col(prefix + item.name), F.col(numeric[item.name]) if item.name in numeric else None)
     ]
     failing += [
         F.when(F.col(prefix + name).isNull(), F.lit(f"{name}:required")) for name in contract.required_objects
@@ -62,9 +67,9 @@ def with_reasons(df: DataFrame, contract: Contract, *, root: str = "", raw: str
         if raw is not None:
             unknown = F.size(F.array_except(F.json_object_keys(raw), known)) > 0
             failing.append(F.when(unknown, F.lit("extra_fields")))
-        elif set(df.columns) - set(contract.top_level_names()):
+        elif set(columns) - set(contract.top_level_names()):
             failing.append(F.lit("extra_fields"))
-    return df.withColumn("reasons", F.array_distinct(F.array_compact(F.array(*failing))))
+    return df.withColumn("reasons", F.array_distinct(F.array_compact(F.array(*failing)))).drop(*numeric.values())
 
 
 def split(df: DataFrame, contract: Contract, **where: str | None) -> tuple[DataFrame, DataFrame]:

@@ -165,22 +165,37 @@ VIEWS = {
 }
 
 
+# What one micro-batch of the delivery stream reads at most.
+STREAM_BYTES = 256 << 30
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_bytes: int | None = None) -> DataFrame:
     """The same table as a file stream, oldest file first.
 
-    The glob makes Spark accept a single file as well as a folder of files.
+    The glob makes Spark accept a single file as well as a folder of files. ``max_bytes``
+    bounds a micro-batch.
     """
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
-
-
-def _view(spark: SparkSession, sf_dir: str, sql: str, tables: Iterable[str], streamed: str | None = None) -> DataFrame:
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def _view(
+    spark: SparkSession,
+    sf_dir: str,
+    sql: str,
+    tables: Iterable[str],
+    streamed: str | None = None,
+    max_bytes: int | None = None,
+) -> DataFrame:
     inputs = {
-        name: stream_table(spark, sf_dir, name) if name == streamed else table(spark, sf_dir, name) for name in tables
+        name: stream_table(spark, sf_dir, name, max_bytes) if name == streamed else table(spark, sf_dir, name)
+        for name in tables
     }
     return spark.sql(sql, **inputs)
 
@@ -189,7 +204,7 @@ def delivery_events(
     spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, *, streaming: bool = False
 ) -> DataFrame:
     sql, tables = events_sql(columns)
-    return _view(spark, sf_dir, sql, tables, "lineitem" if streaming else None)
+    return _view(spark, sf_dir, sql, tables, "lineitem" if streaming else None, STREAM_BYTES)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, *, streaming: str | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from cargolens.operators.latest import latest_by_key
 from cargolens.operators.parse import is_valid_delivery, parse_delivery_events
 from cargolens.sources.tables import SORT_KEYS
 from cargolens.streaming.run import dedup as drop_repeats
+from cargolens.streaming.run import spread
 from cargolens.streaming.slices import read_latest, write_month_slice, write_slice
 
 WATERMARK = "30 seconds"
@@ -93,13 +94,15 @@ def write_batch(rows: DataFrame, batch_id: int, tables: DeliveryTables) -> None:
 
 
 def start(
-    values: DataFrame, tables: DeliveryTables, *, dedup: bool = False, once: bool = False
+    values: DataFrame, tables: DeliveryTables, *, dedup: bool = False, once: bool = False, tasks: int | None = None
 ) -> list[StreamingQuery]:
     """Start the stream; ``once`` drains what is there and stops.
 
     With ``dedup`` the serving query keeps event-id state, which inadmissible rows
-    cannot enter; a second query takes those to the quarantine.
+    cannot enter; a second query takes those to the quarantine. ``tasks`` spreads a
+    source of few partitions.
     """
+    values = spread(values, tasks)
     trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_EVERY}
 
     def run(stream: DataFrame, name: str, write) -> StreamingQuery:

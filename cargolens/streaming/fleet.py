@@ -13,6 +13,7 @@ from cargolens.operators import telemetry as tm
 from cargolens.operators.latest import latest_by_key
 from cargolens.operators.parse import parse_telemetry
 from cargolens.sources.tables import SORT_KEYS
+from cargolens.streaming.run import spread
 from cargolens.streaming.slices import read_latest, write_month_slice, write_slice
 
 WATERMARK = "10 seconds"
@@ -78,9 +79,10 @@ def write_batch(parsed: DataFrame, batch_id: int, tables: FleetTables, limits: t
 
 
 def start(
-    values: DataFrame, tables: FleetTables, limits: tm.AlertLimits = tm.AlertLimits(), *, once: bool = False
+    values: DataFrame, tables: FleetTables, limits: tm.AlertLimits = tm.AlertLimits(), *, once: bool = False, tasks: int | None = None
 ) -> list[StreamingQuery]:
     """Two queries over the source: the stateless outputs together, the windows apart."""
+    values = spread(values, tasks)
     serving = (
         parse_telemetry(values)
         .writeStream.queryName("fleet-serving")

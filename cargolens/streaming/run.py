@@ -24,6 +24,15 @@ def drain(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/rows")
 
 
+def spread(values: DataFrame, tasks: int | None) -> DataFrame:
+    """Deal the raw messages out to ``tasks`` tasks before they are parsed.
+
+    For a source with fewer partitions than the cluster has cores: parsing JSON is the
+    heaviest step of a stream. Rows are dealt round-robin, so no key can crowd a task.
+    """
+    return values.repartition(tasks) if tasks else values
+
+
 def dedup(stream: DataFrame, key: str, salts: int = 8) -> DataFrame:
     """Drop repeated keys within the watermark.
 
