@@ -18,13 +18,22 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return df.withColumn("_rank", F.row_number().over(ranking)).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def _known_keys(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of ``rows`` that ``base`` holds.
+
+    While they are few enough to broadcast, the base is only scanned for its key
+    columns and never shuffled.
+    """
+    asked = rows.select(*keys).distinct()
+    return base.select(*keys).join(asked, keys, "left_semi").distinct()
+
+
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], update: Sequence[str], version: Sequence[str]) -> DataFrame:
     """Insert-or-update: a known key takes the ``update`` columns, a new key its whole row.
 
-    Several changes of one key collapse to the latest by ``version`` first. ``base``
-    is only ever the streamed side of a left or semi join: while the changes are
-    small enough to broadcast it is not shuffled, and beyond that its hot keys can
-    still be split.
+    Several changes of one key collapse to the latest by ``version``. ``base`` is only
+    ever the streamed side of a left or semi join: while the changes are small enough
+    to broadcast it is not shuffled, and beyond that its hot keys can still be split.
     """
     keys = list(keys)
     delta = latest_by_key(changes, keys, version)
@@ -35,14 +44,11 @@ def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], update: Seq
             for c in base.columns
         ]
     )
-    known = base.select(*keys).join(delta.select(*keys), keys, "left_semi").distinct()
-    added = delta.join(known, keys, "left_anti").select(*base.columns)
-    return updated.unionByName(added)
+    added = delta.join(_known_keys(base, changes, keys), keys, "left_anti")
+    return updated.unionByName(added.select(*base.columns))
 
 
 def insert_absent(base: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The rows of ``new`` whose key ``base`` lacks, one per key; ready to append."""
     keys = list(keys)
-    candidates = latest_by_key(new, keys, order)
-    known = base.select(*keys).join(candidates.select(*keys), keys, "left_semi").distinct()
-    return candidates.join(known, keys, "left_anti")
+    return latest_by_key(new, keys, order).join(_known_keys(base, new, keys), keys, "left_anti")

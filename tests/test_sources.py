@@ -22,7 +22,7 @@ def test_metadata():
     dataset = Dataset.parse(DOCUMENT)
     assert (dataset.source_table, dataset.primary_key, dataset.watermark_column) == ("public.costs", ["cost_id"], "updated_at")
     assert dataset.relationships == {"vehicle_id": ("public.vehicles", "vehicle_id")}
-    assert dataset.target("iceberg")["bronze_table"] == "c.bronze.t" and dataset.target("clickhouse") == {}
+    assert dataset.target("iceberg")["bronze_table"] == "c.bronze.t" and dataset.target("serving") == {}
     assert dataset.max_lag_seconds == 86400
 
 
