@@ -51,8 +51,8 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
     return stage(spread.withColumn("_part", F.spark_partition_id()), "ranges")
 
 
-def running(df: DataFrame, order: list[str], value: str, by: list[str] | None = None, ready_ranges: bool = False) -> DataFrame:
-    """Adds ``before``: the sum of ``value`` over the earlier rows of the same ``by`` group.
+def running(df: DataFrame, order: list[str], value: str, by: list[str] | None = None, ready_ranges: bool = False, name: str = "before") -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over the earlier rows of the same ``by`` group.
 
     Two levels: sums inside each range, and totals of ranges (one row per range and group),
     so no task holds a whole group.
@@ -70,8 +70,8 @@ def running(df: DataFrame, order: list[str], value: str, by: list[str] | None =
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
     placed = ranged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(offsets, match)
-    before = (F.col("_inside") + F.col("_offset")).cast("long").alias("before")
-    return placed.select(*[c for c in ranged.columns], before)
+    before = (F.col("_inside") + F.col("_offset")).cast("long").alias(name)
+    return placed.select(*[c for c in ranged.columns if c != name], before)
 
 
 def filesystem(uri: str):

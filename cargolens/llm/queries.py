@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name and the module of this folder whose ``query(spark, sf_dir)`` builds it.
 MODULES = {
     "op1_bpe": "bpe",
+    "op4_mixing": "mixing",
+    "op6_sharding": "sharding",
+    "op7_quality_rules": "quality",
+    "op9_token_files": "token_files",
+    "op10_exact_topk": "topk",
 }
 
 

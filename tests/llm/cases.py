@@ -1,0 +1,55 @@
+"""Rows that operators must survive, and plain versions of what they compute."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import types as T
+
+DOCS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+        # Names that operators use themselves.
+        T.StructField("size", T.StringType()),
+        T.StructField("kept", T.StringType()),
+        T.StructField("before", T.LongType()),
+    ]
+)
+SENTENCE = "The quick brown fox jumps over the lazy dog near the old river bank today"
+
+
+def odd_rows() -> list[tuple]:
+    texts = [
+        None, "", " \n\t ", "one", "Zwei  Wörter\n", SENTENCE, SENTENCE.upper(), SENTENCE, f"{SENTENCE}\n{SENTENCE}\nplus a line of its own",
+        "日本語 のテキスト 🙂 \x1c <|endoftext|>tail  \n x", "a " * 3000, "#$% & | <> ***", " ".join(f"w{k}" for k in range(400)),
+        " ".join(f"w{k}" for k in range(400)).replace("w17 ", "changed "), "x" * 5000, "same line\nsame line\nother", "word " * 19 + "end",
+    ]
+    rows = [(k, t, ["en", "de", None][k % 3], [None, "a", "b"][k % 3], None if t is None else len(t), "x", "y", k) for k, t in enumerate(texts)]
+    return rows + [rows[5], rows[5], (None, SENTENCE, None, None, 3, None, None, None), (-7, "negative id with some words", "en", "a", 5, "s", "k", 1)]
+
+
+def odd_documents(spark):
+    return spark.createDataFrame(odd_rows(), DOCS)
+
+
+def no_documents(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def documents(sf: str = "sf0.001") -> list[dict]:
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"/root/testdata/{sf}/documents.parquet").to_pylist()
+
+
+def words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def rows_of(df, *columns: str) -> list[tuple]:
+    found = [tuple(r) for r in df.select(*columns).collect()]
+    return sorted(found, key=lambda r: tuple((v is not None, v) for v in r))
