@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name and the module of this folder whose ``query(spark, sf_dir)`` builds it.
 MODULES = {
     "op1_bpe": "bpe",
+    "op2_ngram_join": "ngram_join",
+    "op3_line_dedup": "line_dedup",
     "op4_mixing": "mixing",
+    "op5_token_counts": "token_counts",
     "op6_sharding": "sharding",
     "op7_quality_rules": "quality",
+    "op8_warc": "warc",
     "op9_token_files": "token_files",
     "op10_exact_topk": "topk",
 }
