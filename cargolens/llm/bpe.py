@@ -251,26 +251,28 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", text: str = "deco
     return rows.withColumn(text, run(F.col(ids)))
 
 
-def digests(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: key, n_tokens, ids_sha256 and decoded_sha256, from ids that are decoded again."""
+def digests(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: key, the string columns ``also``, n_tokens, ids_sha256 and decoded_sha256, from ids that are decoded again."""
     import pyarrow as pa
 
     ready(docs.sparkSession)
-    schema = pa.schema([(key, pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", key, *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for batch in batches:
             counts, hashed, decoded = [], [], []
-            for value in batch.column(1):
+            for value in batch.column(0):
                 ids = coder.encode(value.as_py())
                 counts.append(len(ids))
                 hashed.append(hashlib.sha256(",".join(map(coder.digits.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(hashed), pa.array(decoded)], schema=schema)
+            made = [pa.array(counts, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([*made, *batch.columns[1:]], names=names)
 
-    out = f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).mapInArrow(run, out)
+    out = f"n_tokens long, ids_sha256 string, decoded_sha256 string, `{key}` long" + "".join(f", `{c}` string" for c in also)
+    read = docs.select(F.col(text).alias("_text"), F.col(key).cast("long").alias(key), *[F.col(c).cast("string").alias(c) for c in also])
+    return read.mapInArrow(run, out).select(key, *also, *names[:3])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
