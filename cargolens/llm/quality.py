@@ -31,8 +31,8 @@ FEW = 50
 RATES = {
     "word_length": ("word_chars", "n_words", 100, 100, True),
     "symbols": ("n_symbols", "word_chars", 10_000, 100, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1_000, 100, False),
-    "repeats": ("n_repeat_words", "n_words", 1_000, 50, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 1_000, 200, False),
+    "repeats": ("n_repeat_words", "n_words", 1_000, 90, False),
 }
 #: Spreads between the quartiles that a rate may lie beyond them.
 REACH = 3
@@ -155,3 +155,46 @@ def passing(docs: DataFrame, **columns: str) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def sql() -> str:
+    """The same verdicts in DuckDB SQL."""
+    blank = "[\\x20\\x09-\\x0D]+"
+    symbols = " + ".join(f"(strlen(t) - strlen(replace(t, '{c}', '')))" for c in SYMBOLS)
+    rates = " UNION ALL ".join(f"SELECT *, '{n}' AS rate, {o} * {s} // greatest({u}, 1) AS v, {w} AS spread, {str(b).lower()} AS low_too FROM m" for n, (o, u, s, w, b) in RATES.items())
+    bucket_of = "CASE WHEN v < 32 THEN v ELSE (length(bin(v)) - 5) * 16 + (v >> (length(bin(v)) - 5)) END"
+    value_of = "CASE WHEN {0} < 32 THEN {0} ELSE ({0} - 16 * ({0} // 16 - 1)) << ({0} // 16 - 1) END"
+    return f"""
+WITH b AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '{blank}'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents
+), g AS (
+  SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda k: array_to_string(w[k:k + {WINDOW - 1}], ' '))) AS gram FROM b WHERE len(w) >= {WINDOW}
+), p AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1
+), r AS (SELECT doc_id, sum(step) AS n FROM (SELECT doc_id, least({WINDOW}, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, {WINDOW})) AS step FROM p) GROUP BY doc_id
+), m AS (
+  SELECT b.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST({symbols} AS BIGINT) AS n_symbols,
+    CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM b LEFT JOIN r USING (doc_id)
+), f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+), v AS (SELECT *, {bucket_of} AS bucket FROM ({rates.replace('FROM m', 'FROM f')})
+), h AS (SELECT lang, source, rate, any_value(spread) AS spread, bucket, count(*) AS n FROM v WHERE NOT base_failed GROUP BY lang, source, rate, bucket
+), k AS (
+  SELECT 0 AS level, lang AS a, source AS b, * FROM h UNION ALL SELECT 1, lang, NULL, * FROM h UNION ALL SELECT 2, NULL, NULL, * FROM h
+), s AS (SELECT level, a, b, rate, any_value(spread) AS spread, bucket, sum(n) AS n FROM k GROUP BY level, a, b, rate, bucket
+), c AS (SELECT *, sum(n) OVER (PARTITION BY level, a, b, rate) AS total, sum(n) OVER (PARTITION BY level, a, b, rate ORDER BY bucket) AS upto FROM s
+), q AS (
+  SELECT level, a, b, rate, any_value(spread) AS spread, any_value(total) AS total, min(bucket) FILTER (upto * 4 >= total) AS b1, min(bucket) FILTER (upto * 4 >= total * 3) AS b3 FROM c GROUP BY level, a, b, rate
+), z AS (SELECT *, {value_of.format('b1')} AS q1, {value_of.format('b3')} AS q3 FROM q WHERE total >= {FEW} OR level = 2
+), fence AS (SELECT *, {REACH} * greatest(q3 - q1, spread) AS reach FROM z
+), best AS (
+  SELECT v.*, arg_min(struct_pack(q1, q3, reach), level) AS x FROM v LEFT JOIN fence e ON e.rate = v.rate
+    AND ((level = 0 AND a IS NOT DISTINCT FROM lang AND b IS NOT DISTINCT FROM source) OR (level = 1 AND a IS NOT DISTINCT FROM lang) OR level = 2) GROUP BY ALL
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  bool_and(NOT base_failed AND coalesce(v <= x.q3 + x.reach AND (NOT low_too OR v >= x.q1 - x.reach), true)) AS kept
+FROM best GROUP BY ALL
+"""
+
+
+SQL = sql()
