@@ -4,6 +4,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cargolens.llm import token_counts
@@ -46,5 +47,5 @@ def test_batches_add_up_once(spark, tmp_path):
 def test_counts_of_odd_texts(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    rows = odd_documents(spark).withColumn("n", token_counts.count_tokens(odd_documents(spark).text, path)).collect()
+    rows = odd_documents(spark).withColumn("n", token_counts.count_tokens(F.col("text"), path)).collect()
     assert [r["n"] for r in rows] == [len(library.encode(r[1] or "", add_special_tokens=False).ids) for r in odd_rows()]
