@@ -7,13 +7,14 @@ quartiles, so each source is held against its own habit instead of a fixed cutof
 documents use the merged sketch of their language, then that of all. The fences join the documents
 on (language, source) and filter them.
 
-The bucket counts are added before the shuffle, so a source with a third of all rows sends
+The counts of a document are taken once and written without its text; the rest works on them. Bucket counts are added
+before the shuffle, so a source with a third of all rows sends
 no more than another.
 
 Defined results: null text counts as empty, and a document without words fails the base rules;
 null languages and sources are groups of their own; ties share a bucket and so a verdict;
-repeated rows get the same verdict; an empty table gives an empty table; ``judge`` keeps all columns
-of its input and replaces those with the names of its own.
+repeated rows get the same verdict; an empty table gives an empty table; ``passing`` keeps all columns
+of its input, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import let, words
+from cargolens.llm.common import let, stage, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -36,6 +37,7 @@ RATES = {
 }
 #: Spreads between the quartiles that a rate may lie beyond them.
 REACH = 3
+BASE_FAILED = "n_words < 20 OR 100 * n_repeat_words > 30 * n_words"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -56,7 +58,7 @@ def covered(grams: Column, size: int) -> Column:
     def stretch(p: Column) -> Column:
         return F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(size), F.coalesce(F.get(p, k + 1) - x, F.lit(size)))), F.lit(0), lambda a, b: a + b)
 
-    tagged = F.array_sort(F.transform(grams, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    tagged = F.sort_array(F.transform(grams, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     return let(let(tagged, repeated), stretch)
 
 
@@ -78,8 +80,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_repeat_words": F.when(unique, F.lit(0)).otherwise(covered(F.col("_grams"), WINDOW)).cast("long"),
         }
     )
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return out.drop("_words", "_lines", "_grams").withColumn("base_failed", failed)
+    return out.drop("_words", "_lines", "_grams")
 
 
 def rate(name: str) -> Column:
@@ -133,28 +134,31 @@ def fences(sketches: DataFrame) -> DataFrame:
     return best.select("lang", "source", "f.*")
 
 
-def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """``docs`` with base counts, ``base_failed`` and ``kept``."""
-    measured = measure(docs, text)
-    bounds = fences(sketch(measured, lang, source)).withColumnRenamed("lang", "_lang").withColumnRenamed("source", "_source")
-    joined = measured.join(bounds, F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source")), "left")
+def verdicts(docs: DataFrame, carry: tuple[str, ...] = (), lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
+    """The columns ``carry`` with base counts, ``base_failed`` and ``kept``; the counts are taken once and written, without the texts."""
+    bare = docs.select(F.col(lang).alias("_lang"), F.col(source).alias("_source"), F.col(text).alias("_text"), *[F.col(c) for c in carry])
+    light = stage(measure(bare, "_text").drop("_text"), "counts").withColumn("base_failed", F.expr(BASE_FAILED))
+    bounds = fences(sketch(light, "_lang", "_source"))
+    joined = light.join(bounds, F.col("_lang").eqNullSafe(F.col("lang")) & F.col("_source").eqNullSafe(F.col("source")), "left")
     inside = F.lit(True)
     for name, (*_, both) in RATES.items():
         value = rate(name)
         inside = inside & (value <= F.col(f"{name}_high"))
         if both:
             inside = inside & (value >= F.col(f"{name}_low"))
-    out = joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
-    return out.select(*measured.columns, "kept")
+    kept = (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept")
+    return joined.select(*[light[c] for c in carry], *COUNTS, "base_failed", kept)
 
 
 def passing(docs: DataFrame, **columns: str) -> DataFrame:
-    """The documents that are kept, with the columns they came with."""
-    return judge(docs, **columns).where("kept").select(*docs.columns)
+    """The documents that are kept, with the columns they came with; ``docs`` is a table, whose rows number alike each time."""
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    good = verdicts(rows, ("_row",), **columns).where("kept").select("_row")
+    return rows.join(good, "_row", "left_semi").select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", *COUNTS, "base_failed", "kept")
+    return verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"), ("doc_id",))
 
 
 def sql() -> str:
