@@ -144,7 +144,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 def draws(sized: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
     """``(source_key, shard, first, last)``: the slots of each source that each output shard takes."""
-    spark = sized.sparkSession
+    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = sized.groupBy(F.lit(0).alias("one")).agg(F.sort_array(F.collect_list(F.struct("source_key", "slots"))).alias("all"))  # one row per source
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -155,8 +155,9 @@ def draws(sized: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
             out.append(np.random.Generator(np.random.PCG64([seed, int(h)])).multinomial(int(n), k / k.sum()))
         return pd.Series(out)
 
-    size = F.least(F.lit(SHARD_SLOTS), F.lit(total) - F.col("id") * SHARD_SLOTS)
-    table = spark.range(shards).select(F.col("id").alias("shard"), size.alias("size"), F.lit(0).alias("one")).join(shares, "one")
+    size = F.least(F.lit(SHARD_SLOTS), F.lit(total) - F.col("shard") * SHARD_SLOTS)
+    numbered_shards = shares.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).repartition(parts, "shard")
+    table = numbered_shards.withColumn("size", size)
     counts = table.withColumn("counts", draw("shard", "size", F.transform("all", lambda x: x["slots"])))
     each = counts.select("shard", F.explode(F.arrays_zip(F.col("all.source_key").alias("k"), F.col("all.slots").alias("s"), F.col("counts").alias("n"))).alias("x"))
     each = each.select("shard", F.col("x.k").alias("source_key"), F.col("x.s").alias("slots"), F.col("x.n").alias("n"))
