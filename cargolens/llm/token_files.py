@@ -17,6 +17,7 @@ result; extra columns of the input are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -28,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cargolens.llm.bpe import FIRST_UNASSIGNED, byte_names
 from cargolens.llm.common import filesystem, ready
 from cargolens.session import shared_dir
 
 #: Entries of the word cache of a worker; a full one is set aside, and dropped when the next is full.
-CACHE = 300_000
+CACHE = 400_000
 #: Longer words are not kept.
 KEEP_CHARS = 64
 #: Stands for a null key in a file.
@@ -55,44 +57,65 @@ class WordCoder:
     """Ids of texts whose tokenizer drops white space: words are encoded once and kept.
 
     Cutting at ASCII blanks changes nothing there: such a pattern never spans white space, special
-    tokens hold none, and no normalisation joins a blank with its neighbours.
+    tokens hold none, and no normalisation joins a blank with its neighbours. A word not kept is normalised and cut to pieces as
+    the file says, and the library's model encodes each piece; unusual words go through the whole library.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as source:
+            spec = json.load(source)
+        cut, level = spec["pre_tokenizer"]["pretokenizers"]
+        if (cut["type"], cut["behavior"], cut["invert"], level["type"], level["use_regex"], level["add_prefix_space"]) != ("Split", "Removed", True, "ByteLevel", False, False):
+            raise ValueError(f"{path}: not a tokenizer of words")
+        self.pattern, self.normalizer, self.model = regex.compile(cut["pattern"]["Regex"]), self.tokenizer.normalizer, self.tokenizer.model
+        self.names = dict(enumerate(byte_names()))
+        self.special = re.compile("|".join(re.escape(t["content"][:2]) for t in spec["added_tokens"]))
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def keep(self, word: str, ids: bytes) -> None:
+    def keep(self, word: str, ids: bytes) -> bytes:
         if len(word) <= KEEP_CHARS:
             if len(self.recent) >= CACHE:
                 self.older, self.recent = self.recent, {}
             self.recent[word] = ids
+        return ids
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
+    def piece(self, text: str) -> bytes:
+        known = self.recent.get(text) or self.older.get(text)
+        if known is None:
+            shown = text if text.isascii() and text.isalpha() else "".join(map(self.names.__getitem__, text.encode()))
+            known = self.packed([t.id for t in self.model.tokenize(shown)])
+        return known
+
+    def word(self, text: str) -> bytes:
+        """Ids of one word that is not among the recent ones."""
+        old = self.older.get(text)
+        if old is not None:
+            return self.keep(text, old)
+        plain = text.isascii()
+        if self.special.search(text) or not (plain or max(text) < FIRST_UNASSIGNED):
+            return self.keep(text, self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
+        normal = text.lower() if plain else self.normalizer.normalize_str(text)
+        if normal.isalpha():
+            return self.keep(text, self.piece(normal))
+        return self.keep(text, b"".join(map(self.piece, self.pattern.findall(normal))))
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of one text."""
         words = text.split() if not ODD_SPACE.search(text) else BLANKS.split(text.strip(" \t\n\v\f\r"))
         found = list(map(self.recent.get, words))
-        missing = {w for w, ids in zip(words, found, strict=True) if ids is None}
-        if missing:
-            new, fresh = {}, []
-            for word in missing:
-                old = self.older.get(word)
-                if old is None:
-                    fresh.append(word)
-                else:
-                    new[word] = old
-            dtype = f"<u{self.width}"
-            for word, coded in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-                new[word] = np.array(coded.ids, dtype).tobytes()
-            for word, ids in new.items():
-                self.keep(word, ids)
-            found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        if None in found:
+            found = [self.word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
         return b"".join(found)
 
 
