@@ -1,4 +1,8 @@
-"""Ratios, sums and averages that do not depend on how the rows were partitioned."""
+"""Ratios, sums and averages.
+
+Integers and decimals add up exactly. Doubles are added as they are: NaN and infinities come through,
+and the last bits may depend on the order of the rows, as everywhere in Spark.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Doubles are summed as whole billionths, so a retried or re-partitioned run adds up to
-# the same bits.
-UNITS = 1e9
-# Beyond this a value no longer fits a bigint of billionths.
-LARGE = 9e9
-# A bigint of billionths is added up in pieces of this many bits: native long sums,
-# which hold for 2^44 rows of a group, instead of a big decimal per row.
-PIECE = 19
-_DECIMAL = "decimal(38,0)"
-
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator``; 0.0 when the denominator is null or zero.
@@ -30,39 +24,8 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
-def unit_sum(value: Column) -> Column:
-    """Aggregate: the exact sum of the values' billionths as decimal; null without values."""
-    value = value.cast("double")
-    units = F.rint(value * UNITS)
-    small = F.when(F.abs(value) < LARGE, units.cast("bigint"))
-    large = F.sum(F.when(F.abs(value) >= LARGE, units.cast(_DECIMAL)))
-    mask = F.lit((1 << PIECE) - 1)
-    pieces = [small.bitwiseAND(mask), F.shiftright(small, PIECE).bitwiseAND(mask), F.shiftright(small, 2 * PIECE)]
-    total = F.coalesce(large, F.lit(0).cast(_DECIMAL))
-    for i, piece in enumerate(pieces):
-        weight = F.lit(1 << (i * PIECE)).cast("decimal(12,0)")
-        total = total + F.coalesce(F.sum(piece), F.lit(0)).cast("decimal(20,0)") * weight
-    return F.when(F.count(value) > 0, total.cast(_DECIMAL))
-
-
-def stable_sum(value: Column) -> Column:
-    return unit_sum(value).cast("double") / F.lit(UNITS)
-
-
-def stable_avg(value: Column) -> Column:
-    return unit_sum(value).cast("double") / (F.count(value) * F.lit(UNITS))
-
-
-def _is_exact(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, (T.IntegralType, T.DecimalType))
-
-
-def exact_sum(df: DataFrame, name: str) -> Column:
-    """Sum of a column: native for integers and decimals, order-free for doubles."""
-    return F.sum(name) if _is_exact(df, name) else stable_sum(F.col(name))
-
-
-def exact_avg(df: DataFrame, name: str) -> Column:
-    if _is_exact(df, name):
+def mean(df: DataFrame, name: str) -> Column:
+    """Average of a column: from the exact sum where the type has one."""
+    if isinstance(df.schema[name].dataType, (T.IntegralType, T.DecimalType)):
         return F.sum(name).cast("double") / F.count(name)
-    return stable_avg(F.col(name))
+    return F.avg(name)

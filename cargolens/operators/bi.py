@@ -9,9 +9,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.numbers import exact_avg, exact_sum
+from cargolens.functions.numbers import mean
 
-# Fixed value: row limit of a chart query.
+# Fixed value: row limit of a chart on a dashboard. A query takes no limit unless its caller passes one.
 ROW_LIMIT = 1000
 
 
@@ -22,7 +22,6 @@ class Chart:
     groupby: tuple[str, ...] = ()
     columns: str | None = None
     hourly: str | None = None
-    limit: int | None = ROW_LIMIT
 
 
 # The charts of the two dashboards.
@@ -45,9 +44,9 @@ CHARTS: dict[str, Chart] = {
         ("business_date", "region", "warehouse_id"),
     ),
     "hourly_volume": Chart("event_volume", ("event_count",), ("event_type",), hourly="event_hour"),
-    "actual_cost": Chart("cost_performance", ("actual_cost",), limit=None),
-    "cost_variance": Chart("cost_performance", ("cost_variance",), limit=None),
-    "cost_per_delivery": Chart("cost_performance", ("cost_per_delivery",), limit=None),
+    "actual_cost": Chart("cost_performance", ("actual_cost",)),
+    "cost_variance": Chart("cost_performance", ("cost_variance",)),
+    "cost_per_delivery": Chart("cost_performance", ("cost_per_delivery",)),
     "cost_breakdown": Chart(
         "cost_performance",
         ("fuel_cost", "driver_cost", "toll_cost", "maintenance_cost", "other_cost"),
@@ -91,7 +90,7 @@ def default_aggregate(metric: str) -> str:
 
 def metric_column(df: DataFrame, metric: str, aggregate: str | None = None) -> Column:
     kind = aggregate or default_aggregate(metric)
-    return (exact_avg if kind == "avg" else exact_sum)(df, metric).alias(metric)
+    return (mean(df, metric) if kind == "avg" else F.sum(metric)).alias(metric)
 
 
 def chart(
@@ -100,6 +99,7 @@ def chart(
     *,
     pivot_values: Sequence[str] | None = None,
     aggregates: Mapping[str, str] | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """One chart query. ``aggregates`` overrides the default of single metrics.
 
@@ -116,11 +116,10 @@ def chart(
     if spec.columns:
         # Spark names pivoted columns <value>_<metric>.
         grouped = grouped.pivot(spec.columns, sorted(pivot_values)) if pivot_values else grouped.pivot(spec.columns)
-        return grouped.agg(*metrics).orderBy(*keys).limit(spec.limit)
-    result = grouped.agg(*metrics)
-    if spec.limit is None:
-        return result
-    return result.orderBy(F.desc(spec.metrics[0]), *[F.asc(k) for k in keys]).limit(spec.limit)
+        result, order = grouped.agg(*metrics), keys
+    else:
+        result, order = grouped.agg(*metrics), [F.desc(spec.metrics[0]), *[F.asc(k) for k in keys]]
+    return result if limit is None else result.orderBy(*order).limit(limit)
 
 
 def apply_filters(

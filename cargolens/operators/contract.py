@@ -41,8 +41,8 @@ def _checks(item: Field, value: Column, as_number: Column | None) -> list[tuple[
     return checks
 
 
-def with_reasons(df: DataFrame, contract: Contract, *, root: str = "", raw: str | None = None) -> DataFrame:
-    """Adds ``reasons``: the failed checks of a row as ``field:check``, empty when valid.
+def _failures(df: DataFrame, contract: Contract, root: str, raw: str | None) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with its numbers read once, and the failing condition of every ``field:check``.
 
     ``root`` is the struct holding the fields ('' for top-level columns); ``raw`` names
     a JSON text column, needed to see fields the contract forbids.
@@ -54,22 +54,32 @@ def with_reasons(df: DataFrame, contract: Contract, *, root: str = "", raw: str
     df = df.withColumns(
         {alias: F.col(prefix + name).cast("string").try_cast("double") for name, alias in numeric.items()}
     )
-    failing = [
-        F.when(failed, F.lit(f"{item.name}:{check}"))
-        for item in contract.fields
-        for check, failed in _checks(item, F.col(prefix + item.name), F.col(numeric[item.name]) if item.name in numeric else None)
-    ]
-    failing += [
-        F.when(F.col(prefix + name).isNull(), F.lit(f"{name}:required")) for name in contract.required_objects
-    ]
+    found: dict[str, Column] = {}
+
+    def add(reason: str, failed: Column) -> None:
+        failed = F.coalesce(failed, F.lit(False))
+        found[reason] = found[reason] | failed if reason in found else failed
+
+    for item in contract.fields:
+        number = F.col(numeric[item.name]) if item.name in numeric else None
+        for check, failed in _checks(item, F.col(prefix + item.name), number):
+            add(f"{item.name}:{check}", failed)
+    for name in contract.required_objects:
+        add(f"{name}:required", F.col(prefix + name).isNull())
     if not contract.extra_fields:
         known = F.array(*[F.lit(name) for name in contract.top_level_names()])
         if raw is not None:
-            unknown = F.size(F.array_except(F.json_object_keys(raw), known)) > 0
-            failing.append(F.when(unknown, F.lit("extra_fields")))
+            add("extra_fields", F.size(F.array_except(F.json_object_keys(raw), known)) > 0)
         elif set(columns) - set(contract.top_level_names()):
-            failing.append(F.lit("extra_fields"))
-    return df.withColumn("reasons", F.array_distinct(F.array_compact(F.array(*failing)))).drop(*numeric.values())
+            add("extra_fields", F.lit(True))
+    return df, found
+
+
+def with_reasons(df: DataFrame, contract: Contract, *, root: str = "", raw: str | None = None) -> DataFrame:
+    """Adds ``reasons``: the failed checks of a row as ``field:check``, empty when valid."""
+    read, failing = _failures(df, contract, root, raw)
+    reasons = F.array_compact(F.array(*[F.when(failed, F.lit(reason)) for reason, failed in failing.items()]))
+    return read.select(*[F.col(c) for c in df.columns], reasons.alias("reasons"))
 
 
 def split(df: DataFrame, contract: Contract, **where: str | None) -> tuple[DataFrame, DataFrame]:
@@ -79,11 +89,16 @@ def split(df: DataFrame, contract: Contract, **where: str | None) -> tuple[DataF
     return checked.filter(~broken).drop("reasons"), checked.filter(broken)
 
 
-def reason_counts(df: DataFrame, contract: Contract, **where: str | None) -> DataFrame:
-    """Rows per validity and failed check; a valid row counts once with an empty reason."""
-    checked = with_reasons(df, contract, **where)
-    return (
-        checked.select((F.size("reasons") == 0).cast("int").alias("valid"), F.explode_outer("reasons").alias("reason"))
-        .groupBy("valid", F.coalesce("reason", F.lit("")).alias("reason"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+def reason_counts(df: DataFrame, contract: Contract, *, root: str = "", raw: str | None = None) -> DataFrame:
+    """Rows per validity and failed check; a valid row counts once with an empty reason.
+
+    One aggregate row counts every check at once; nothing is gathered per row.
+    """
+    read, failing = _failures(df, contract, root, raw)
+    # Numbers of their own projection: the optimiser would multiply out one large condition.
+    flags = read.select(*[failed.cast("int").alias(f"f{i}") for i, failed in enumerate(failing.values())])
+    worst = F.greatest(F.lit(0), F.lit(0), *[F.col(f"f{i}") for i in range(len(failing))])
+    counts = flags.agg(F.sum(1 - worst).alias("n_valid"), *[F.sum(f"f{i}").alias(f"n{i}") for i in range(len(failing))])
+    parts = [(1, "", "n_valid"), *[(0, reason, f"n{i}") for i, reason in enumerate(failing)]]
+    rows = [F.struct(F.lit(v).alias("valid"), F.lit(r).alias("reason"), F.col(n).alias("row_count")) for v, r, n in parts]
+    return counts.select(F.inline(F.array(*rows))).filter(F.col("row_count") > 0)

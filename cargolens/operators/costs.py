@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.numbers import exact_avg, exact_sum, ratio_or_zero, stable_avg
+from cargolens.functions.numbers import mean, ratio_or_zero
 from cargolens.operators.events import ROUTE_KEYS
 from cargolens.operators.latest import latest_by_key
 
@@ -66,13 +66,13 @@ def gold(silver_rows: DataFrame) -> DataFrame:
     rows = silver_rows.withColumn("_route_day", F.struct(*ROUTE_KEYS))
     sums = rows.groupBy("_route_day").agg(
         F.sum("delivery_count").alias("total_deliveries"),
-        exact_sum(rows, "planned_cost").alias("planned_cost"),
-        exact_sum(rows, "actual_total_cost").alias("actual_cost"),
-        *[exact_sum(rows, part).alias(part) for part in COST_PARTS],
-        exact_sum(rows, "actual_distance_km").alias("total_distance_km"),
-        stable_avg(F.col("vehicle_utilization_pct")).alias("avg_vehicle_utilization_pct"),
-        exact_avg(rows, "actual_duration_minutes").alias("avg_delivery_duration_minutes"),
-        stable_avg(F.col("duration_variance_minutes")).alias("avg_duration_variance_minutes"),
+        F.sum("planned_cost").alias("planned_cost"),
+        F.sum("actual_total_cost").alias("actual_cost"),
+        *[F.sum(part).alias(part) for part in COST_PARTS],
+        F.sum("actual_distance_km").alias("total_distance_km"),
+        F.avg("vehicle_utilization_pct").alias("avg_vehicle_utilization_pct"),
+        mean(rows, "actual_duration_minutes").alias("avg_delivery_duration_minutes"),
+        F.avg("duration_variance_minutes").alias("avg_duration_variance_minutes"),
     )
     ids = rows.groupBy("_route_day").agg(F.count_distinct("cost_id").alias("cost_record_count"))
     totals = sums.join(ids, "_route_day", "left").select("_route_day.*", "*").drop("_route_day")

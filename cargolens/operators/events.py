@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.numbers import exact_avg, exact_sum, stable_avg
+from cargolens.functions.numbers import mean
 from cargolens.functions.times import as_event_time, epoch_millis, epoch_seconds
 from cargolens.operators.latest import latest_by_key
 from cargolens.sources.schemas import BRONZE_EVENT_COLUMNS, DELIVERY_STATE_COLUMNS, VEHICLE_STATE_COLUMNS
@@ -49,11 +49,11 @@ def daily_kpi(enriched: DataFrame) -> DataFrame:
         F.sum("is_completed").alias("completed_deliveries"),
         F.sum("is_delayed").alias("delayed_deliveries"),
         F.count_if(F.col("is_delayed") == 0).alias("on_time_deliveries"),
-        exact_avg(enriched, "delay_minutes").alias("avg_delay_minutes"),
-        stable_avg(F.col("utilization_ratio")).alias("avg_vehicle_utilization"),
-        exact_sum(enriched, "order_value").alias("total_order_value"),
+        mean(enriched, "delay_minutes").alias("avg_delay_minutes"),
+        F.avg("utilization_ratio").alias("avg_vehicle_utilization"),
+        F.sum("order_value").alias("total_order_value"),
         F.sum("package_count").alias("total_package_count"),
-        exact_avg(enriched, "planned_distance_km").alias("avg_distance_km"),
+        mean(enriched, "planned_distance_km").alias("avg_distance_km"),
     )
     decided = F.greatest(F.lit(1), F.col("completed_deliveries") + F.col("delayed_deliveries"))
     return kpi.withColumns(
@@ -128,14 +128,14 @@ def status_overview(events: DataFrame) -> DataFrame:
     return events.groupBy("status").agg(
         F.count(F.lit(1)).alias("event_count"),
         F.count_distinct("delivery_id").alias("delivery_count"),
-        exact_avg(events, "delay_minutes").alias("avg_delay_minutes"),
+        mean(events, "delay_minutes").alias("avg_delay_minutes"),
     )
 
 
 def delay_by_region(events: DataFrame) -> DataFrame:
     return events.groupBy("region", "service_level").agg(
         F.count(F.lit(1)).alias("event_count"),
-        exact_avg(events, "delay_minutes").alias("avg_delay_minutes"),
+        mean(events, "delay_minutes").alias("avg_delay_minutes"),
         delay_rate().alias("delay_rate"),
     )
 
@@ -145,7 +145,7 @@ def vehicle_utilization(state: DataFrame) -> DataFrame:
     return state.groupBy("vehicle_id").agg(
         F.max_by("active_status", "version").alias("active_status"),
         F.max_by("route_id", "version").alias("route_id"),
-        exact_avg(state, "utilization_ratio").alias("avg_utilization_ratio"),
+        mean(state, "utilization_ratio").alias("avg_utilization_ratio"),
         F.max("last_event_timestamp").alias("last_seen_at"),
     )
 
@@ -167,6 +167,6 @@ def route_delay(events: DataFrame) -> DataFrame:
     return dated.groupBy(*ROUTE_KEYS).agg(
         F.count_distinct("delivery_id").alias("operational_delivery_count"),
         F.count_if(F.col("delay_minutes") > 0).alias("delayed_delivery_count"),
-        exact_avg(dated, "delay_minutes").alias("avg_delay_minutes"),
+        mean(dated, "delay_minutes").alias("avg_delay_minutes"),
         delay_rate().alias("delay_rate"),
     )

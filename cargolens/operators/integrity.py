@@ -20,18 +20,17 @@ def duplicate_confirmations(events: DataFrame) -> DataFrame:
 def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """(relationship, orphan_count): child rows whose reference has no parent.
 
-    The child is counted per referenced value first, so a value that a third of the
-    rows share reaches the join as one row. A null reference is not an orphan.
+    One scan of the child: its references are turned into (relationship, value) rows and counted per value
+    before they meet the parents' keys, so a value that a third of the rows share reaches the join as
+    one row. A null reference is not an orphan.
     """
-
-    def one(column: str, parent: DataFrame, key: str) -> DataFrame:
-        counted = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("ref")).agg(F.count(F.lit(1)).alias("n"))
-        lost = counted.join(parent.select(F.col(key).alias("ref")), "ref", "left_anti")
-        return lost.agg(
-            F.lit(column).alias("relationship"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_count")
-        )
-
-    return reduce(DataFrame.unionByName, [one(column, parent, key) for column, (parent, key) in parents.items()])
+    pair = lambda name, value: F.struct(F.lit(name).alias("relationship"), value.cast("string").alias("ref"))
+    each = child.select(F.inline(F.array(*[pair(c, F.col(c)) for c in parents]))).filter(F.col("ref").isNotNull())
+    counted = each.groupBy("relationship", "ref").agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(DataFrame.unionByName, [parent.select(pair(c, F.col(key)).alias("k")).select("k.*") for c, (parent, key) in parents.items()])
+    lost = counted.join(known, ["relationship", "ref"], "left_anti")
+    totals = lost.agg(*[F.coalesce(F.sum(F.when(F.col("relationship") == c, F.col("n"))), F.lit(0)).cast("bigint").alias(f"n{i}") for i, c in enumerate(parents)])
+    return totals.select(F.inline(F.array(*[F.struct(F.lit(c).alias("relationship"), F.col(f"n{i}").alias("orphan_count")) for i, c in enumerate(parents)])))
 
 
 def coverage(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,46 +61,19 @@ def arrivals_before_departure(events: DataFrame) -> DataFrame:
     return times.filter(F.col("delivered_at") < F.col("departed_at"))
 
 
-# Rows of one key a single task may sort. Keys above it are listed and broadcast: the
-# list cannot hold more than (all rows / HOT_ROWS) keys.
-HOT_ROWS = 1_000_000
-
+def with_previous(df: DataFrame, key: str, time: str, ties: Sequence[str], value: str, out: str, *, chunk: str = "hour") -> DataFrame:
+    """``lag(value)`` per key in (time, ties) order, without one task per key.
 
-def with_previous(
-    df: DataFrame,
-    key: str,
-    time: str,
-    ties: Sequence[str],
-    value: str,
-    out: str,
-    *,
-    hot_rows: int = HOT_ROWS,
-    chunk: str = "hour",
-) -> DataFrame:
-    """``lag(value)`` per key in (time, ties) order, without one task per hot key.
-
-    Ordinary keys take a plain window. A key with more than ``hot_rows`` rows is ranked
-    within its time chunks instead, and the first row of a chunk takes the last value of
-    the key's previous non-empty chunk, found over one summary row per chunk.
+    Rows are ordered within (key, time chunk). The first row of a chunk takes the last value of the key's previous
+    non-empty chunk, found over the two border rows of each chunk, so a hot key costs a task its chunks, not its rows.
     """
-    hot = df.groupBy(F.col(key).alias("_hot")).count().filter(F.col("count") > hot_rows).select("_hot")
-    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     order = [F.col(c) for c in (time, *ties)]
-    plain = Window.partitionBy(key).orderBy(*order)
-    cold = df.join(F.broadcast(hot), is_hot, "left_anti").withColumn(out, F.lag(value).over(plain))
-
-    chunked = df.join(F.broadcast(hot), is_hot, "left_semi").withColumn("_chunk", F.date_trunc(chunk, F.col(time)))
+    rows = df.withColumn("_chunk", F.date_trunc(chunk, F.col(time)))
     inside = Window.partitionBy(key, "_chunk").orderBy(*order)
-    rows = chunked.withColumns({"_n": F.row_number().over(inside), "_before": F.lag(value).over(inside)})
-    last = chunked.groupBy(F.col(key).alias("_key"), F.col("_chunk").alias("_part")).agg(
-        F.max_by(value, F.struct(*order)).alias("_last")
-    )
-    across = Window.partitionBy("_key").orderBy("_part")
-    carried = last.select("_key", "_part", F.lag("_last").over(across).alias("_carried"))
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_part"))
-    joined = rows.join(carried, same, "left")
-    warm = joined.withColumn(out, F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_before")))
-    return cold.unionByName(warm.select(*cold.columns))
+    placed = rows.withColumns({out: F.lag(value).over(inside), "_n": F.row_number().over(inside), "_last": F.lead(F.lit(True)).over(inside).isNull()})
+    borders = placed.filter((F.col("_n") == 1) | F.col("_last"))
+    carried = borders.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order))).filter(F.col("_n") == 1)
+    return placed.filter(F.col("_n") > 1).unionByName(carried).select(*df.columns, out)
 
 
 def is_forward(previous: Column, current: Column, order: Sequence[str]) -> Column:

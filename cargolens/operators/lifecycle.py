@@ -56,10 +56,14 @@ def readiness(df: DataFrame, batch_date: date, column: str = "business_date") ->
 
 
 def incremental(df: DataFrame, column: str, last: datetime | None) -> DataFrame:
-    """Rows changed after the stored high-water mark; everything on the first run."""
+    """Rows changed at the stored high-water mark or after it, and rows without a change time; everything on the first run.
+
+    A row that arrives later with exactly the time of the mark is not lost. Rows at the mark come again, which a
+    merge by key absorbs and an append must remove by key.
+    """
     if last is None:
         return df
-    return df.filter(F.col(column) > _like(df, column, last))
+    return df.filter((F.col(column) >= _like(df, column, last)) | F.col(column).isNull())
 
 
 def high_water_mark(df: DataFrame, column: str) -> datetime | None:

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.numbers import UNITS, stable_avg, unit_sum
 from cargolens.functions.times import epoch_millis
 from cargolens.operators.latest import latest_by_key
 from cargolens.sources.schemas import FLEET_STATE_COLUMNS, TELEMETRY_COLUMNS
@@ -97,8 +96,8 @@ def fleet_metrics(admitted: DataFrame, limits: AlertLimits = AlertLimits()) -> D
         admitted.groupBy(F.window("event_timestamp", WINDOW).alias("w"))
         .agg(
             F.count_distinct("vehicle_id").alias("active_vehicle_count"),
-            stable_avg(F.col("speed_kmh")).alias("avg_speed_kmh"),
-            stable_avg(F.col("fuel_level_pct")).alias("avg_fuel_level_pct"),
+            F.avg("speed_kmh").alias("avg_speed_kmh"),
+            F.avg("fuel_level_pct").alias("avg_fuel_level_pct"),
             *_metrics(limits),
         )
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*")
@@ -114,23 +113,23 @@ def fleet_metrics_stream(admitted: DataFrame, limits: AlertLimits = AlertLimits(
     window is spread over the vehicles.
     """
     per_vehicle = admitted.groupBy(F.window("event_timestamp", WINDOW).alias("w"), "vehicle_id").agg(
-        unit_sum(F.col("speed_kmh")).alias("speed_units"),
+        F.sum("speed_kmh").alias("speed_sum"),
         F.count("speed_kmh").alias("speed_n"),
-        unit_sum(F.col("fuel_level_pct")).alias("fuel_units"),
+        F.sum("fuel_level_pct").alias("fuel_sum"),
         F.count("fuel_level_pct").alias("fuel_n"),
         *_metrics(limits),
     )
 
-    def mean(units: str, n: str) -> Column:
-        return F.sum(units).cast("double") / (F.sum(n) * F.lit(UNITS))
+    def mean(total: str, n: str) -> Column:
+        return F.try_divide(F.sum(total), F.sum(n))
 
     return (
         per_vehicle.groupBy(F.window(F.window_time("w"), WINDOW).alias("w"))
         .agg(
             # One row per vehicle by now; a missing vehicle id is no vehicle.
             F.count("vehicle_id").alias("active_vehicle_count"),
-            mean("speed_units", "speed_n").alias("avg_speed_kmh"),
-            mean("fuel_units", "fuel_n").alias("avg_fuel_level_pct"),
+            mean("speed_sum", "speed_n").alias("avg_speed_kmh"),
+            mean("fuel_sum", "fuel_n").alias("avg_fuel_level_pct"),
             F.max("max_engine_temperature_c").alias("max_engine_temperature_c"),
             F.sum("overspeed_vehicle_count").alias("overspeed_vehicle_count"),
             F.sum("low_fuel_vehicle_count").alias("low_fuel_vehicle_count"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.functions.geo import haversine_km
-from cargolens.functions.numbers import exact_avg, exact_sum, ratio_or_zero, stable_avg
+from cargolens.functions.numbers import mean, ratio_or_zero
 from cargolens.operators.events import delay_rate
 
 
@@ -17,8 +17,8 @@ def trend(enriched: DataFrame, grain: str) -> DataFrame:
         F.count(F.lit(1)).alias("event_count"),
         F.sum("is_completed").alias("completed_deliveries"),
         F.sum("is_delayed").alias("delayed_deliveries"),
-        exact_avg(dated, "delay_minutes").alias("avg_delay_minutes"),
-        exact_sum(dated, "order_value").alias("total_order_value"),
+        mean(dated, "delay_minutes").alias("avg_delay_minutes"),
+        F.sum("order_value").alias("total_order_value"),
     )
     decided = F.greatest(F.lit(1), F.col("completed_deliveries") + F.col("delayed_deliveries"))
     return totals.withColumn("delay_rate", F.col("delayed_deliveries") / decided)
@@ -28,8 +28,8 @@ def cost_trend(gold_kpi: DataFrame, grain: str) -> DataFrame:
     """Cost per period from the route-day KPI; ratios again from sums."""
     dated = gold_kpi.withColumn("period", F.to_date(F.date_trunc(grain, F.col("business_date"))))
     totals = dated.groupBy("period").agg(
-        exact_sum(dated, "actual_cost").alias("actual_cost"),
-        exact_sum(dated, "planned_cost").alias("planned_cost"),
+        F.sum("actual_cost").alias("actual_cost"),
+        F.sum("planned_cost").alias("planned_cost"),
         F.sum("total_deliveries").alias("total_deliveries"),
     )
     actual = F.col("actual_cost").cast("double")
@@ -45,7 +45,7 @@ def vehicle_utilization_daily(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("business_date", "vehicle_id").agg(
         F.count(F.lit(1)).alias("event_count"),
         F.count_distinct("delivery_id").alias("delivery_count"),
-        stable_avg(F.col("utilization_ratio")).alias("avg_utilization_ratio"),
+        F.avg("utilization_ratio").alias("avg_utilization_ratio"),
         F.max("utilization_ratio").alias("max_utilization_ratio"),
     )
 
@@ -55,10 +55,10 @@ def _performance(enriched: DataFrame, *keys: str) -> DataFrame:
         F.count(F.lit(1)).alias("event_count"),
         F.sum("is_completed").alias("completed_deliveries"),
         F.sum("is_delayed").alias("delayed_deliveries"),
-        exact_avg(enriched, "delay_minutes").alias("avg_delay_minutes"),
+        mean(enriched, "delay_minutes").alias("avg_delay_minutes"),
         delay_rate().alias("delay_rate"),
-        exact_avg(enriched, "planned_distance_km").alias("avg_distance_km"),
-        exact_sum(enriched, "order_value").alias("total_order_value"),
+        mean(enriched, "planned_distance_km").alias("avg_distance_km"),
+        F.sum("order_value").alias("total_order_value"),
     )
 
 
@@ -75,7 +75,7 @@ def delivery_delay_analysis(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("region", "traffic_condition", "weather_condition").agg(
         F.count(F.lit(1)).alias("event_count"),
         F.sum("is_delayed").alias("delayed_event_count"),
-        exact_avg(enriched, "delay_minutes").alias("avg_delay_minutes"),
+        mean(enriched, "delay_minutes").alias("avg_delay_minutes"),
         F.max("delay_minutes").alias("max_delay_minutes"),
         delay_rate().alias("delay_rate"),
     )
@@ -98,8 +98,8 @@ def delivery_durations(events: DataFrame) -> DataFrame:
     )
     return per_delivery.groupBy("region").agg(
         F.count(F.lit(1)).alias("delivery_count"),
-        exact_sum(per_delivery, "distance_km").alias("total_distance_km"),
-        exact_avg(per_delivery, "duration_seconds").alias("avg_duration_seconds"),
+        F.sum("distance_km").alias("total_distance_km"),
+        mean(per_delivery, "duration_seconds").alias("avg_duration_seconds"),
     )
 
 

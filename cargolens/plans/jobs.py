@@ -63,14 +63,19 @@ def _store(df: DataFrame, name: str, sort: tuple[str, ...], mode: str, run: Run)
 def daily_kpi_job(events: DataFrame, run: Run, bronze_table: str, gold_table: str, save: Save) -> int:
     """Delivery KPI: every event counts in the KPI, only the bronze table is deduplicated.
 
-    The gold table is read back for publishing, so the KPI is computed once.
+    The history is held, so the guard, bronze and the KPI see the same rows and its database is read
+    once. The gold table is read back for publishing, so the KPI is computed once.
     """
     spark = tune(events.sparkSession)
-    require_rows(events, "the delivery event history")
-    enriched = ev.enrich(events)
-    _store(ev.bronze_events(enriched), bronze_table, SORT_KEYS["delivery_events"], "create_or_replace", run)
-    kpi = ev.stamp(ev.daily_kpi(enriched), F.lit(run.stamp))
-    _store(kpi, gold_table, SORT_KEYS["daily_delivery_kpi"], "create_or_replace", run)
+    held = events.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        require_rows(held, "the delivery event history")
+        enriched = ev.enrich(held)
+        _store(ev.bronze_events(enriched), bronze_table, SORT_KEYS["delivery_events"], "create_or_replace", run)
+        kpi = ev.stamp(ev.daily_kpi(enriched), F.lit(run.stamp))
+        _store(kpi, gold_table, SORT_KEYS["daily_delivery_kpi"], "create_or_replace", run)
+    finally:
+        held.unpersist()
     return publish(spark.table(gold_table), DAILY_KPI_COLUMNS, save)
 
 
@@ -88,7 +93,7 @@ def cost_job(source: DataFrame, dataset: Dataset, run: Run, save: Save, *, sourc
         held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         require_rows(held, dataset.dataset_id, run.batch_date)
-        quality.validate_or_raise(held, dataset.dataset_id, dataset.quality)
+        quality.enforce(held, dataset.dataset_id, dataset.quality)
         names = dataset.target("iceberg")
         mode = write_mode(run.batch_date)
         layer = costs.bronze(
@@ -112,9 +117,10 @@ def cost_job(source: DataFrame, dataset: Dataset, run: Run, save: Save, *, sourc
 def load_job(source: DataFrame, dataset: Dataset, table: str, *, partition: str, update: Sequence[str], run: Run) -> int:
     """Move a source into one lake table as its metadata says; returns the rows taken.
 
-    ``snapshot`` replaces the table. ``merge`` and ``append`` take the rows changed after
-    the newest change the table already holds, so the mark cannot drift from the data
-    and a failed run simply starts from the same mark again.
+    ``snapshot`` replaces the table. ``merge`` and ``append`` take the rows changed at or after
+    the newest change the table already holds, and those without a change time, so the mark cannot
+    drift from the data, equal times are not lost and a failed run simply starts from the same mark again.
+    A merge repeats what it took before without effect; an append leaves out the keys the table has.
     """
     spark = tune(source.sparkSession)
     kind = str(dataset.ingestion.get("load_type", "snapshot"))
@@ -126,7 +132,11 @@ def load_job(source: DataFrame, dataset: Dataset, table: str, *, partition: str,
         write_table(arrange(rows, partition), table, partition=partition, provider=run.provider)
         return spark.table(table).count()
     mark = high_water_mark(spark.table(table), _watermark(dataset))
-    changed = incremental(source, _watermark(dataset), mark).persist(StorageLevel.MEMORY_AND_DISK)
+    changed = incremental(source, _watermark(dataset), mark)
+    if kind == "append":
+        stored = incremental(spark.table(table), _watermark(dataset), mark)
+        changed = changed.join(stored.select(*dataset.primary_key), dataset.primary_key, "left_anti").select(*source.columns)
+    changed = changed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         taken = changed.count()
         if taken and kind == "merge":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cargolens.operators.bi import ROW_LIMIT
+from cargolens.plans.compared import DIGITS
 from cargolens.sources import adapters
 from cargolens.sources.schemas import COST_UPDATE_COLUMNS, EVENT_COLUMNS
 
@@ -15,18 +17,6 @@ def iavg(x: str) -> str:
     return f"CAST(sum({x}) AS DOUBLE) / count({x})"
 
 
-def _units(x: str) -> str:
-    return f"CAST(sum(CAST(round_even(({x}) * 1e9, 0) AS HUGEINT)) AS DOUBLE)"
-
-
-def savg(x: str) -> str:
-    return f"{_units(x)} / (count({x}) * 1e9)"
-
-
-def ssum(x: str) -> str:
-    return f"{_units(x)} / 1e9"
-
-
 def isum(x: str) -> str:
     return f"CAST(sum({x}) AS BIGINT)"
 
@@ -64,9 +54,9 @@ SELECT *, delayed_deliveries / greatest(1, completed_deliveries + delayed_delive
 FROM (SELECT business_date, region, warehouse_id,
              {isum("is_completed")} AS completed_deliveries, {isum("is_delayed")} AS delayed_deliveries,
              count(*) FILTER (is_delayed = 0) AS on_time_deliveries,
-             {iavg("delay_minutes")} AS avg_delay_minutes, {savg("utilization_ratio")} AS avg_vehicle_utilization,
+             {iavg("delay_minutes")} AS avg_delay_minutes, avg(utilization_ratio) AS avg_vehicle_utilization,
              sum(order_value) AS total_order_value, {isum("package_count")} AS total_package_count,
-             {savg("planned_distance_km")} AS avg_distance_km
+             avg(planned_distance_km) AS avg_distance_km
       FROM {source} GROUP BY ALL)"""
 
 
@@ -94,7 +84,7 @@ SELECT region, service_level, count(*) AS event_count, {iavg("delay_minutes")} A
 FROM delivery_events GROUP BY ALL"""
 _VIEWS["vehicle_utilization"] = """
 SELECT vehicle_id, active_status, route_id,
-       CAST(round_even(utilization_ratio * 1e9, 0) AS DOUBLE) / 1e9 AS avg_utilization_ratio,
+       utilization_ratio AS avg_utilization_ratio,
        last_event_timestamp AS last_seen_at
 FROM vehicle_state"""
 _VIEWS["warehouse_daily_kpi"] = "SELECT * EXCLUDE (avg_delay_minutes) FROM kpi"
@@ -133,13 +123,14 @@ FROM (SELECT business_date, warehouse_id, region, route_id, count(DISTINCT cost_
              sum(actual_total_cost) AS actual_cost, sum(fuel_cost) AS fuel_cost, sum(driver_cost) AS driver_cost,
              sum(toll_cost) AS toll_cost, sum(maintenance_cost) AS maintenance_cost, sum(other_cost) AS other_cost,
              sum(actual_distance_km) AS total_distance_km,
-             {savg("vehicle_utilization_pct")} AS avg_vehicle_utilization_pct,
+             avg(vehicle_utilization_pct) AS avg_vehicle_utilization_pct,
              {iavg("actual_duration_minutes")} AS avg_delivery_duration_minutes,
-             {savg("duration_variance_minutes")} AS avg_duration_variance_minutes
+             avg(duration_variance_minutes) AS avg_duration_variance_minutes
       FROM cost_silver WHERE {condition} GROUP BY ALL)"""
 
 
 _VIEWS["cost_gold"] = _gold()
+_VIEWS["corrected_gold"] = _gold("business_date = DATE '1998-09-02' AND used_capacity > 10")
 _VIEWS["cost_performance"] = """
 SELECT k.*, coalesce(d.operational_delivery_count, 0) AS operational_delivery_count,
        coalesce(d.delayed_delivery_count, 0) AS delayed_delivery_count,
@@ -151,8 +142,8 @@ SELECT * FROM vehicle_telemetry WHERE schema_version = 1 AND event_type = 'VEHIC
 _VIEWS["fleet_metrics"] = f"""
 SELECT time_bucket(INTERVAL '5 minutes', event_timestamp) AS window_start,
        time_bucket(INTERVAL '5 minutes', event_timestamp) + INTERVAL '5 minutes' AS window_end,
-       count(DISTINCT vehicle_id) AS active_vehicle_count, {savg("speed_kmh")} AS avg_speed_kmh,
-       {savg("fuel_level_pct")} AS avg_fuel_level_pct, max(engine_temperature_c) AS max_engine_temperature_c,
+       count(DISTINCT vehicle_id) AS active_vehicle_count, avg(speed_kmh) AS avg_speed_kmh,
+       avg(fuel_level_pct) AS avg_fuel_level_pct, max(engine_temperature_c) AS max_engine_temperature_c,
        count(*) FILTER (speed_kmh >= 100) AS overspeed_vehicle_count,
        count(*) FILTER (fuel_level_pct <= 15) AS low_fuel_vehicle_count
 FROM admitted GROUP BY ALL"""
@@ -242,13 +233,13 @@ SELECT valid, reason, count(*) AS row_count FROM (
 GROUP BY ALL"""
 
 
-def _chart(view: str, metrics: dict[str, str], keys: str = "") -> str:
-    """A limited chart orders by its first metric; a big number has neither keys nor limit."""
+def _chart(view: str, metrics: dict[str, str], keys: str = "", limit: int | None = None) -> str:
+    """A limited chart orders by its first metric and its keys; a big number has no keys."""
     columns = ", ".join(f"{sql} AS {name}" for name, sql in metrics.items())
     if not keys:
         return f"SELECT {columns} FROM {view}"
-    first = next(iter(metrics))
-    return f"SELECT {keys}, {columns} FROM {view} GROUP BY {keys} ORDER BY {first} DESC, {keys} LIMIT 1000"
+    cut = f" ORDER BY {next(iter(metrics))} DESC, {keys} LIMIT {limit}" if limit else ""
+    return f"SELECT {keys}, {columns} FROM {view} GROUP BY {keys}{cut}"
 
 
 def _money(*names: str) -> dict[str, str]:
@@ -256,7 +247,7 @@ def _money(*names: str) -> dict[str, str]:
 
 
 LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-ROUTE_COST = {**_money("actual_cost"), "cost_per_delivery": ssum("cost_per_delivery"), "cost_variance": ssum("cost_variance")}
+ROUTE_COST = {**_money("actual_cost"), "cost_per_delivery": "sum(cost_per_delivery)", "cost_variance": "sum(cost_variance)"}
 
 
 def _pivot() -> str:
@@ -264,7 +255,7 @@ def _pivot() -> str:
     for level in LEVELS:
         for metric in ("delay_rate", "avg_delay_minutes"):
             value = f"CASE WHEN service_level = '{level}' THEN {metric} END"
-            cells.append(f'{savg(value)} AS "{level}_{metric}"')
+            cells.append(f'avg({value}) AS "{level}_{metric}"')
     return f"SELECT region, {', '.join(cells)} FROM delay_by_region GROUP BY region"
 
 
@@ -281,7 +272,7 @@ def _performance(keys: str) -> str:
     return f"""
 SELECT business_date, {keys}, count(*) AS event_count, {isum("is_completed")} AS completed_deliveries,
        {isum("is_delayed")} AS delayed_deliveries, {iavg("delay_minutes")} AS avg_delay_minutes,
-       {DELAY_RATE} AS delay_rate, {savg("planned_distance_km")} AS avg_distance_km,
+       {DELAY_RATE} AS delay_rate, avg(planned_distance_km) AS avg_distance_km,
        {dbl("sum(order_value)")} AS total_order_value
 FROM enriched GROUP BY ALL"""
 
@@ -345,11 +336,14 @@ def statements() -> dict[str, str]:
         "warehouse_daily_kpi": f"SELECT * {AS_MONEY} FROM warehouse_daily_kpi",
         "event_volume": "SELECT * FROM event_volume",
         "route_delay": "SELECT * FROM route_delay",
-        "cost_silver": f"""SELECT * EXCLUDE (created_at, updated_at) {AS_COST}, 'run' AS _pipeline_run_id,
+        "cost_silver": f"""SELECT * {AS_COST}, 'run' AS _pipeline_run_id,
             'driver-tables' AS _source_system, business_date AS _batch_date FROM cost_silver""",
         "cost_gold": f"SELECT * {AS_GOLD} FROM cost_gold",
         "cost_gold_for_date": f"""SELECT * {AS_GOLD} FROM ({_gold("business_date = DATE '1998-09-02'")})""",
-        "cost_gold_table": f"SELECT * {AS_GOLD} FROM cost_gold",
+        "cost_gold_table": f"""SELECT * {AS_GOLD} FROM (
+            SELECT * FROM corrected_gold UNION ALL
+            SELECT * FROM cost_gold g WHERE NOT EXISTS (SELECT 1 FROM corrected_gold c WHERE c.business_date = g.business_date
+                AND c.warehouse_id = g.warehouse_id AND c.region = g.region AND c.route_id = g.route_id))""",
         "cost_performance": f"SELECT * {AS_GOLD} FROM cost_performance",
         "quality_cost": _failed(
             "transportation_costs",
@@ -374,12 +368,14 @@ def statements() -> dict[str, str]:
                         "used_within_capacity": "used_capacity > vehicle_capacity",
                         "total_is_sum_of_parts": f"actual_total_cost <> {PARTS}",
                         "capacity_positive": "vehicle_capacity <= 0",
+                        **{f"{c}_not_negative": f"{c} < 0" for c in NON_NEGATIVE},
                     },
                 ),
                 _failed(
                     "customer_orders",
                     {
                         "order_value_not_negative": "order_value < 0",
+                        "package_count_positive": "package_count <= 0",
                         "promised_after_created": "promised_delivery_at <= order_created_at",
                     },
                 ),
@@ -390,6 +386,7 @@ def statements() -> dict[str, str]:
                         "distance_not_negative": "planned_distance_km < 0",
                     },
                 ),
+                _failed("vehicles", {"capacity_total_positive": "capacity_total <= 0"}),
             ]
         ),
         "event_checks": _failed(
@@ -451,47 +448,48 @@ def statements() -> dict[str, str]:
         "fleet_metrics_5m_stream": f"SELECT * FROM fleet_metrics WHERE {window_closed}",
         "health_alerts_stream": "SELECT * FROM alerts",
         "telemetry_raw_stream": "SELECT * FROM admitted",
-        "telemetry_dedup_stream": "SELECT * FROM admitted",
+        "telemetry_dedup_stream": "SELECT DISTINCT * FROM admitted",
         "fleet_state_stream": "SELECT * FROM fleet_state",
         "delivery_state_stream": f"SELECT * {AS_ORDER} FROM delivery_state",
         "vehicle_state_stream": "SELECT * FROM vehicle_state",
-        "delivery_history_stream": "SELECT * EXCLUDE (avg_distance_km, total_order_value) FROM kpi",
+        "delivery_history_stream": f"SELECT * {AS_MONEY} FROM kpi",
         "bi_status_overview": _chart("status_overview", {"event_count": isum("event_count")}, "status"),
         "bi_delay_pivot": _pivot(),
         "bi_vehicle_utilization": _chart(
             "vehicle_utilization",
-            {"avg_utilization_ratio": savg("avg_utilization_ratio")},
+            {"avg_utilization_ratio": "avg(avg_utilization_ratio)"},
             "vehicle_id, active_status, route_id",
         ),
         "bi_warehouse_kpi": _chart(
             "warehouse_daily_kpi",
             {
                 **{c: isum(c) for c in ("completed_deliveries", "delayed_deliveries", "on_time_deliveries")},
-                "delay_rate": savg("delay_rate"),
-                "on_time_rate": savg("on_time_rate"),
+                "delay_rate": "avg(delay_rate)",
+                "on_time_rate": "avg(on_time_rate)",
                 **_money("total_order_value"),
             },
             "business_date, region, warehouse_id",
         ),
         "bi_hourly_volume": _chart("event_volume", {"event_count": isum("event_count")}, "event_hour, event_type"),
         "bi_actual_cost": _chart("cost_performance", _money("actual_cost")),
-        "bi_cost_variance": _chart("cost_performance", {"cost_variance": ssum("cost_variance")}),
-        "bi_cost_per_delivery": _chart("cost_performance", {"cost_per_delivery": ssum("cost_per_delivery")}),
-        "bi_cost_per_delivery_avg": _chart("cost_performance", {"cost_per_delivery": savg("cost_per_delivery")}),
+        "bi_cost_variance": _chart("cost_performance", {"cost_variance": "sum(cost_variance)"}),
+        "bi_cost_per_delivery": _chart("cost_performance", {"cost_per_delivery": "sum(cost_per_delivery)"}),
+        "bi_cost_per_delivery_avg": _chart("cost_performance", {"cost_per_delivery": "avg(cost_per_delivery)"}),
         "bi_cost_breakdown": _chart(
             "cost_performance",
             _money("fuel_cost", "driver_cost", "toll_cost", "maintenance_cost", "other_cost"),
             "business_date",
         ),
         "bi_route_cost": _chart("cost_performance", ROUTE_COST, "route_id, region"),
+        "bi_route_cost_limited": _chart("cost_performance", ROUTE_COST, "route_id, region", limit=ROW_LIMIT),
         "bi_warehouse_cost": _chart("cost_performance", _money("actual_cost"), "warehouse_id, region"),
         "bi_route_risk": _chart(
             "cost_performance",
             {
                 **_money("actual_cost"),
-                "delay_rate": savg("delay_rate"),
-                "avg_delay_minutes": savg("avg_delay_minutes"),
-                "cost_delay_risk_score": ssum("cost_delay_risk_score"),
+                "delay_rate": "avg(delay_rate)",
+                "avg_delay_minutes": "avg(avg_delay_minutes)",
+                "cost_delay_risk_score": "sum(cost_delay_risk_score)",
             },
             "route_id, warehouse_id, region",
         ),
@@ -517,14 +515,14 @@ def statements() -> dict[str, str]:
                          epoch_ms(TIMESTAMP '2024-01-31') // 1000 - epoch_ms(max(event_timestamp)) // 1000 AS lag_seconds
                   FROM vehicle_telemetry)""",
         "source_readiness": "SELECT count(*) AS row_count FROM transportation_costs WHERE business_date = DATE '1998-09-02'",
-        "incremental_cost": f"""SELECT cost_id, business_date, vehicle_id, route_id,
-            {ACTUAL} AS actual_total_cost, updated_at FROM transportation_costs WHERE updated_at > TIMESTAMP '2000-06-01'""",
+        "incremental_cost": f"SELECT * {AS_COST} FROM transportation_costs WHERE updated_at >= TIMESTAMP '2000-06-01' OR updated_at IS NULL",
         "source_sample": f"""SELECT order_id, service_level, {dbl("order_value")} AS order_value FROM customer_orders
             ORDER BY order_id LIMIT 10""",
         "source_trace": """SELECT order_id, shipment_id, delivery_id, driver_id FROM customer_orders
             JOIN shipments USING (order_id) JOIN delivery_plans USING (shipment_id)""",
         "planned_vs_actual": f"""
-            SELECT delivery_id, planned_departure_at, planned_arrival_at, actual_departure_at, actual_arrival_at,
+            SELECT delivery_id, shipment_id, driver_id, {dbl("planned_distance_km")} AS planned_distance_km,
+                   planned_departure_at, planned_arrival_at, actual_departure_at, actual_arrival_at,
                    {_seconds("planned_departure_at", "actual_departure_at")} AS departure_delay_seconds,
                    {_seconds("planned_arrival_at", "actual_arrival_at")} AS arrival_delay_seconds,
                    {_seconds("planned_departure_at", "planned_arrival_at")} AS planned_duration_seconds,
@@ -545,7 +543,7 @@ def statements() -> dict[str, str]:
                   FROM cost_gold GROUP BY 1)""",
         "vehicle_utilization_daily": f"""
             SELECT business_date, vehicle_id, count(*) AS event_count, count(DISTINCT delivery_id) AS delivery_count,
-                   {savg("utilization_ratio")} AS avg_utilization_ratio, max(utilization_ratio) AS max_utilization_ratio
+                   avg(utilization_ratio) AS avg_utilization_ratio, max(utilization_ratio) AS max_utilization_ratio
             FROM enriched GROUP BY ALL""",
         "route_performance_daily": _performance("route_id"),
         "warehouse_performance_daily": _performance("warehouse_id, region"),
@@ -555,7 +553,7 @@ def statements() -> dict[str, str]:
                    max(delay_minutes) AS max_delay_minutes, {DELAY_RATE} AS delay_rate
             FROM enriched GROUP BY ALL""",
         "delivery_durations": f"""
-            SELECT region, count(*) AS delivery_count, {ssum("distance_km")} AS total_distance_km,
+            SELECT region, count(*) AS delivery_count, sum(distance_km) AS total_distance_km,
                    {iavg("duration_seconds")} AS avg_duration_seconds
             FROM (SELECT delivery_id, min(region) AS region, max(planned_distance_km) AS distance_km,
                          {_seconds("min(event_timestamp)", "max(event_timestamp)")} AS duration_seconds
@@ -575,7 +573,12 @@ def statements() -> dict[str, str]:
         "delay_signals": "SELECT * FROM signals",
         "problem_shipments": "SELECT * FROM signals WHERE is_late = 1 OR is_off_route = 1",
     }
-    return {name: f"WITH {_needed(body)}\n{body}" for name, body in bodies.items()}
+    return {name: _rounded(name, f"WITH {_needed(body)}\n{body}") for name, body in bodies.items()}
+
+
+def _rounded(name: str, sql: str) -> str:
+    digits = ", ".join(f"round({c}, {n}) AS {c}" for c, n in DIGITS.get(name, {}).items())
+    return f"SELECT * REPLACE ({digits}) FROM ({sql})" if digits else sql
 
 
 def _needed(body: str) -> str:

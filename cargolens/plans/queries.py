@@ -15,6 +15,7 @@ from cargolens.operators import bi, contract, costs, integrity, latest, lifecycl
 from cargolens.operators import events as ev
 from cargolens.operators import telemetry as tm
 from cargolens.plans import fleet_sql
+from cargolens.plans.compared import DIGITS
 from cargolens.session import shared_dir, tune
 from cargolens.plans.jobs import relationship_counts
 from cargolens.sources import adapters, tables
@@ -145,7 +146,7 @@ def route_delay(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cost_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return costs.silver(_bronze(spark, sf)).drop("_ingested_at", "created_at", "updated_at")
+    return costs.silver(_bronze(spark, sf)).drop("_ingested_at")  # the moment of the run
 
 
 def cost_gold_for_date(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,10 +158,11 @@ def cost_performance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cost_gold_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Serving KPI table: a full run and a later run of one date, merged by version on read."""
+    """Serving KPI table: a full run and a later run of one date over corrected rows, merged by version on read."""
     root = shared_dir(spark, "gold") + "/kpi"
-    for version, batch_date in ((1, None), (2, BATCH_DATE)):
-        kpi = serving(_gold(spark, sf, batch_date)).withColumns(
+    corrected = costs.gold(costs.silver(_bronze(spark, sf, BATCH_DATE).filter(F.col("used_capacity") > 10)))
+    for version, gold in ((1, _gold(spark, sf)), (2, corrected)):
+        kpi = serving(gold).withColumns(
             {"version": F.lit(version), "month": month_key(F.col("business_date"))}
         )
         arranged = tables.arrange(kpi, "month", tables.SORT_KEYS["daily_transportation_cost_kpi"])
@@ -185,6 +187,7 @@ def source_checks(spark: SparkSession, sf: str) -> DataFrame:
         quality.failed_counts(_costs(spark, sf), quality.source_checks())
         .unionByName(quality.failed_counts(_orders(spark, sf), quality.order_checks()))
         .unionByName(quality.failed_counts(_plans(spark, sf), quality.plan_checks()))
+        .unionByName(quality.failed_counts(_vehicles(spark, sf), quality.vehicle_checks()))
     )
 
 
@@ -302,8 +305,11 @@ def telemetry_raw_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def telemetry_dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Watermarked stream dedup by event id."""
-    marked = fleet.watermarked(tm.admit(_telemetry_stream(spark, sf)))
+    """Watermarked stream dedup by event id; every seventh event comes three times."""
+    rows = adapters.view(spark, sf, "vehicle_telemetry", streaming="events")
+    copies = F.when(F.col("event_id").cast("long") % 7 == 0, 3).otherwise(1)
+    repeated = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+    marked = fleet.watermarked(tm.admit(fleet.telemetry_stream(parse.telemetry_json(repeated))))
     return drain(spark, tm.raw(dedup(marked, "event_id")), "telemetry-dedup")
 
 
@@ -339,7 +345,7 @@ def vehicle_state_stream(spark: SparkSession, sf: str) -> DataFrame:
 def delivery_history_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The event history the stream wrote, as the daily KPI reads it."""
     history = delivery.read_history(spark, _drained_delivery(spark, sf))
-    return ev.daily_kpi(ev.enrich(history)).drop("avg_distance_km", "total_order_value")
+    return ev.daily_kpi(ev.enrich(history))
 
 
 def json_parse_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,6 +375,11 @@ def bi_cost_per_delivery_avg(spark: SparkSession, sf: str) -> DataFrame:
     return bi.chart(cost_performance(spark, sf), spec, aggregates={"cost_per_delivery": "avg"})
 
 
+def bi_route_cost_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """The chart as a dashboard shows it: its first rows only."""
+    return bi.chart(cost_performance(spark, sf), bi.CHARTS["route_cost"], limit=bi.ROW_LIMIT)
+
+
 def bi_filtered_cost(spark: SparkSession, sf: str) -> DataFrame:
     view = bi.apply_filters(
         cost_performance(spark, sf),
@@ -440,7 +451,7 @@ def history_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf: str) -> DataFrame:
-    return lifecycle.freshness(_telemetry(spark, sf), "event_timestamp", TELEMETRY_AS_OF, 300)
+    return lifecycle.freshness(_telemetry(spark, sf), "event_timestamp", TELEMETRY_AS_OF, DATASETS["fleet.vehicle_telemetry"].max_lag_seconds)
 
 
 def source_readiness(spark: SparkSession, sf: str) -> DataFrame:
@@ -448,8 +459,7 @@ def source_readiness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incremental_cost(spark: SparkSession, sf: str) -> DataFrame:
-    changed = lifecycle.incremental(_costs(spark, sf), "updated_at", COST_HIGH_WATER)
-    return changed.select("cost_id", "business_date", "vehicle_id", "route_id", "actual_total_cost", "updated_at")
+    return lifecycle.incremental(_costs(spark, sf), "updated_at", COST_HIGH_WATER)
 
 
 def source_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -473,7 +483,7 @@ def source_trace(spark: SparkSession, sf: str) -> DataFrame:
 
 def planned_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
     events = _events(spark, sf, "delivery_id", "status", "event_timestamp")
-    return trends.planned_vs_actual(_plans(spark, sf), events).drop("shipment_id", "driver_id", "planned_distance_km")
+    return trends.planned_vs_actual(_plans(spark, sf), events)
 
 
 def top_delayed_routes(spark: SparkSession, sf: str) -> DataFrame:
@@ -558,6 +568,7 @@ _BUILDERS: dict[str, Query] = {
     **{f"bi_{name}": _chart(name) for name in bi.CHARTS},
     "bi_cost_per_delivery_avg": bi_cost_per_delivery_avg,
     "bi_filtered_cost": bi_filtered_cost,
+    "bi_route_cost_limited": bi_route_cost_limited,
     "upsert_cost": upsert_cost,
     "insert_absent": insert_absent,
     "retention_events": retention_events,
@@ -586,9 +597,11 @@ _BUILDERS: dict[str, Query] = {
 }
 
 
-def _served(build: Query) -> Query:
-    return lambda spark, sf: serving(build(tune(spark), sf))
+def _served(name: str, build: Query) -> Query:
+    """Results in serving types, their summed doubles rounded as ``compared`` says."""
+    digits = DIGITS.get(name, {})
+    return lambda spark, sf: serving(build(tune(spark), sf)).withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 def registry() -> dict[str, Query]:
-    return {name: _served(build) for name, build in _BUILDERS.items()}
+    return {name: _served(name, build) for name, build in _BUILDERS.items()}

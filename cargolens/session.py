@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,14 +26,9 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
+    """A new folder below the cluster's ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Only a local session without that setting may fall back to the machine's own
-    temporary folder: on a cluster the executors would not see it.
+    Both are folders that all executors share; a machine's own temporary folder is never used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="cargolens-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/cargolens/{name}-{uuid.uuid4().hex[:12]}"

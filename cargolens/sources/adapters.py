@@ -2,9 +2,9 @@
 
 Each view is plain SQL that Spark and DuckDB both accept, so the checks can state
 the same input. ``delivery_events`` is split into the columns that come from the
-line item side and the ones that need ``orders``: a line item always has its order
-(a foreign key, tested at every scale), so a reader that wants none of the order
-columns is spared the largest join of all.
+line item side and the ones that need ``orders``. Those come through a left join on the unique
+key of ``orders``, which neither drops nor repeats a row, so a reader that wants none of
+them is spared the largest join of all and still sees the same rows.
 """
 
 from __future__ import annotations
@@ -65,14 +65,14 @@ def events_sql(columns: Iterable[str] | None = None) -> tuple[str, list[str]]:
     tables = ["lineitem", "supplier", "nation", "region"]
     join = ""
     if set(wanted) & set(EVENT_ORDER_COLUMNS):
-        join = "JOIN {orders} ON l_orderkey = o_orderkey "
+        join = "LEFT JOIN {orders} ON l_orderkey = o_orderkey "
         tables.append("orders")
     return f"SELECT {select}\nFROM {{lineitem}} {join}{_PLACES}", tables
 
 
 COSTS_SQL = f"""
 SELECT concat('cost-', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS cost_id,
-       CAST(l_shipdate AS DATE) AS business_date,
+       CAST(l_shipdate + CASE WHEN l_orderkey % 200 = 0 THEN 4000 ELSE 0 END * INTERVAL '1' DAY AS DATE) AS business_date,
        concat('delivery-', CAST(l_orderkey AS STRING)) AS delivery_id,
        concat('route-', r_name, '-', CAST(l_partkey % 6 AS STRING)) AS route_id,
        concat('vehicle-', CAST(l_suppkey AS STRING)) AS vehicle_id,
@@ -123,16 +123,20 @@ SELECT concat('warehouse-', CAST(n_nationkey AS STRING)) AS warehouse_id,
        CAST(49 + n_nationkey * 0.01 AS DECIMAL(9,6)) AS longitude
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"""
 
+# Some vehicles share a plate or have no capacity, some orders no package, and some costs a day without
+# deliveries: each check over these tables has something to find.
 VEHICLES_SQL = """
-SELECT concat('vehicle-', CAST(s_suppkey AS STRING)) AS vehicle_id, s_name AS plate_number,
+SELECT concat('vehicle-', CAST(s_suppkey AS STRING)) AS vehicle_id,
+       concat('plate-', CAST(s_suppkey - CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END AS STRING)) AS plate_number,
        CASE s_suppkey % 2 WHEN 0 THEN 'truck' ELSE 'van' END AS vehicle_type,
-       CAST(160 AS DECIMAL(12,2)) AS capacity_total, s_acctbal >= 0 AS active
+       CAST(CASE WHEN s_suppkey % 10 = 0 THEN 0 ELSE 160 END AS DECIMAL(12,2)) AS capacity_total, s_acctbal >= 0 AS active
 FROM {supplier}"""
 
 CUSTOMER_ORDERS_SQL = """
 SELECT concat('order-', CAST(o_orderkey AS STRING)) AS order_id,
        concat('customer-', CAST(o_custkey AS STRING)) AS customer_id,
        o_orderpriority AS service_level,
+       CAST(o_orderkey % 9 AS INT) AS package_count,
        CAST(o_totalprice AS DECIMAL(12,2)) AS order_value,
        o_orderdate AS order_created_at, o_orderdate + INTERVAL '4' HOUR AS promised_delivery_at
 FROM {orders}"""

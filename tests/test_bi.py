@@ -30,6 +30,7 @@ def test_pivot_has_a_column_per_value_and_metric(spark):
     north, south = out.orderBy("region").collect()
     assert north[1:] == (pytest.approx(0.3), 5.0, None, None)
     assert south[1:] == (None, None, 1.0, 9.0)
+    assert bi.chart(df, bi.CHARTS["delay_pivot"], pivot_values=["slow", "fast"], limit=1).count() == 1
     found = bi.chart(df, bi.CHARTS["delay_pivot"]).columns
     assert found == out.columns  # discovered values come sorted too
 
@@ -38,7 +39,8 @@ def test_limit_keeps_the_greatest_and_breaks_ties_by_key(spark):
     df = spark.range(5000).select(
         F.lpad(F.col("id").cast("string"), 5, "0").alias("status"), F.when(F.col("id") < 10, 5).otherwise(1).alias("event_count")
     )
-    rows = bi.chart(df, bi.CHARTS["status_overview"]).collect()
+    assert bi.chart(df, bi.CHARTS["status_overview"]).count() == 5000
+    rows = bi.chart(df, bi.CHARTS["status_overview"], limit=bi.ROW_LIMIT).collect()
     assert len(rows) == bi.ROW_LIMIT
     assert [r["status"] for r in rows[:11]] == [f"{i:05d}" for i in range(11)]
 

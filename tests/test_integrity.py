@@ -11,8 +11,8 @@ from cargolens.sources.schemas import STATUS_ORDER
 T0 = datetime(2024, 1, 1)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
-def test_previous_value_equals_a_plain_lag_with_a_hot_key(spark, hot_rows):
+@pytest.mark.parametrize("chunk", ["hour", "day", "year"])
+def test_previous_value_equals_a_plain_lag_with_a_hot_key(spark, chunk):
     """One key, a null one at that, holds a third of the rows; instants repeat and days are skipped."""
     rows = []
     for i in range(3000):
@@ -20,7 +20,7 @@ def test_previous_value_equals_a_plain_lag_with_a_hot_key(spark, hot_rows):
         at = T0 + timedelta(minutes=((i * 7919) % 1500) * 13, days=(i % 5) * 3)
         rows.append((key, at, i, STATUS_ORDER[(i * 31) % 5]))
     df = spark.createDataFrame(rows, "k string, at timestamp, i int, status string")
-    found = integrity.with_previous(df, "k", "at", ["i"], "status", "previous", hot_rows=hot_rows)
+    found = integrity.with_previous(df, "k", "at", ["i"], "status", "previous", chunk=chunk)
     expected, last = {}, {}
     for key, at, i, status in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
         expected[i] = last.get(key)
@@ -72,11 +72,11 @@ def test_retention_reaches_the_scan(spark, tmp_path):
 
 
 def test_incremental_and_high_water_mark(spark):
-    df = spark.createDataFrame([(T0,), (T0 + timedelta(days=1),)], "updated_at timestamp")
-    assert lifecycle.incremental(df, "updated_at", None).count() == 2
-    assert lifecycle.incremental(df, "updated_at", T0).count() == 1
+    df = spark.createDataFrame([(T0,), (T0 + timedelta(days=1),), (T0 - timedelta(days=1),), (None,)], "updated_at timestamp")
+    assert lifecycle.incremental(df, "updated_at", None).count() == 4
+    assert lifecycle.incremental(df, "updated_at", T0).count() == 3  # the mark itself, later ones and unknown times
     mark = lifecycle.high_water_mark(df, "updated_at")
-    assert mark == T0 + timedelta(days=1) and lifecycle.incremental(df, "updated_at", mark).count() == 0
+    assert mark == T0 + timedelta(days=1) and lifecycle.incremental(df, "updated_at", mark).count() == 2
     assert lifecycle.high_water_mark(df.limit(0), "updated_at") is None
 
 

@@ -10,6 +10,10 @@ from tests.test_costs import cost, frame
 EQUALITY = {"equality": {"total": {"formula": "a + b"}}}
 
 
+def counts(df, rules):
+    return {r["rule"]: r["failed_count"] for r in quality.failed_counts(df, quality.rules(rules)).collect()}
+
+
 @pytest.mark.parametrize(
     ("total", "a", "b", "failed"),
     [
@@ -23,27 +27,27 @@ EQUALITY = {"equality": {"total": {"formula": "a + b"}}}
 def test_equality(spark, total, a, b, failed):
     row = tuple(None if v is None else Decimal(v) for v in (total, a, b))
     df = spark.createDataFrame([row], "total decimal(12,2), a decimal(12,2), b decimal(12,2)")
-    assert quality.validate(df, EQUALITY) == [quality.Outcome("equality:total", failed)]
+    assert counts(df, EQUALITY) == {"equality:total": failed}
 
 
 def test_null_is_no_negative_and_negative_is(spark):
     df = spark.createDataFrame([(None, 1), (1, None), (-1, None)], "a int, b int")
-    assert quality.validate(df, {"non_negative": ["a", "b"]}) == [quality.Outcome("non_negative", 1)]
+    assert counts(df, {"non_negative": ["a", "b"]}) == {"non_negative": 1}
 
 
 def test_one_row_with_two_nulls_fails_once(spark):
     df = spark.createDataFrame([(None, None), (1, 1)], "a int, b int")
-    assert quality.validate(df, {"not_null": ["a", "b"]}) == [quality.Outcome("not_null", 1)]
+    assert counts(df, {"not_null": ["a", "b"]}) == {"not_null": 1}
 
 
 def test_accepted_values_skip_nulls(spark):
     df = spark.createDataFrame([("RUNNING",), ("BROKEN",), (None,)], "engine_status string")
     rules = {"accepted_values": TELEMETRY_QUALITY["accepted_values"]}
-    assert quality.validate(df, rules) == [quality.Outcome("accepted_values:engine_status", 1)]
+    assert counts(df, rules) == {"accepted_values:engine_status": 1}
 
 
 def test_no_rules_no_outcome(spark):
-    assert quality.validate(spark.range(1), {}) == []
+    assert quality.enforce(spark.range(1), "ds", {}).collect() == []
 
 
 def test_empty_formula_raises_when_it_has_no_columns(spark):
@@ -59,16 +63,15 @@ def test_missing_columns_are_listed_in_order():
 def test_all_failures_in_one_message(spark):
     df = frame(spark, cost("a", fuel_cost=Decimal(-1)), cost(None))
     with pytest.raises(ValueError) as error:
-        quality.validate_or_raise(df, "delivery.costs", COST_QUALITY)
+        quality.enforce(df, "delivery.costs", COST_QUALITY)
     assert "delivery.costs" in str(error.value)
-    for part in ("not_null failed_count=1", "non_negative failed_count=1", "equality:actual_total_cost failed_count=1"):
+    for part in ("'not_null': 1", "'non_negative': 1", "'equality:actual_total_cost': 1"):
         assert part in str(error.value)
 
 
 def test_clean_rows_pass(spark):
-    outcomes = quality.validate_or_raise(frame(spark, cost("a"), cost("b")), "ds", COST_QUALITY)
-    assert [o.rule for o in outcomes] == ["not_null", "non_negative", "equality:actual_total_cost"]
-    assert all(o.ok for o in outcomes)
+    found = quality.enforce(frame(spark, cost("a"), cost("b")), "ds", COST_QUALITY).collect()
+    assert [tuple(r) for r in found] == [("not_null", 0), ("non_negative", 0), ("equality:actual_total_cost", 0)]
 
 
 def test_all_rules_share_one_scan(spark, sf_dir):

@@ -6,11 +6,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from cargolens.plans import oracle
 from cargolens.plans import queries as registered
 from tests.check import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -19,12 +20,13 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(registered.registry()) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_its_sql(spark, connection, name):
-    assert compare(spark, connection, SMALL, entry.queries()[name], SQL[name]) is None
+    assert compare(spark, connection, SMALL, registered.registry()[name], SQL[name]) is None
 
 
 def test_entry_has_rows(spark):
