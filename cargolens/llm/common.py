@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,9 +24,14 @@ def ready(spark: SparkSession) -> SparkSession:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the cluster's shared folder and reads it back: what follows survives lost executors."""
+    """Writes ``df`` to the cluster's shared folder and reads it back: what follows survives lost executors.
+
+    Spark removes the shuffle files of finished steps when the driver collects its garbage, so it is asked to.
+    """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -109,7 +109,11 @@ def entries(docs: DataFrame, size: int, bits: int, frequent) -> DataFrame:
 
 
 def shared(packed: DataFrame, bits: int) -> DataFrame:
-    """Rows (node, columns, rows): the columns of each block that more than one node holds, with the number of their nodes."""
+    """Rows (node, columns): the columns of each block that more than one node holds.
+
+    A column is one number from here on: its rarity (four steps per doubling of its nodes) above 57 bits of its hash, so
+    sorting numbers puts rare columns first and all of Spark's array functions work on plain longs.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         number = group.column("block")[0].as_py()
@@ -123,13 +127,14 @@ def shared(packed: DataFrame, bits: int) -> DataFrame:
         rows = np.diff(np.append(starts, len(column)))
         rows = np.repeat(np.full(len(rows), MANY) if number >= 1 << bits else rows, rows)
         node, column, rows = node[rows > 1], column[rows > 1], rows[rows > 1]
+        column = (np.minimum(4 * np.log2(rows), 127).astype(np.int64) << 57) | (column.view(np.uint64) >> np.uint64(7)).astype(np.int64)
         order = np.argsort(node, kind="stable")
-        node, column, rows = node[order], column[order], rows[order]
+        node, column = node[order], column[order]
         heads = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.zeros(0, np.int64)
         bounds = np.append(heads, len(node))
-        return pa.table([pa.array(node[heads]), lists(column, bounds, pa.int64()), lists(rows, bounds, pa.int32())], names=["node", "columns", "rows"])
+        return pa.table([pa.array(node[heads]), lists(column, bounds, pa.int64())], names=["node", "columns"])
 
-    return packed.groupBy("block").applyInArrow(run, "node long, columns array<long>, rows array<int>")
+    return packed.groupBy("block").applyInArrow(run, "node long, columns array<long>")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -161,10 +166,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     columns = np.sort(np.array([r[0] for r in counted.select("node").collect()], np.int64).view(np.uint64))  # at most FREQUENT of them
     bits = max(4, int(np.ceil(np.log2(max(1, total / BLOCK_ENTRIES)))))
     reported = shared(entries(light, size, bits, spark.sparkContext.broadcast(columns)), bits)
-    items = F.arrays_zip(F.col("rows"), F.col("columns"))
-    merged = reported.select("node", items.alias("items")).groupBy("node").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = reported.groupBy("node").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("columns")))).alias("columns"))
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
-    sets = merged.join(nodes, "node").where(5 * F.size("items") >= 4 * F.col("n")).select("node", "n", F.col("items.columns").alias("columns"))
+    sets = merged.join(nodes, "node").where(5 * F.size("columns") >= 4 * F.col("n")).select("node", "n", "columns")
     sets = stage(sets, "sets")
 
     # One column among the rarest ``n - ceil(0.8 n) + 1`` must be shared; columns of a single row are the rarest of all.
