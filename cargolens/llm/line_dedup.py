@@ -32,35 +32,42 @@ from cargolens.llm.quality import windows
 SIZE = 5
 #: Cells of the rarity table: its size is fixed, whatever the corpus.
 CELLS = 1 << 16
+#: A line with that many words.
+ENOUGH = "[^\\x20\\x09-\\x0D](?:[^\\x20\\x09-\\x0D]*[\\x20\\x09-\\x0D]+[^\\x20\\x09-\\x0D]){4}"
 
 
-def tokens(line: Column) -> Column:
-    """Distinct hashes of the runs of five words of a line; none below five words."""
+def runs(line: Column) -> Column:
+    """Hashes of the runs of five words of a line, one for each place; none below five words."""
     hashes = F.transform(F.array_remove(F.split(line, SPACE), ""), lambda w: F.xxhash64(w))
-    return F.array_distinct(let(hashes, lambda h: windows(h, SIZE)))
+    return let(hashes, lambda h: windows(h, SIZE))
+
+
+def tokens(line: Column) -> Column:
+    """The set of a line's runs."""
+    return F.array_distinct(runs(line))
 
 
 def lines(docs: DataFrame, text: str) -> DataFrame:
-    """``(row, line, tokens)`` of the lines that have tokens."""
+    """``(row, line, body)`` of the lines of five words or more, told by the text itself so that tokens are made once."""
     each = docs.select(F.col("_row").alias("row"), F.posexplode(F.split(text, "\n")).alias("line", "body"))
-    return each.select("row", "line", tokens(F.col("body")).alias("tokens")).where(F.size("tokens") > 0)
+    return each.where(F.col("body").rlike(ENOUGH))
 
 
-def rarity(split: DataFrame) -> bytes:
-    """Per cell the magnitude of its token count, one byte each."""
+def rarity(split: DataFrame) -> list[int]:
+    """Per cell the magnitude of its count."""
     cell = F.pmod(F.col("token"), F.lit(CELLS)).cast("int").alias("cell")
-    counts = split.select(F.explode("tokens").alias("token")).groupBy(cell).agg(F.count("*").alias("n")).collect()  # CELLS rows at most
-    table = bytearray(CELLS)
+    counts = split.select(F.explode(runs(F.col("body"))).alias("token")).groupBy(cell).agg(F.count("*").alias("n")).collect()  # CELLS rows at most
+    table = [0] * CELLS
     for row in counts:
         table[row["cell"]] = row["n"].bit_length()
-    return bytes(table)
+    return table
 
 
-def ordered(found: Column, table: bytes) -> Column:
-    """Tokens from rare to frequent."""
-    cells = F.lit(table)
-    tagged = F.transform(found, lambda t: F.struct(F.substring(cells, F.pmod(t, F.lit(CELLS)).cast("int") + 1, 1).alias("r"), t.alias("t")))
-    return F.transform(F.array_sort(tagged), lambda s: s["t"])
+def ordered(found: Column, table: list[int]) -> Column:
+    """Tokens from rare to frequent, each as one number: the magnitude above 57 bits of its hash."""
+    cells = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to a constant
+    magnitude = lambda t: F.coalesce(F.get(cells, F.pmod(t, F.lit(CELLS)).cast("int")), F.lit(0).cast("bigint"))
+    return F.sort_array(F.transform(found, lambda t: F.shiftleft(magnitude(t), 57).bitwiseOR(F.shiftrightunsigned(t, 7))))
 
 
 def similar(n_x: Column | str, n_y: Column | str, both: Column | str) -> Column:
@@ -83,9 +90,10 @@ def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(row, line)`` of the lines to remove from ``docs``, whose rows carry their order as ``_row``."""
     split = lines(docs, text)
     table = rarity(split)
+    made = split.select("row", "line", tokens(F.col("body")).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice(ordered(F.col("tokens"), table), 1, F.expr("size(tokens) - (4 * size(tokens) + 4) div 5 + 1").cast("int"))
-    light = split.select("row", "line", n.alias("n"), F.xxhash64(F.array_sort("tokens")).alias("key"), prefix.alias("prefix"))
+    light = made.select("row", "line", n.alias("n"), F.xxhash64(F.array_sort("tokens")).alias("key"), prefix.alias("prefix"))
     light = stage(light, "lines")
     place = F.struct("row", "line")
     folded = light.groupBy("key").agg(F.min(place).alias("p"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
