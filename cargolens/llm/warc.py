@@ -18,6 +18,7 @@ The input is read twice: it must be a table or a checkpointed frame.
 
 from __future__ import annotations
 
+import bisect
 import gzip
 import hashlib
 import io
@@ -25,17 +26,19 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cargolens.llm.common import filesystem, numbered, ready, running, stage
 from cargolens.llm.token_files import each_file, make_folder
 from cargolens.session import shared_dir
 
 REVISIT_BYTES = 100
-#: Payload bytes of a shard, and the compressed size at which a file is closed.
-SHARD_BYTES, FILE_BYTES = 32 << 20, 16 << 20
+#: Payload bytes of a shard, at least (shards grow beyond that many), and the compressed size at which a file is closed.
+SHARD_BYTES, MOST_SHARDS, FILE_BYTES = 32 << 20, 1 << 16, 16 << 20
 DATE = "2024-01-01T00:00:00Z"
 #: Fixed values of the format.
 VERSION, BREAK = b"WARC/1.1", b"\r\n"
@@ -46,16 +49,31 @@ PAGE, REFERS_PAGE, LENGTH = "X-Page-ID", "X-Refers-To-Page-ID", "X-Payload-Lengt
 
 
 def plan(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Per row its shard, digest and, for a revisit, the row it refers to."""
+    """Per row its shard and, for a revisit, the row it refers to; from ids, sizes and digests alone."""
     raw = F.coalesce(F.col(html), F.lit(""))
     light = pages.select(F.col(key).cast("long").alias("page_id"), F.octet_length(raw).cast("long").alias("size"), F.sha2(raw, 256).alias("digest"))
     ranged = numbered(light, ["page_id"])
     placed = stage(running(ranged, ["page_id"], "size", ready_ranges=True), "placed")
+    total = placed.agg(F.sum("size")).head()[0] or 0
     order = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "_part", "_tie")
     groups = placed.where(F.col("size") >= REVISIT_BYTES).groupBy("digest", "size").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1")
     joined = placed.join(groups, ["digest", "size"], "left")
     refers = F.when(F.col("first").isNotNull() & (F.col("first") != order), F.col("first"))
-    return joined.select("_tie", "digest", "size", F.expr(f"before div {SHARD_BYTES}").alias("shard"), refers["page_id"].alias("refers_to"), refers.isNotNull().alias("revisit"))
+    shard = F.expr(f"before div {max(SHARD_BYTES, -(-total // MOST_SHARDS))}").alias("shard")
+    return stage(joined.select("page_id", "_tie", shard, refers["page_id"].alias("refers_to"), refers.isNotNull().alias("revisit")), "plan")
+
+
+def shard_by(starts: list[tuple], page_id: Column, tie: Column) -> Column:
+    """The shard whose stretch of the order holds a row; ``starts`` are (known, page_id, tie, shard) in order."""
+    places, shards = [s[:3] for s in starts], [s[3] for s in starts]
+
+    @F.pandas_udf(T.LongType())
+    def run(pages: pd.Series, ties: pd.Series) -> pd.Series:
+        known = pages.notna()
+        keys = zip(known, pages.where(known, 0).astype("int64"), ties, strict=True)
+        return pd.Series([shards[bisect.bisect_right(places, k) - 1] for k in keys], dtype="int64")
+
+    return run(page_id, tie)
 
 
 def record(page: int | None, url: str | None, payload: bytes, digest: str, revisit: bool, refers_to: int | None) -> bytes:
@@ -101,10 +119,13 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     schema = pa.schema([("name", pa.string()), ("shard", pa.int64()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll, number, done = None, 0, []
+        roll, number, done, note = None, 0, [], None
         for batch in batches:
-            for shard, page, uri, value, digest, revisit, refers in zip(*[c for c in batch.columns], strict=True):
-                shard = shard.as_py()
+            for shard, tie, page, uri, value, refers, kind in zip(*batch.columns, strict=True):
+                if not kind.as_py():  # a revisit's note comes just before its page
+                    note = tie, refers.as_py()
+                    continue
+                shard, revisit = shard.as_py(), note is not None and note[0] == tie
                 if roll and (roll.shard != shard or roll.size >= file_bytes):
                     number = number + 1 if roll.shard == shard else 0
                     done.append(roll.close())
@@ -112,10 +133,7 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
                 if roll is None:
                     roll = Roll(folder, shard, number)
                 payload = (value.as_py() or "").encode()
-                found = hashlib.sha256(payload).hexdigest()
-                if found != digest.as_py():
-                    raise ValueError("a payload changed between two reads of the input")
-                roll.add(record(page.as_py(), uri.as_py(), payload, found, revisit.as_py(), refers.as_py()))
+                roll.add(record(page.as_py(), uri.as_py(), payload, hashlib.sha256(payload).hexdigest(), revisit, note[1] if revisit else None))
         if roll:
             done.append(roll.close())
         if done:
@@ -123,10 +141,14 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
 
     make_folder(folder)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    planned = plan(pages, key, html)
+    first = planned.groupBy("shard").agg(F.min(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "_tie")).alias("s")).collect()  # MOST_SHARDS + 1 rows at most
+    starts = sorted((r["s"]["known"], r["s"]["page_id"] or 0, r["s"]["_tie"], r["shard"]) for r in first)
     full = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), F.monotonically_increasing_id().alias("_tie"))
-    planned = stage(plan(pages, key, html), "plan")
-    rows = full.join(planned, "_tie").repartition(parts, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "_tie")
-    rows = rows.select("shard", "page_id", "url", "html", "digest", "revisit", "refers_to")
+    full = full.select(shard_by(starts, F.col("page_id"), F.col("_tie")).alias("shard"), "_tie", "page_id", "url", "html", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind"))
+    none = F.lit(None).cast("string")
+    notes = planned.where("revisit").select("shard", "_tie", "page_id", none.alias("url"), none.alias("html"), "refers_to", F.lit(0).alias("kind"))
+    rows = full.union(notes).repartition(parts, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "_tie", "kind")
     rows.mapInArrow(run, "name string, shard long, records long, bytes long, sha256 string").write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest").withColumn("uri", F.concat(F.lit(f"{folder}/"), "name"))
 
