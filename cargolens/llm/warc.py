@@ -10,8 +10,12 @@ repeated task writes the same bytes under the same names.
 Of records with equal payloads of ``REVISIT_BYTES`` or more, the one with the smallest page id is the response and the others
 revisit it. Payloads are compared by SHA-256 and length in an aggregation, so no task gathers a group of copies.
 
+The plan has a row per record and says everything but the payloads of responses. These come from a second read, and are matched
+by page id and digest, never by row numbers, which change with the splits of a scan. A planned response whose payload the second
+read does not bring is an error, and so is a shard with more or fewer records or revisits than planned.
+
 Defined results: null html is an empty payload, null urls leave the target out; null page ids come last among equal
-payloads and read back as null; repeated rows are records of their own (the first in the input's order is the response);
+payloads and read back as null; repeated rows are records of their own (of rows with equal ids and payloads, the one with the smallest url is the response);
 a very long payload is one record of one file; an empty table gives no file and an empty result; extra columns are not written.
 The input is read twice: it must be a table or a checkpointed frame.
 """
@@ -48,36 +52,38 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 PAGE, REFERS_PAGE, LENGTH = "X-Page-ID", "X-Refers-To-Page-ID", "X-Payload-Length"
 
 
-def plan(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Per row its shard and, for a revisit, the row it refers to; from ids, sizes and digests alone."""
+def plan(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """Per row its shard and, for a revisit, the row it refers to; from ids, urls, sizes and digests alone. Payloads too small to be revisited come along."""
     raw = F.coalesce(F.col(html), F.lit(""))
-    light = pages.select(F.col(key).cast("long").alias("page_id"), F.octet_length(raw).cast("long").alias("size"), F.sha2(raw, 256).alias("digest"))
-    ranged = numbered(light, ["page_id"])
-    placed = stage(running(ranged, ["page_id"], "size", ready_ranges=True), "placed")
+    size = F.octet_length(raw).cast("long")
+    light = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), size.alias("size"), F.unhex(F.sha2(raw, 256)).alias("digest"), F.when(size < REVISIT_BYTES, raw).alias("small"))
+    by = ["page_id", "digest", "url"]  # rows that are equal in these are the same record
+    placed = stage(running(numbered(light, by), by, "size", ready_ranges=True), "placed")
     total = placed.agg(F.sum("size")).head()[0] or 0
-    order = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "_part", "_tie")
+    order = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", F.col("url").isNotNull().alias("known"), "url", "_part", "_tie")
     groups = placed.where(F.col("size") >= REVISIT_BYTES).groupBy("digest", "size").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1")
     joined = placed.join(groups, ["digest", "size"], "left")
     refers = F.when(F.col("first").isNotNull() & (F.col("first") != order), F.col("first"))
     shard = F.expr(f"before div {max(SHARD_BYTES, -(-total // MOST_SHARDS))}").alias("shard")
-    return stage(joined.select("page_id", "_tie", shard, refers["page_id"].alias("refers_to"), refers.isNotNull().alias("revisit")), "plan")
+    return stage(joined.select("page_id", "url", "size", "digest", "small", shard, refers["page_id"].alias("refers_to"), refers.isNotNull().alias("revisit")), "plan")
 
 
-def shard_by(starts: list[tuple], page_id: Column, tie: Column) -> Column:
-    """The shard whose stretch of the order holds a row; ``starts`` are (known, page_id, tie, shard) in order."""
+def shard_by(starts: list[tuple], page_id: Column, digest: Column) -> Column:
+    """The shard that may want a payload, null for repeats within a batch; ``starts`` are (known, page_id, digest, shard) in order."""
     places, shards = [s[:3] for s in starts], [s[3] for s in starts]
 
-    @F.pandas_udf(T.LongType())
-    def run(pages: pd.Series, ties: pd.Series) -> pd.Series:
+    def run(pages: pd.Series, digests: pd.Series) -> pd.Series:
         known = pages.notna()
-        keys = zip(known, pages.where(known, 0).astype("int64"), ties, strict=True)
-        return pd.Series([shards[bisect.bisect_right(places, k) - 1] for k in keys], dtype="int64")
+        keys = pd.Series(list(zip(known, pages.where(known, 0).astype("int64"), digests, strict=True)), dtype=object)
+        found = [shards[max(bisect.bisect_right(places, k) - 1, 0)] for k in keys]
+        return pd.Series(found, dtype="Int64").mask(keys.duplicated())
 
-    return run(page_id, tie)
+    # Not deterministic: what a batch holds decides which of equal payloads goes on, so it must run once.
+    return F.pandas_udf(run, T.LongType()).asNondeterministic()(page_id, digest)
 
 
-def record(page: int | None, url: str | None, payload: bytes, digest: str, revisit: bool, refers_to: int | None) -> bytes:
-    """One gzip member."""
+def record(page: int | None, url: str | None, payload: bytes, size: int, digest: str, revisit: bool, refers_to: int | None) -> bytes:
+    """One gzip member; a revisit leaves its payload of ``size`` bytes out."""
     body = HTTP if revisit else HTTP + payload
     name = lambda p: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{p}/{digest}')}>"
     headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", name(page)), ("WARC-Date", DATE)]
@@ -87,7 +93,7 @@ def record(page: int | None, url: str | None, payload: bytes, digest: str, revis
         headers += [("WARC-Refers-To", name(refers_to)), ("WARC-Profile", REVISIT_PROFILE)]
         headers += [] if refers_to is None else [(REFERS_PAGE, refers_to)]
     headers += [] if page is None else [(PAGE, page)]
-    headers += [(LENGTH, len(payload)), ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(body).hexdigest()}")]
+    headers += [(LENGTH, size), ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(body).hexdigest()}")]
     headers += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(body))]
     head = BREAK.join([VERSION, *[f"{k}: {v}".encode() for k, v in headers]])
     return gzip.compress(head + BREAK * 2 + body + BREAK * 2, compresslevel=6, mtime=0)
@@ -119,37 +125,54 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     schema = pa.schema([("name", pa.string()), ("shard", pa.int64()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll, number, done, note = None, 0, [], None
+        roll, number, done, held, wanted = None, 0, [], None, {s: n for s, *n in counts}
         for batch in batches:
-            for shard, tie, page, uri, value, refers, kind in zip(*batch.columns, strict=True):
-                if not kind.as_py():  # a revisit's note comes just before its page
-                    note = tie, refers.as_py()
+            for shard, kind, page, digest, value, uri, size, revisit, refers in zip(*batch.columns, strict=True):
+                shard, page, digest = shard.as_py(), page.as_py(), digest.as_py()
+                if not kind.as_py():  # a payload comes before the records of its page and digest
+                    held = page, digest, value
                     continue
-                shard, revisit = shard.as_py(), note is not None and note[0] == tie
+                uri, size, revisit, payload = uri.as_py(), size.as_py(), revisit.as_py(), b""
+                if not revisit:
+                    if size >= REVISIT_BYTES and (held is None or held[:2] != (page, digest)):
+                        raise RuntimeError(f"the payload of page {page} changed between two reads")
+                    payload = (held[2] if size >= REVISIT_BYTES else value).as_py().encode()
+                    if len(payload) != size or hashlib.sha256(payload).digest() != digest:
+                        raise RuntimeError(f"the payload of page {page} is not the planned one")
+                wanted[shard][0] -= 1
+                wanted[shard][1] -= revisit
                 if roll and (roll.shard != shard or roll.size >= file_bytes):
                     number = number + 1 if roll.shard == shard else 0
                     done.append(roll.close())
                     roll = None
                 if roll is None:
                     roll = Roll(folder, shard, number)
-                payload = (value.as_py() or "").encode()
-                roll.add(record(page.as_py(), uri.as_py(), payload, hashlib.sha256(payload).hexdigest(), revisit, note[1] if revisit else None))
+                roll.add(record(page, uri, payload, size, digest.hex(), revisit, refers.as_py()))
         if roll:
             done.append(roll.close())
+        if any(wanted[d[1]] != [0, 0] for d in done):
+            raise RuntimeError("a shard does not have its planned records and revisits")
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
 
     make_folder(folder)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    planned = plan(pages, key, html)
-    first = planned.groupBy("shard").agg(F.min(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "_tie")).alias("s")).collect()  # MOST_SHARDS + 1 rows at most
-    starts = sorted((r["s"]["known"], r["s"]["page_id"] or 0, r["s"]["_tie"], r["shard"]) for r in first)
-    full = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), F.monotonically_increasing_id().alias("_tie"))
-    full = full.select(shard_by(starts, F.col("page_id"), F.col("_tie")).alias("shard"), "_tie", "page_id", "url", "html", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind"))
-    none = F.lit(None).cast("string")
-    notes = planned.where("revisit").select("shard", "_tie", "page_id", none.alias("url"), none.alias("html"), "refers_to", F.lit(0).alias("kind"))
-    rows = full.union(notes).repartition(parts, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "_tie", "kind")
-    rows.mapInArrow(run, "name string, shard long, records long, bytes long, sha256 string").write.parquet(f"{folder}/manifest")
+    planned = plan(pages, key, url, html)
+    wants = (F.col("size") >= REVISIT_BYTES) & ~F.col("revisit")  # one row per page id and digest at most
+    first = F.min(F.when(wants, F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "digest"))).alias("s")
+    shards = planned.groupBy("shard").agg(first, F.count("*").alias("n"), F.count_if("revisit").alias("revisits")).collect()  # MOST_SHARDS + 1 rows at most
+    counts = [(r["shard"], r["n"], r["revisits"]) for r in shards]
+    starts = sorted((r["s"]["known"], r["s"]["page_id"] or 0, bytes(r["s"]["digest"]), r["shard"]) for r in shards if r["s"])
+    noted = planned.select("shard", F.lit(1).alias("kind"), "page_id", "digest", F.col("small").alias("value"), "url", "size", "revisit", "refers_to")
+    rows = noted
+    if starts:
+        full = pages.select(F.col(key).cast("long").alias("page_id"), F.unhex(F.sha2(F.col(html), 256)).alias("digest"), F.col(html).alias("value")).where(F.octet_length("value") >= REVISIT_BYTES)
+        full = full.select(shard_by(starts, F.col("page_id"), F.col("digest")).alias("shard"), "page_id", "digest", "value").where("shard IS NOT NULL")
+        none = lambda kind: F.lit(None).cast(kind)
+        full = full.select("shard", F.lit(0).alias("kind"), "page_id", "digest", "value", none("string").alias("url"), none("long").alias("size"), none("boolean").alias("revisit"), none("long").alias("refers_to"))
+        rows = full.union(noted)
+    ordered = rows.repartition(parts, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first(), F.col("revisit"))
+    ordered.mapInArrow(run, "name string, shard long, records long, bytes long, sha256 string").write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest").withColumn("uri", F.concat(F.lit(f"{folder}/"), "name"))
 
 

@@ -64,3 +64,39 @@ def test_damage_is_noticed(spark, tmp_path):
     path.write_bytes(gzip.compress(gzip.decompress(path.read_bytes()).replace(b"yyyy", b"yyyx", 1)))
     with pytest.raises(Exception, match="damaged"):
         warc.read(manifest).collect()
+
+
+def test_rows_are_numbered_anew_between_the_reads(spark, tmp_path, monkeypatch):
+    pages = [(k, f"u{k}", f"<p>{k % 20}" + "x" * 200 if k % 3 else "small", 1, "d") for k in range(300)] + rows() * 2
+    spark.createDataFrame(pages, SCHEMA).repartition(6).write.parquet(str(tmp_path / "pages"))
+    plan = warc.plan
+
+    def then_split(*args):
+        found = plan(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return found
+
+    monkeypatch.setattr(warc, "plan", then_split)
+    monkeypatch.setattr(warc, "SHARD_BYTES", 5000)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a file to a split, then several files or pieces of them
+    try:
+        assert got(warc.read(warc.write(spark.read.parquet(str(tmp_path / "pages")), str(tmp_path / "out")))) == plain(pages)
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+
+
+def test_payloads_that_change_between_the_reads_are_an_error(spark, tmp_path, monkeypatch):
+    plan, frame = warc.plan, spark.createDataFrame(rows(), SCHEMA).coalesce(1)
+    other = spark.createDataFrame([(*r[:2], r[2] + "!" if r[0] == 8 else r[2], *r[3:]) for r in rows()], SCHEMA)
+    monkeypatch.setattr(warc, "plan", lambda pages, *names: plan(other, *names))
+    with pytest.raises(Exception, match="changed between two reads"):
+        warc.write(frame, str(tmp_path / "changed"))
+
+
+def test_equal_rows_of_many_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 700)
+    pages = [(None, "u", LONG, 1, "d")] * 40 + [(1, None, "tiny", 1, "d")] * 300 + [(2, u, LONG + "2", 1, "d") for u in ("b", "a", None)] * 5
+    manifest = warc.write(spark.createDataFrame(pages, SCHEMA).repartition(5), str(tmp_path / "equal"))
+    assert got(warc.read(manifest)) == plain(pages) and manifest.select("shard").distinct().count() > 5
