@@ -23,13 +23,13 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Writes ``df`` to the cluster's shared folder and reads it back: what follows survives lost executors.
 
     Spark removes the shuffle files of finished steps when the driver collects its garbage, so it is asked to.
     """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ earlier lines. A token that many variants of a line share so costs one pair per
 Defined results: null text stays null; blank lines and lines below five words stay, as they hold no
 token; null keys come first; rows with equal keys count in the order of the input's partitions;
 a document may become empty and stays as a row; an empty table gives an empty table; extra columns are kept.
-The input is read several times: it must be a table or a checkpointed frame.
+The input is read once and written with its row numbers; the passes read that table.
 """
 
 from __future__ import annotations
@@ -117,8 +117,9 @@ def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def marked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``_row``, ``_split`` (lines) and ``_gone`` (numbers of the lines to remove)."""
-    # Scans number their rows alike each time, so the number stands for the row and is compared by (key, number).
-    tagged = docs.withColumn("_row", F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("id"), F.monotonically_increasing_id().alias("tie")))
+    # Row numbers follow the splits of a scan, which may change between jobs: they are written once and read by every pass.
+    row = F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("id"), F.monotonically_increasing_id().alias("tie"))
+    tagged = stage(docs.withColumn("_row", row), "numbered", "zstd")
     gone = repeated(tagged, text).groupBy("row").agg(F.collect_set("line").alias("_gone"))
     none = F.array().cast("array<int>")
     tie = tagged.withColumn("_tie", F.col("_row.tie"))

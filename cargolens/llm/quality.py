@@ -151,8 +151,8 @@ def verdicts(docs: DataFrame, carry: tuple[str, ...] = (), lang: str = "lang", s
 
 
 def passing(docs: DataFrame, **columns: str) -> DataFrame:
-    """The documents that are kept, with the columns they came with; ``docs`` is a table, whose rows number alike each time."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    """The documents that are kept, with the columns they came with; they are written once with their row numbers, which a second scan may give anew."""
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered", "zstd")
     good = verdicts(rows, ("_row",), **columns).where("kept").select("_row")
     return rows.join(good, "_row", "left_semi").select(*docs.columns)
 

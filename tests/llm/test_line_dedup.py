@@ -66,3 +66,24 @@ def test_variants_copies_and_frequent_tokens(spark):
 def test_no_python_in_the_plans(spark):
     text = line_dedup.query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(w in text for w in ("Python", "Pandas", "Arrow", "NestedLoop", "Cartesian"))
+
+
+def test_rows_are_numbered_anew_between_the_passes(spark, tmp_path, monkeypatch):
+    rows = [(k, f"own line number {k} of this document\n{'shared line of many documents here' if k % 2 else 'w ' * 6 + str(k)}") for k in range(200)]
+    frame = spark.createDataFrame([(k, t, None, None, len(t), "", "", 1) for k, t in rows], DOCS)
+    frame.repartition(6).write.parquet(str(tmp_path / "docs"))
+    repeated = line_dedup.repeated
+
+    def then_split(*args):
+        found = repeated(*args).localCheckpoint()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return found
+
+    monkeypatch.setattr(line_dedup, "repeated", then_split)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a file to a split, then several files or pieces of them
+    try:
+        assert got(line_dedup.dedup(spark.read.parquet(str(tmp_path / "docs")))) == plain(rows)
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")

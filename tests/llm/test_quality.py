@@ -90,3 +90,23 @@ def test_labelled_documents(spark):
 def test_no_python_in_the_plan(spark):
     text = quality.query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(w in text for w in ("Python", "Pandas", "Arrow", "NestedLoop", "Cartesian"))
+
+
+def test_rows_are_numbered_anew_between_the_scans(spark, tmp_path, monkeypatch):
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(40)) if k % 3 else "too short", "en", "a", 1, "", "", k) for k in range(200)]
+    spark.createDataFrame(rows, DOCS).repartition(6).write.parquet(str(tmp_path / "docs"))
+    verdicts = quality.verdicts
+
+    def then_split(*args, **columns):
+        found = verdicts(*args, **columns).localCheckpoint()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return found
+
+    monkeypatch.setattr(quality, "verdicts", then_split)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a file to a split, then several files or pieces of them
+    try:
+        assert sorted(r["doc_id"] for r in quality.passing(spark.read.parquet(str(tmp_path / "docs"))).collect()) == [k for k in range(200) if k % 3]
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
