@@ -49,3 +49,13 @@ def test_counts_of_odd_texts(spark):
     library = Tokenizer.from_file(path)
     rows = odd_documents(spark).withColumn("n", token_counts.count_tokens(F.col("text"), path)).collect()
     assert [r["n"] for r in rows] == [len(library.encode(r[1] or "", add_special_tokens=False).ids) for r in odd_rows()]
+
+
+def test_texts_without_tokens_count_as_documents(spark, tmp_path):
+    odd_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    library, docs, tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter(), Counter()
+    for r in odd_rows():
+        group = (r[3], r[2], "byte_bpe_50k")
+        docs[group] += 1
+        tokens[group] += len(library.encode(r[1] or "", add_special_tokens=False).ids)
+    assert got(token_counts.query(spark, str(tmp_path))) == {g: (docs[g], tokens[g]) for g in docs}
