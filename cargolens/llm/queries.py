@@ -19,6 +19,9 @@ MODULES = {
     "op8_warc": "warc",
     "op9_token_files": "token_files",
     "op10_exact_topk": "topk",
+    "op11_whitening": "whitening",
+    "op12_ann": "ann",
+    "op13_periodic_runs": "periodic",
 }
 
 
