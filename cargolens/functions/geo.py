@@ -11,5 +11,28 @@ EARTH_RADIUS_KM = 6371.0
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     d_lat, d_lon = F.radians(lat2 - lat1), F.radians(lon2 - lon1)
     chord = F.pow(F.sin(d_lat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(d_lon / 2), 2)
-    # Rounding can push the chord past 1 for opposite points.
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    # Rounding can push the chord past 1 for opposite points; an unknown position has no distance.
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.when(chord > 1, F.lit(1.0)).otherwise(chord)))
+
+
+def _vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    return F.cos(F.radians(lat)) * F.cos(F.radians(lon)), F.cos(F.radians(lat)) * F.sin(F.radians(lon)), F.sin(F.radians(lat))
+
+
+def _cross(a: tuple, b: tuple) -> tuple[Column, Column, Column]:
+    return a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]
+
+
+def _dot(a: tuple, b: tuple) -> Column:
+    return a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
+
+
+def leg_km(lat: Column, lon: Column, from_lat: Column, from_lon: Column, to_lat: Column, to_lon: Column) -> Column:
+    """Distance of a point from the leg between two stops: from its great circle beside the leg, else from the nearer end."""
+    p, a, b = _vector(lat, lon), _vector(from_lat, from_lon), _vector(to_lat, to_lon)
+    pole = _cross(a, b)
+    length = F.sqrt(_dot(pole, pole))
+    beside = (length > 0) & (_dot(_cross(a, p), pole) >= 0) & (_dot(_cross(p, b), pole) >= 0)
+    across = EARTH_RADIUS_KM * F.asin(F.abs(_dot(p, pole)) / F.greatest(length, F.abs(_dot(p, pole))))
+    ends = F.least(haversine_km(lat, lon, from_lat, from_lon), haversine_km(lat, lon, to_lat, to_lon))
+    return F.when(beside, across).otherwise(ends)

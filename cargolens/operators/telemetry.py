@@ -112,31 +112,55 @@ def fleet_metrics_stream(admitted: DataFrame, limits: AlertLimits = AlertLimits(
     count is exact, no group holds a list of its vehicles, and the state of a busy
     window is spread over the vehicles.
     """
-    per_vehicle = admitted.groupBy(F.window("event_timestamp", WINDOW).alias("w"), "vehicle_id").agg(
+    per_vehicle = admitted.groupBy(F.window("event_timestamp", WINDOW).alias("w"), "vehicle_id").agg(*_sums(limits))
+    return (
+        per_vehicle.groupBy(F.window(F.window_time("w"), WINDOW).alias("w"))
+        .agg(*_of_vehicles())
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*")
+        .drop("w")
+    )
+
+
+def _sums(limits: AlertLimits) -> list[Column]:
+    return [
         F.sum("speed_kmh").alias("speed_sum"),
         F.count("speed_kmh").alias("speed_n"),
         F.sum("fuel_level_pct").alias("fuel_sum"),
         F.count("fuel_level_pct").alias("fuel_n"),
         *_metrics(limits),
-    )
+    ]
+
+
+def _of_vehicles() -> list[Column]:
+    """A window's metrics from one row per vehicle."""
 
     def mean(total: str, n: str) -> Column:
         return F.try_divide(F.sum(total), F.sum(n))
 
-    return (
-        per_vehicle.groupBy(F.window(F.window_time("w"), WINDOW).alias("w"))
-        .agg(
-            # One row per vehicle by now; a missing vehicle id is no vehicle.
-            F.count("vehicle_id").alias("active_vehicle_count"),
-            mean("speed_sum", "speed_n").alias("avg_speed_kmh"),
-            mean("fuel_sum", "fuel_n").alias("avg_fuel_level_pct"),
-            F.max("max_engine_temperature_c").alias("max_engine_temperature_c"),
-            F.sum("overspeed_vehicle_count").alias("overspeed_vehicle_count"),
-            F.sum("low_fuel_vehicle_count").alias("low_fuel_vehicle_count"),
-        )
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*")
-        .drop("w")
+    return [
+        F.count("vehicle_id").alias("active_vehicle_count"),  # a missing vehicle id is no vehicle
+        mean("speed_sum", "speed_n").alias("avg_speed_kmh"),
+        mean("fuel_sum", "fuel_n").alias("avg_fuel_level_pct"),
+        F.max("max_engine_temperature_c").alias("max_engine_temperature_c"),
+        F.sum("overspeed_vehicle_count").alias("overspeed_vehicle_count"),
+        F.sum("low_fuel_vehicle_count").alias("low_fuel_vehicle_count"),
+    ]
+
+
+def window_partials(admitted: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFrame:
+    """Sums per (window, vehicle) that add up over any split of the rows."""
+    parts = admitted.groupBy(F.window("event_timestamp", WINDOW).alias("w"), "vehicle_id").agg(*_sums(limits))
+    return parts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
+
+
+def metrics_of_partials(partials: DataFrame) -> DataFrame:
+    """Window metrics from partial sums of several batches: exact, distinct vehicles included."""
+    window = ["window_start", "window_end"]
+    added = ["speed_sum", "speed_n", "fuel_sum", "fuel_n", "overspeed_vehicle_count", "low_fuel_vehicle_count"]
+    merged = partials.groupBy(*window, "vehicle_id").agg(
+        *[F.sum(c).alias(c) for c in added], F.max("max_engine_temperature_c").alias("max_engine_temperature_c")
     )
+    return merged.groupBy(*window).agg(*_of_vehicles())
 
 
 def versioned_metrics(metrics: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.geo import haversine_km
+from cargolens.functions.geo import haversine_km, leg_km
 from cargolens.functions.numbers import mean, ratio_or_zero
 from cargolens.operators.events import delay_rate
 
@@ -189,3 +189,28 @@ def delay_signals(
 
 def problem_shipments(signals: DataFrame) -> DataFrame:
     return signals.filter((F.col("is_late") == 1) | (F.col("is_off_route") == 1))
+
+
+def route_deviation(positions: DataFrame, stops: DataFrame, deviation_km: float) -> DataFrame:
+    """Positions of planned deliveries with their distance from the planned way and whether it exceeds the limit.
+
+    ``stops`` are the planned coordinates (delivery_id, stop, latitude, longitude); the way goes straight from stop to stop. Nothing
+    is rounded before it is compared. A delivery with one stop is measured from that; without stops, or without a
+    position, the distance is null and the position does not count as off the route.
+    """
+    point = F.struct("stop", "latitude", "longitude")
+    # A delivery's stops are few; positions meet them as one array and are not multiplied.
+    ways = stops.groupBy("delivery_id").agg(F.array_sort(F.collect_list(point)).alias("_stops"))
+    legs = F.when(F.size("_stops") == 1, F.array(F.struct(F.get("_stops", F.lit(0)).alias("a"), F.get("_stops", F.lit(0)).alias("b")))).otherwise(
+        F.transform(
+            F.slice("_stops", F.lit(1), F.size("_stops") - 1),
+            lambda a, i: F.struct(a.alias("a"), F.get(F.col("_stops"), (i + 1).cast("int")).alias("b")),
+        )
+    )
+    ways = ways.select("delivery_id", legs.alias("_legs"))
+    far = F.transform(
+        "_legs",
+        lambda g: leg_km(F.col("latitude"), F.col("longitude"), g["a"]["latitude"], g["a"]["longitude"], g["b"]["latitude"], g["b"]["longitude"]),
+    )
+    measured = positions.join(ways, "delivery_id", "left").withColumn("deviation_km", F.array_min(far)).drop("_legs")
+    return measured.withColumn("is_off_route", F.coalesce((F.col("deviation_km") > deviation_km).cast("int"), F.lit(0)))

@@ -14,14 +14,17 @@ _ROUTE_COST = {"cost_per_delivery": 5, "cost_variance": 5}
 DIGITS: dict[str, dict[str, int]] = {
     "daily_delivery_kpi": _UTILIZATION,
     "daily_delivery_kpi_dedup": _UTILIZATION,
-    "delivery_history_stream": _UTILIZATION,
+    "delivery_history_stream": _UTILIZATION | {"total_order_value": 2, "avg_distance_km": 9},
     "warehouse_daily_kpi": _UTILIZATION,
     "cost_gold": _GOLD,
     "cost_gold_for_date": _GOLD,
     "cost_gold_table": _GOLD,
     "cost_performance": _GOLD,
+    "cost_gold_incremental": _GOLD,
+    "route_deviation": {"deviation_km": 6},
     "fleet_metrics_5m": _METRICS,
     "fleet_metrics_5m_stream": _METRICS,
+    "fleet_metrics_corrected_stream": _METRICS,
     "vehicle_utilization_daily": {"avg_utilization_ratio": 9},
     "bi_cost_variance": {"cost_variance": 5},
     "bi_cost_per_delivery": {"cost_per_delivery": 5},

@@ -111,7 +111,11 @@ SELECT *, {ACTUAL} - {PLANNED} AS cost_variance, {ratio(f"{ACTUAL} - {PLANNED}",
 FROM transportation_costs"""
 
 
-def _gold(condition: str = "TRUE") -> str:
+def _silver(source: str) -> str:
+    return _VIEWS["cost_silver"].replace("FROM transportation_costs", f"FROM {source}")
+
+
+def _gold(condition: str = "TRUE", source: str = "cost_silver") -> str:
     gap = dbl("actual_cost - planned_cost")
     return f"""
 SELECT *, {gap} AS cost_variance, {ratio(gap, dbl("planned_cost"))} AS cost_variance_pct,
@@ -126,7 +130,7 @@ FROM (SELECT business_date, warehouse_id, region, route_id, count(DISTINCT cost_
              avg(vehicle_utilization_pct) AS avg_vehicle_utilization_pct,
              {iavg("actual_duration_minutes")} AS avg_delivery_duration_minutes,
              avg(duration_variance_minutes) AS avg_duration_variance_minutes
-      FROM cost_silver WHERE {condition} GROUP BY ALL)"""
+      FROM {source} WHERE {condition} GROUP BY ALL)"""
 
 
 _VIEWS["cost_gold"] = _gold()
@@ -184,6 +188,60 @@ def _doubles(names: list[str]) -> str:
 AS_GOLD, AS_COST, AS_MONEY = _doubles(GOLD_MONEY), _doubles(COST_DECIMALS), _doubles(["total_order_value"])
 AS_ORDER = _doubles(["order_value"])
 
+_MOVED, _FIXED = "kind = 1", "kind IN (1, 2)"
+_VIEWS["old_costs"] = """
+SELECT *, CASE WHEN business_date >= DATE '1998-01-01' THEN delivery_count % 7 ELSE -1 END AS kind FROM current_costs"""
+_VIEWS["new_costs"] = f"""
+SELECT * EXCLUDE (kind) REPLACE (
+         CAST(CASE WHEN {_MOVED} THEN business_date + INTERVAL '40' DAY ELSE business_date END AS DATE) AS business_date,
+         CASE WHEN {_MOVED} THEN concat(route_id, '-b') ELSE route_id END AS route_id,
+         CASE WHEN {_FIXED} THEN other_cost + 2 ELSE other_cost END AS other_cost,
+         CASE WHEN {_FIXED} THEN actual_total_cost + 2 ELSE actual_total_cost END AS actual_total_cost)
+FROM old_costs WHERE kind <> 0
+UNION ALL SELECT * EXCLUDE (kind) REPLACE (concat('extra-', cost_id) AS cost_id) FROM old_costs WHERE kind = 3"""
+_VIEWS["new_silver"] = _silver("new_costs")
+_VIEWS["arrived"] = """
+SELECT *, CAST(event_id AS BIGINT) % 3 AS part FROM admitted"""
+_VIEWS["marks"] = """
+SELECT p.part, (SELECT max(event_timestamp) FROM arrived a WHERE a.part < p.part) - INTERVAL '10 seconds' AS watermark
+FROM (SELECT DISTINCT part FROM arrived) p"""
+
+
+def _vector(lat: str, lon: str) -> list[str]:
+    return [f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))"]
+
+
+def _arc(lat: str, lon: str, a: str, b: str) -> str:
+    chord = f"pow(sin(radians({a} - {lat}) / 2), 2) + cos(radians({lat})) * cos(radians({a})) * pow(sin(radians({b} - {lon}) / 2), 2)"
+    return f"12742e0 * asin(sqrt(least({chord}, 1e0)))"
+
+
+def _named(prefix: str, lat: str, lon: str) -> str:
+    return ", ".join(f"{v} AS {prefix}{axis}" for v, axis in zip(_vector(lat, lon), "xyz"))
+
+
+def _turn(a: str, b: str) -> list[str]:
+    return [f"({a}y * {b}z - {a}z * {b}y)", f"({a}z * {b}x - {a}x * {b}z)", f"({a}x * {b}y - {a}y * {b}x)"]
+
+
+def _onto_pole(parts: list[str]) -> str:
+    return " + ".join(f"{v} * n{axis}" for v, axis in zip(parts, "xyz"))
+
+
+_VIEWS["legs"] = f"""
+SELECT *, {", ".join(f"{v} AS n{axis}" for v, axis in zip(_turn("f", "g"), "xyz"))} FROM (
+  SELECT *, {_named("f", "alat", "alon")}, {_named("g", "blat", "blon")} FROM (
+    SELECT delivery_id, latitude AS alat, longitude AS alon, lead(latitude) OVER w AS blat, lead(longitude) OVER w AS blon
+    FROM planned_stops WINDOW w AS (PARTITION BY delivery_id ORDER BY stop)) WHERE blat IS NOT NULL)"""
+_VIEWS["leg_distances"] = f"""
+SELECT event_row, CASE WHEN nx * nx + ny * ny + nz * nz > 0 AND {_onto_pole(_turn("f", "p"))} >= 0 AND {_onto_pole(_turn("p", "g"))} >= 0
+       THEN 6371e0 * asin(abs({_onto_pole(["px", "py", "pz"])}) / sqrt(nx * nx + ny * ny + nz * nz))
+       ELSE least({_arc("latitude", "longitude", "alat", "alon")}, {_arc("latitude", "longitude", "blat", "blon")}) END AS km
+FROM (SELECT *, {_named("p", "latitude", "longitude")} FROM positions) JOIN legs USING (delivery_id)"""
+_VIEWS["positions"] = """
+SELECT row_number() OVER () AS event_row, event_id, delivery_id, vehicle_id, event_timestamp, latitude, longitude FROM delivery_events"""
+_VIEWS["nearest_legs"] = "SELECT event_row, min(km) AS deviation_km FROM leg_distances GROUP BY 1"
+
 
 def _failed(table: str, conditions: dict[str, str]) -> str:
     return " UNION ALL ".join(
@@ -572,6 +630,33 @@ def statements() -> dict[str, str]:
             WHERE active""",
         "delay_signals": "SELECT * FROM signals",
         "problem_shipments": "SELECT * FROM signals WHERE is_late = 1 OR is_off_route = 1",
+        "fleet_metrics_corrected_stream": f"SELECT * FROM fleet_metrics WHERE {window_closed}",
+        "late_telemetry_stream": """
+            SELECT a.* EXCLUDE (part), watermark, (epoch_us(watermark) // 1000 - epoch_us(event_timestamp) // 1000) / 1000 AS lag_seconds
+            FROM arrived a JOIN marks USING (part)
+            WHERE time_bucket(INTERVAL '5 minutes', event_timestamp) + INTERVAL '5 minutes' <= watermark""",
+        "delivery_state_keyed_stream": f"SELECT * {AS_ORDER} FROM delivery_state",
+        "telemetry_dedup_history_stream": "SELECT DISTINCT * FROM admitted",
+        "cost_change_feed": f"""
+            SELECT * {AS_COST} FROM (
+              SELECT 'delete' AS change, * EXCLUDE (kind) FROM old_costs WHERE kind = 0
+              UNION ALL SELECT 'update_before', * EXCLUDE (kind) FROM old_costs WHERE {_FIXED}
+              UNION ALL SELECT 'update_after', n.* FROM new_costs n SEMI JOIN (SELECT cost_id FROM old_costs WHERE {_FIXED}) USING (cost_id)
+              UNION ALL SELECT 'insert', n.* FROM new_costs n WHERE cost_id LIKE 'extra-%')""",
+        "cost_feed_applied": f"SELECT * {AS_COST} FROM new_costs",
+        "cost_gold_incremental": f"SELECT * {AS_GOLD} FROM ({_gold(source='new_silver')})",
+        "late_telemetry_by_hour": """
+            SELECT date_trunc('hour', event_timestamp) AS event_hour, count(*) AS row_count, count(*) FILTER (lag_seconds > 30) AS late_count,
+                   max(lag_seconds) AS worst_lag_seconds
+            FROM (SELECT event_timestamp, greatest(0e0, coalesce((epoch_us(max(event_timestamp) OVER (
+                         ORDER BY taken_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - epoch_us(event_timestamp)) / 1e6, 0e0)) AS lag_seconds
+                  FROM (SELECT event_timestamp, CAST(event_id AS BIGINT) AS id, ingestion_timestamp
+                               + CASE WHEN CAST(event_id AS BIGINT) % 97 = 0 THEN 600 WHEN CAST(event_id AS BIGINT) % 13 = 0 THEN 45 ELSE 0 END
+                               * INTERVAL '1' SECOND AS taken_at FROM vehicle_telemetry))
+            GROUP BY 1""",
+        "route_deviation": """
+            SELECT * EXCLUDE (event_row), CASE WHEN deviation_km > 2 THEN 1 ELSE 0 END AS is_off_route
+            FROM positions LEFT JOIN nearest_legs USING (event_row)""",
     }
     return {name: _rounded(name, f"WITH {_needed(body)}\n{body}") for name, body in bodies.items()}
 

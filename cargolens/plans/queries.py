@@ -14,7 +14,7 @@ from cargolens.functions.times import month_key
 from cargolens.operators import bi, contract, costs, integrity, latest, lifecycle, parse, quality, trends
 from cargolens.operators import events as ev
 from cargolens.operators import telemetry as tm
-from cargolens.plans import fleet_sql
+from cargolens.plans import fleet_sql, maintained
 from cargolens.plans.compared import DIGITS
 from cargolens.session import shared_dir, tune
 from cargolens.plans.jobs import relationship_counts
@@ -594,6 +594,7 @@ _BUILDERS: dict[str, Query] = {
     "active_vehicle_workload": active_vehicle_workload,
     "delay_signals": delay_signals,
     "problem_shipments": problem_shipments,
+    **maintained.QUERIES,
 }
 
 

@@ -158,6 +158,13 @@ SELECT concat('delivery-', CAST(o_orderkey AS STRING)) AS delivery_id,
        CAST(8.5 + (o_orderkey % 24) * 2.25 AS DECIMAL(12,2)) AS planned_distance_km
 FROM {orders} WHERE o_orderstatus <> 'P'"""
 
+# Where each delivery is planned to pass: its depot, a stop on the way and its destination.
+PLANNED_STOPS_SQL = """
+SELECT concat('delivery-', CAST(o_orderkey AS STRING)) AS delivery_id, stop,
+       CAST(CASE stop WHEN 0 THEN 40 + (o_custkey % 25) * 0.01 WHEN 1 THEN 40.05 ELSE 40 + (o_orderkey % 90) * 0.001 END AS DOUBLE) AS latitude,
+       CAST(CASE stop WHEN 0 THEN 49 + (o_custkey % 25) * 0.01 WHEN 1 THEN 49 + (o_orderkey % 100) * 0.001 ELSE 49.1 END AS DOUBLE) AS longitude
+FROM {orders} JOIN (SELECT 0 AS stop UNION ALL SELECT 1 UNION ALL SELECT 2) AS stops ON stop < 2 OR o_orderstatus <> 'P'"""
+
 VIEWS = {
     "transportation_costs": (COSTS_SQL, ["lineitem", "supplier", "nation", "region"]),
     "vehicle_telemetry": (TELEMETRY_SQL, ["events"]),
@@ -166,6 +173,7 @@ VIEWS = {
     "customer_orders": (CUSTOMER_ORDERS_SQL, ["orders"]),
     "shipments": (SHIPMENTS_SQL, ["orders"]),
     "delivery_plans": (DELIVERY_PLANS_SQL, ["orders"]),
+    "planned_stops": (PLANNED_STOPS_SQL, ["orders"]),
 }
 
 

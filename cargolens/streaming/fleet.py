@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,8 +12,9 @@ from cargolens.operators import telemetry as tm
 from cargolens.operators.latest import latest_by_key
 from cargolens.operators.parse import parse_telemetry
 from cargolens.sources.tables import SORT_KEYS
+from cargolens.streaming import windows
 from cargolens.streaming.run import spread
-from cargolens.streaming.slices import read_latest, write_month_slice, write_slice
+from cargolens.streaming.slices import hold, read_latest, release, write_month_slice, write_slice
 
 WATERMARK = "10 seconds"
 CHECKPOINT_EVERY = "10 seconds"
@@ -44,6 +44,14 @@ class FleetTables:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def held(self) -> str:
+        return f"{self.root}/_held"
+
+    @property
+    def windows(self) -> windows.WindowTables:
+        return windows.WindowTables(f"{self.root}/vehicle_windows")
+
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/_checkpoint/{query}"
 
@@ -63,32 +71,45 @@ def window_metrics(telemetry: DataFrame, limits: tm.AlertLimits = tm.AlertLimits
     return tm.fleet_metrics_stream(tm.admit(watermarked(telemetry)), limits)
 
 
-def write_batch(parsed: DataFrame, batch_id: int, tables: FleetTables, limits: tm.AlertLimits) -> None:
-    """The three stateless outputs of one micro-batch, parsed once."""
-    held = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_slice(held.filter("is_corrupt").select("value"), tables.quarantine, batch_id)
-        admitted = tm.admit(held.filter(~F.col("is_corrupt")).drop("value", "is_corrupt"))
-        write_month_slice(tm.raw(admitted), tables.raw, batch_id, "event_timestamp", SORT_KEYS["vehicle_telemetry_events"])
-        state = latest_by_key(tm.state_projection(admitted), ["vehicle_id"], tm.FLEET_STATE_ORDER)
-        write_slice(state, tables.state, batch_id)
-        alerts = tm.health_alerts(admitted, limits)
-        write_month_slice(alerts, tables.alerts, batch_id, "event_timestamp", SORT_KEYS["vehicle_health_alerts"])
-    finally:
-        held.unpersist()
+def write_batch(parsed: DataFrame, batch_id: int, tables: FleetTables, limits: tm.AlertLimits, corrected: bool = False) -> None:
+    """The outputs of one micro-batch, which is parsed once and read back from the shared folder by each of them."""
+    held = hold(parsed, tables.held, batch_id)
+    write_slice(held.filter("is_corrupt").select("value"), tables.quarantine, batch_id)
+    admitted = tm.admit(held.filter(~F.col("is_corrupt")).drop("value", "is_corrupt"))
+    write_month_slice(tm.raw(admitted), tables.raw, batch_id, "event_timestamp", SORT_KEYS["vehicle_telemetry_events"])
+    state = latest_by_key(tm.state_projection(admitted), ["vehicle_id"], tm.FLEET_STATE_ORDER)
+    write_slice(state, tables.state, batch_id)
+    alerts = tm.health_alerts(admitted, limits)
+    write_month_slice(alerts, tables.alerts, batch_id, "event_timestamp", SORT_KEYS["vehicle_health_alerts"])
+    if corrected:
+        windows.write_batch(admitted, batch_id, tables.windows, limits)
+    release(parsed.sparkSession, tables.held, batch_id)
 
 
 def start(
-    values: DataFrame, tables: FleetTables, limits: tm.AlertLimits = tm.AlertLimits(), *, once: bool = False, tasks: int | None = None
+    values: DataFrame,
+    tables: FleetTables,
+    limits: tm.AlertLimits = tm.AlertLimits(),
+    *,
+    once: bool = False,
+    tasks: int | None = None,
+    corrected: bool = False,
 ) -> list[StreamingQuery]:
-    """Two queries over the source: the stateless outputs together, the windows apart."""
+    """Two queries over the source: the stateless outputs together, the windows apart.
+
+    With ``corrected`` one query reads the source and writes all outputs: late readings are kept in a side table and
+    correct the windows they belong to (``windows``), where the watermark of the other query drops them.
+    """
     values = spread(values, tasks)
     serving = (
         parse_telemetry(values)
         .writeStream.queryName("fleet-serving")
         .option("checkpointLocation", tables.checkpoint("serving"))
-        .foreachBatch(lambda df, batch_id: write_batch(df, batch_id, tables, limits))
+        .foreachBatch(lambda df, batch_id: write_batch(df, batch_id, tables, limits, corrected))
     )
+    trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_EVERY}
+    if corrected:
+        return [serving.trigger(**trigger).start()]
     metrics = (
         tm.versioned_metrics(window_metrics(telemetry_stream(values), limits))
         .writeStream.queryName("fleet-metrics")
@@ -97,7 +118,6 @@ def start(
         .option("path", tables.metrics)
         .option("checkpointLocation", tables.checkpoint("metrics"))
     )
-    trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_EVERY}
     return [serving.trigger(**trigger).start(), metrics.trigger(**trigger).start()]
 
 

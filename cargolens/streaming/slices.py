@@ -19,12 +19,22 @@ from cargolens.operators.latest import latest_by_key
 from cargolens.sources.tables import arrange
 
 
-def _delta(batch_id: int) -> str:
+def delta(batch_id: int) -> str:
     return f"slice=delta-{batch_id:012d}"
 
 
 def write_slice(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/{_delta(batch_id)}")
+    rows.write.mode("overwrite").parquet(f"{path}/{delta(batch_id)}")
+
+
+def hold(rows: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The rows of a micro-batch as a written table: parsed once, and whole again after a lost executor."""
+    write_slice(rows, path, batch_id)
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/{delta(batch_id)}")
+
+
+def release(spark: SparkSession, path: str, batch_id: int) -> None:
+    remove(spark, f"{path}/{delta(batch_id)}")
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -37,10 +47,31 @@ def _folder(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _folder(spark, path)
+    return fs.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _folder(spark, path)
+    fs.delete(target, True)
+
+
+def folder_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a folder's first partition column, in order."""
+    fs, root = _folder(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
 def slice_names(spark: SparkSession, path: str) -> list[str]:
     """Committed slices; one without its success marker is still being written."""
     fs, root = _folder(spark, path)
     path_of = spark._jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(root):
+        return []
     names = [status.getPath().getName() for status in fs.listStatus(root)]
     return sorted(n for n in names if n.startswith("slice=") and fs.exists(path_of(root, f"{n}/_SUCCESS")))
 
