@@ -1,141 +1,208 @@
 """Line dedup by an exact set-similarity join, in DataFrame functions only.
 
-A line's tokens are its distinct runs of five words. A line goes when an earlier line of the corpus,
-in the order of (key, line), has a Jaccard similarity of 0.8 or more with it; of equal lines the first one stays.
-
-* Rarity: tokens are counted over the whole corpus in a table of fixed size (a count per hash cell, an upper
-  bound of the token's own count) and ordered by the magnitude of that count, then by hash. Any total order
-  gives the same result; this one leaves frequent tokens out of the prefixes.
-* Prefix filter: similar lines share one of the first ``n - ceil(0.8 n) + 1`` tokens of each.
+A line's tokens are its distinct runs of five words; a shorter line has one token, its whole word sequence. A line goes when an
+earlier line of the corpus, in the order of (key, line), has a Jaccard similarity of 0.8 or more with it; of equal lines the first one stays.
+
+* Rarity: words are counted over the whole corpus in a table of fixed size (a count per hash cell), and a token is as rare as its
+  rarest word, by the magnitude of that count. Words keep their order of frequency however large the corpus grows: their
+  counts spread over many magnitudes, where nearly all runs of five occur once. Equal magnitudes are ordered by hash. Any total
+  order gives the same result; this one leaves frequent tokens out of the prefixes.
+* Prefix filter: similar lines share one of the first ``n - ceil(0.8 n) + 1`` tokens of each. A token that one line
+  has is told by the smallest and largest line number of its prefix entries and goes no further.
 * Length filter: the smaller set has at least 0.8 of the larger one's tokens.
 * Positional filter: at the first common token, what follows on both sides must suffice.
-* Verification: whole token sets of the lines that are left.
-
-Equal lines are folded before they meet others. A line needs one earlier match only, so each first meets
-the earliest line of its tokens; those that find their match there are done, and only the others meet all
-earlier lines. A token that many variants of a line share so costs one pair per line, not all pairs.
-
-Defined results: null text stays null; blank lines and lines below five words stay, as they hold no
-token; null keys come first; rows with equal keys count in the order of the input's partitions;
-a document may become empty and stays as a row; an empty table gives an empty table; extra columns are kept.
-The input is read once and written with its row numbers; the passes read that table.
+* Parity filter: each token flips one of 128 bits of its line. Where the bits of two lines differ, so do their sets, and
+  similar sets differ in a ninth of their sizes at most.
+* Verification: whole token sets of the pairs that are left.
+
+Equal lines are folded before they meet others (128 bits of their words tell), and lines are numbered in their order. A line needs
+one earlier match only, so each first meets the earliest line of its tokens; those that find their match there are done, and only
+the others meet all earlier lines. A token that many variants of a line share so costs one pair per line, not all pairs.
+
+Defined results: null text stays null; blank lines stay, as they hold no token; null keys come first; rows with equal keys count in
+the order of their texts' hashes, and of rows equal in key and text one keeps its lines, the others lose all that hold a word;
+a document may become empty and stays as a row; an empty table gives an empty table; extra columns are kept, whatever their names.
+The input is taken to be a table: it is read by several passes, which know a row by its key and the hash of its text, never by its place.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import SPACE, let, stage
-from cargolens.llm.quality import windows
+from cargolens.llm.common import SPACE, let, stage, words
 
 SIZE = 5
 #: Cells of the rarity table: its size is fixed, whatever the corpus.
 CELLS = 1 << 16
-#: A line with that many words.
-ENOUGH = "[^\\x20\\x09-\\x0D](?:[^\\x20\\x09-\\x0D]*[\\x20\\x09-\\x0D]+[^\\x20\\x09-\\x0D]){4}"
+#: A token is a number: its magnitude above that many bits of its hash.
+HASH_BITS = 57
+WORD = "[^\\x20\\x09-\\x0D]"
+ROW = ["known", "id", "hash"]
 
 
-def runs(line: Column) -> Column:
-    """Hashes of the runs of five words of a line, one for each place; none below five words."""
-    hashes = F.transform(F.array_remove(F.split(line, SPACE), ""), lambda w: F.xxhash64(w))
-    return let(hashes, lambda h: windows(h, SIZE))
+def row_of(key: str, text: str) -> list[Column]:
+    """What a row is known and ordered by."""
+    return [F.col(key).isNotNull().alias("known"), F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("hash")]
 
 
-def tokens(line: Column) -> Column:
-    """The set of a line's runs."""
-    return F.array_distinct(runs(line))
+def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(known, id, hash, line, body)`` of the lines that hold a word."""
+    each = docs.select(*row_of(key, text), F.posexplode(F.split(F.col(text), "\n")).alias("line", "body"))
+    return each.where(F.col("body").rlike(WORD))
 
 
-def lines(docs: DataFrame, text: str) -> DataFrame:
-    """``(row, line, body)`` of the lines of five words or more, told by the text itself so that tokens are made once."""
-    each = docs.select(F.col("_row").alias("row"), F.posexplode(F.split(text, "\n")).alias("line", "body"))
-    return each.where(F.col("body").rlike(ENOUGH))
+def cell(word: Column) -> Column:
+    return F.pmod(word, F.lit(CELLS)).cast("int")
 
 
-def rarity(split: DataFrame) -> list[int]:
-    """Per cell the magnitude of its count."""
-    cell = F.pmod(F.col("token"), F.lit(CELLS)).cast("int").alias("cell")
-    counts = split.select(F.explode(runs(F.col("body"))).alias("token")).groupBy(cell).agg(F.count("*").alias("n")).collect()  # CELLS rows at most
+def rarity(docs: DataFrame, text: str) -> list[int]:
+    """Per cell the magnitude of the count of its words."""
+    each = docs.select(F.explode(F.split(F.col(text), SPACE)).alias("word")).where("word <> ''")
+    counts = each.groupBy(cell(F.xxhash64("word")).alias("cell")).agg(F.count("*").alias("n")).collect()  # CELLS rows at most
     table = [0] * CELLS
     for row in counts:
         table[row["cell"]] = row["n"].bit_length()
     return table
 
 
-def ordered(found: Column, table: list[int]) -> Column:
-    """Tokens from rare to frequent, each as one number: the magnitude above 57 bits of its hash."""
+def numbers(found: Column, table: list[int]) -> Column:
+    """Words as numbers: the magnitude of the word's cell above the bits of its hash."""
     cells = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to a constant
-    magnitude = lambda t: F.coalesce(F.get(cells, F.pmod(t, F.lit(CELLS)).cast("int")), F.lit(0).cast("bigint"))
-    return F.sort_array(F.transform(found, lambda t: F.shiftleft(magnitude(t), 57).bitwiseOR(F.shiftrightunsigned(t, 7))))
+    return F.transform(found, lambda w: let(F.xxhash64(w), lambda h: _number(F.shiftleft(F.get(cells, cell(h)), HASH_BITS), h)))
+
+
+def _number(magnitude: Column, hashed: Column) -> Column:
+    return magnitude.bitwiseOR(F.shiftrightunsigned(hashed, 64 - HASH_BITS))
+
+
+def tokens(found: Column, table: list[int]) -> Column:
+    """The set of a line's runs from rare to frequent, each as one number; ``found`` are its words."""
+    top = F.lit(((1 << (63 - HASH_BITS)) - 1) << HASH_BITS)
+
+    def joined(a: Column, b: Column) -> Column:
+        return _number(F.least(a, b).bitwiseAND(top), F.xxhash64(a, b))
+
+    def after(v: Column, gap: int, left: Column) -> Column:
+        return F.slice(v, F.lit(gap + 1), left)
+
+    def runs(v: Column) -> Column:
+        n = F.size(v)
+        two = lambda: F.zip_with(F.slice(v, F.lit(1), n - 1), after(v, 1, n - 1), joined)
+        four = lambda t: F.zip_with(F.slice(t, F.lit(1), n - 3), after(t, 2, n - 3), joined)
+        five = lambda t: F.zip_with(F.slice(t, F.lit(1), n - 4), after(v, 4, n - 4), joined)
+        return F.sort_array(F.array_distinct(let(let(two(), four), five)))
+
+    short = F.array(F.xxhash64(F.array_join(found, " "), F.size(found)))
+    return F.when(F.size(found) < SIZE, short).otherwise(let(numbers(found, table), runs))
+
+
+def parity(set_: Column, half: int) -> Column:
+    """64 bits, each flipped by the tokens that fall on it; two halves share the tokens of a line."""
+    flip = lambda s, t: F.when(F.shiftright(t, 6).bitwiseAND(F.lit(1)) == half, s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int")))).otherwise(s)
+    return F.aggregate(set_, F.lit(0).cast("long"), flip)
 
 
 def similar(n_x: Column | str, n_y: Column | str, both: Column | str) -> Column:
     return F.expr(f"100 * {both} >= 80 * ({n_x} + {n_y} - {both})")
 
 
-def matches(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The pairs (x, y) of positions whose whole sets are similar."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("p")).distinct().groupBy(F.col("p.row").alias("_row")).agg(F.collect_set("p.line").alias("_lines"))
-    chosen = docs.select("_row", text).join(wanted, "_row")
-    each = chosen.select("_row", F.explode("_lines").alias("line"), F.split(text, "\n").alias("_split"))
-    sets = stage(each.select(F.struct(F.col("_row").alias("row"), "line").alias("p"), tokens(F.get("_split", F.col("line"))).alias("set")), "line-sets")
-    side = lambda s: sets.select(F.col("p").alias(s), F.col("set").alias(f"set_{s}"))
-    both = pairs.join(side("x"), "x").join(side("y"), "y")
-    counted = both.select("x", "y", F.size("set_x").alias("n_x"), F.size("set_y").alias("n_y"), F.size(F.array_intersect("set_x", "set_y")).alias("both"))
-    return counted.where(similar("n_x", "n_y", "both")).select("x", "y")
+def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in names])
 
 
-def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(row, line)`` of the lines to remove from ``docs``, whose rows carry their order as ``_row``."""
-    split = lines(docs, text)
-    table = rarity(split)
-    made = split.select("row", "line", tokens(F.col("body")).alias("tokens"))
+def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(known, id, hash, line)`` of the lines to remove from ``docs``."""
+    table = rarity(docs, text)
+    place = F.struct(*ROW, "line").alias("p")
+    found = lines(docs, key, text).select(place, words(F.col("body")).alias("words"))
+    text_of = F.array_join("words", " ")
+    made = found.select("p", F.xxhash64(text_of).alias("k1"), F.xxhash64(F.lit(1), text_of).alias("k2"), tokens(F.col("words"), table).alias("tokens"), (F.size("words") >= SIZE).alias("long"))
     n = F.size("tokens")
-    prefix = F.slice(ordered(F.col("tokens"), table), 1, F.expr("size(tokens) - (4 * size(tokens) + 4) div 5 + 1").cast("int"))
-    light = made.select("row", "line", n.alias("n"), F.xxhash64(F.array_sort("tokens")).alias("key"), prefix.alias("prefix"))
-    light = stage(light, "lines")
-    place = F.struct("row", "line")
-    folded = light.groupBy("key").agg(F.min(place).alias("p"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    firsts = stage(folded, "folded")
-
-    each = firsts.select("p", "n", F.posexplode("prefix").alias("i", "token"))
-    common = each.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    met = stage(each.join(common, "token"), "met")
+    prefix = F.when(F.col("long"), F.slice("tokens", 1, F.expr("size(tokens) - (4 * size(tokens) + 4) div 5 + 1").cast("int")))
+    light = stage(made.select("p", "k1", "k2", n.alias("n"), parity(F.col("tokens"), 0).alias("s0"), parity(F.col("tokens"), 1).alias("s1"), prefix.alias("prefix")), "lines")
+    keep = [F.first(c).alias(c) for c in ("n", "s0", "s1", "prefix")]
+    folded = light.groupBy("k1", "k2").agg(F.min("p").alias("p"), F.count("*").alias("copies"), *keep)
+    # Numbers that grow in the order of the lines: ranges one after the other, each in order.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = folded.repartitionByRange(parts, "p").sortWithinPartitions("p")
+    firsts = stage(ranged.withColumn("l", F.monotonically_increasing_id()), "folded")
+
+    entries = firsts.select("l", "n", F.posexplode("prefix").alias("i", "token"))
+    narrow = entries.select("token", "l", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"))
+    shared = narrow.groupBy("token").agg(F.min("l").alias("first"), F.max("l").alias("last")).where("first < last").select("token", "first")
+    met = narrow.join(shared, "token").select("token", "first", "l", F.shiftright("ni", 32).cast("int").alias("n"), F.col("ni").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("i"))
+    met = stage(met, "met")
+    parities = firsts.select("l", "s0", "s1")
+    sets = stage(sets_of(met.select("l").distinct().join(firsts.select("l", "p"), "l"), docs, key, text, table), "line-sets")
+    name = lambda df, s: df.select("token", F.col("l").alias(s), F.col("n").alias(f"n_{s}"), F.col("i").alias(f"i_{s}"))
     fits = F.expr("5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x AND 9 * (1 + least(n_x - i_x, n_y - i_y) - 1) >= 4 * (n_x + n_y)")
-    name = lambda df, s: df.select("token", F.col("p").alias(s), F.col("n").alias(f"n_{s}"), F.col("i").alias(f"i_{s}"))
-    earliest = met.groupBy("token").agg(F.min(F.struct("p", "n", "i")).alias("e")).select("token", "e.*")
-    pairs = name(met, "x").join(name(earliest, "y"), "token").where(F.col("y") < F.col("x")).where(fits).select("x", "y").distinct()
-    found = stage(matches(stage(pairs, "line-pairs"), docs, text).select("x").distinct(), "found")
-    rest = met.join(found, F.col("p") == F.col("x"), "left_anti")
-    more = name(rest, "x").join(name(met, "y"), "token").where(F.col("y") < F.col("x")).where(fits).select("x", "y").distinct()
-    more = stage(more.join(pairs, ["x", "y"], "left_anti"), "line-pairs")
-    near = found.union(matches(more, docs, text).select("x").distinct())
-    copies = light.join(firsts.where("copies > 1").select("key", "p"), "key").where(F.col("p") != place).select("row", "line")
-    return near.select("x.row", "x.line").union(copies)
-
-
-def marked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``_row``, ``_split`` (lines) and ``_gone`` (numbers of the lines to remove)."""
-    # Row numbers follow the splits of a scan, which may change between jobs: they are written once and read by every pass.
-    row = F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("id"), F.monotonically_increasing_id().alias("tie"))
-    tagged = stage(docs.withColumn("_row", row), "numbered", "zstd")
-    gone = repeated(tagged, text).groupBy("row").agg(F.collect_set("line").alias("_gone"))
-    none = F.array().cast("array<int>")
-    tie = tagged.withColumn("_tie", F.col("_row.tie"))
-    gone = gone.select(F.col("row.tie").alias("_tie"), "_gone")
-    return tie.join(gone, "_tie", "left").withColumns({"_split": F.split(text, "\n"), "_gone": F.coalesce("_gone", none)}).drop("_tie")
+
+    def matching(pairs: DataFrame) -> DataFrame:
+        """Numbers x of the pairs (x, y) that are similar."""
+        close = pairs.where(fits).select("x", "y", "n_x", "n_y").distinct()
+        for s in "xy":
+            close = close.join(parities.select(F.col("l").alias(s), F.col("s0").alias(f"s0_{s}"), F.col("s1").alias(f"s1_{s}")), s)
+        apart = F.bit_count(F.col("s0_x").bitwiseXOR(F.col("s0_y"))) + F.bit_count(F.col("s1_x").bitwiseXOR(F.col("s1_y")))
+        close = stage(close.where(9 * apart <= F.col("n_x") + F.col("n_y")).select("x", "y", "n_x", "n_y"), "line-pairs")
+        for s in "xy":
+            close = close.join(sets.select(F.col("l").alias(s), F.col("set").alias(f"set_{s}")), s)
+        both = close.withColumn("both", F.size(F.array_intersect("set_x", "set_y")))
+        return both.where(similar("n_x", "n_y", "both")).select("x").distinct()
+
+    earliest = name(met.where("l = first"), "y")
+    found_first = stage(matching(name(met.where("l > first"), "x").join(earliest, "token")), "found")
+    rest = met.where("l > first").join(found_first, F.col("l") == F.col("x"), "left_anti")
+    # The earliest line has been tried; a line without a match there meets the others before it.
+    more = name(rest, "x").join(name(met.where("l > first"), "y"), "token").where("y < x")
+    near = found_first.union(matching(more))
+    copies = light.join(firsts.where("copies > 1").select("k1", "k2", F.col("p").alias("kept")), ["k1", "k2"]).where("p <> kept").select("p.*")
+    return near.join(firsts.select("l", "p"), F.col("x") == F.col("l")).select("p.*").union(copies).distinct()
+
+
+def sets_of(wanted: DataFrame, docs: DataFrame, key: str, text: str, table: list[int]) -> DataFrame:
+    """``(l, set)``: the token sets of the lines ``wanted(l, p)``."""
+    asked = wanted.select("p.known", "p.id", "p.hash", F.struct("p.line", "l").alias("at")).groupBy(*ROW).agg(F.collect_list("at").alias("at"))  # lines of one text
+    rows = docs.select(*row_of(key, text), F.col(text).alias("text")).dropDuplicates(ROW) if _repeats(docs, key, text) else docs.select(*row_of(key, text), F.col(text).alias("text"))
+    each = rows.join(asked, same(rows, asked, ROW)).select(F.explode("at").alias("at"), F.split("text", "\n").alias("split"))
+    return each.select("at.l", tokens(words(F.get("split", F.col("at.line"))), table).alias("set"))
+
+
+def _repeats(docs: DataFrame, key: str, text: str) -> bool:
+    """Whether rows are equal in key and text."""
+    counts = docs.select(*row_of(key, text)).groupBy(*ROW).agg(F.count("*").alias("n"))
+    return not counts.where("n > 1").isEmpty()
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that repeat earlier ones; ``n_chars``, where there is one, is counted anew."""
-    found = marked(docs, key, text)
-    rest = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_gone"))
-    left = F.array_join(let(F.col("_split"), lambda s: F.transform(rest, lambda k: F.get(s, k))), "\n")
-    out = found.withColumn(text, F.when(F.size("_gone") > 0, left).otherwise(F.col(text)))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_gone") > 0, F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    gone = stage(repeated(docs, key, text).groupBy(*ROW).agg(F.collect_set("line").alias("lines")), "gone")
+    columns = [F.col(f"`{c}`").alias(c) for c in docs.columns]
+    rows = docs.select(*row_of(key, text), F.monotonically_increasing_id().alias("place"), F.struct(*columns).alias("doc"))
+    body = F.col("doc")[text]
+    marked = rows.join(gone, same(rows, gone, ROW), "left").select(*[rows[c] for c in [*ROW, "place", "doc"]], F.coalesce("lines", F.array().cast("array<int>")).alias("lines"))
+    if _repeats(docs, key, text):
+        groups = rows.groupBy(*ROW).agg(F.min("place").alias("kept"), F.count("*").alias("n")).where("n > 1")
+        marked = marked.join(groups, same(marked, groups, ROW), "left").select("doc", "lines", (F.col("place") > F.coalesce("kept", "place")).alias("again"))
+    else:
+        marked = marked.select("doc", "lines", F.lit(False).alias("again"))
+    split = F.split(body, "\n")
+    stays = lambda x, i: F.when(F.col("again"), ~x.rlike(WORD)).otherwise(~F.array_contains("lines", i))
+    touched = F.col("again") | (F.size("lines") > 0)
+    left = F.when(touched & body.isNotNull(), F.array_join(F.filter(split, stays), "\n")).otherwise(body)
+    out = marked.select("doc", touched.alias("touched"), left.alias("left"))
+
+    def column(c: str) -> Column:
+        value = F.col("doc")[c]
+        if c == text:
+            return F.col("left").alias(c)
+        if c == "n_chars":
+            return F.when(F.col("touched"), F.char_length("left").cast(docs.schema[c].dataType)).otherwise(value).alias(c)
+        return value.alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -152,7 +219,8 @@ WITH l AS (
 ), w AS (
   SELECT doc_id, i, line, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM l
 ), t AS (
-  SELECT doc_id, i, list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) AS tokens FROM w WHERE len(w) >= 5
+  SELECT doc_id, i, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) END AS tokens FROM w WHERE len(w) > 0
 ), e AS (SELECT doc_id, i, len(tokens) AS n, unnest(tokens) AS token FROM t
 ), gone AS (
   SELECT DISTINCT doc_id, i FROM (

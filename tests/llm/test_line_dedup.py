@@ -16,7 +16,7 @@ def plain(rows):
         kept = []
         for line in rows[k][1].split("\n"):
             w = words(line)
-            tokens = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+            tokens = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
             if not tokens or not any(len(tokens & s) * 100 >= 80 * len(tokens | s) for s in seen):
                 kept.append(line)
             if tokens:
@@ -63,6 +63,37 @@ def test_variants_copies_and_frequent_tokens(spark):
     assert got(line_dedup.dedup(frame)) == plain(rows)
 
 
+def test_short_lines_have_one_token(spark):
+    rows = [(k, f"All rights reserved here\nAll  rights reserved\there\nown line {k}\n\nall rights reserved here") for k in range(5)]
+    frame = spark.createDataFrame([(k, t, None, None, 0, "", "", 1) for k, t in rows], DOCS)
+    assert got(line_dedup.dedup(frame)) == plain(rows)
+    assert [t for _, t in plain(rows)][1:] == [f"own line {k}\n" for k in range(1, 5)]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["epoch", "_row", "_gone", "_tie", "_p", "_spans", "_one", "doc", "lines", "place", "known", "id", "hash", "again", "left", "touched", "a.b"]
+    rows = [(k, f"one line of more than five words\nand {k}", *["mine"] * len(names)) for k in (1, 2, 2)]
+    frame = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"`{n}` string" for n in names)]))
+    out = line_dedup.dedup(frame)
+    assert out.columns == frame.columns and got(out) == plain([r[:2] for r in rows])
+    assert all(set(r[2:]) == {"mine"} for r in out.collect())
+
+
+def test_rarity_follows_the_frequency_of_words(spark):
+    rows = [(k, f"the of and rare{k} to in") for k in range(300)]
+    table = line_dedup.rarity(spark.createDataFrame(rows, "doc_id long, text string"), "text")
+    assert sorted(table)[-5:] == [9] * 5 and sum(m in (1, 2) for m in table) >= 295
+
+
+def test_a_very_long_text_and_a_line_of_many_words(spark):
+    base = [f"w{k}" for k in range(60_000)]
+    changed = list(base)
+    changed[30_000] = "changed"
+    rows = [(1, " ".join(base)), (2, "first\n" + " ".join(changed) + "\nlast"), (3, "\n".join(f"line number {k} of a very long text" for k in range(40_000)))]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: "first\nlast", 3: rows[2][1]}
+
+
 def test_no_python_in_the_plans(spark):
     text = line_dedup.query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(w in text for w in ("Python", "Pandas", "Arrow", "NestedLoop", "Cartesian"))
