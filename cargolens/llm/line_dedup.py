@@ -11,7 +11,7 @@ earlier line of the corpus, in the order of (key, line), has a Jaccard similarit
   has is told by the smallest and largest line number of its prefix entries and goes no further.
 * Length filter: the smaller set has at least 0.8 of the larger one's tokens.
 * Positional filter: at the first common token, what follows on both sides must suffice.
-* Parity filter: each token flips one of 128 bits of its line. Where the bits of two lines differ, so do their sets, and
+* Parity filter: each token flips one of 64 bits of its line. Where the bits of two lines differ, so do their sets, and
   similar sets differ in a ninth of their sizes at most.
 * Verification: whole token sets of the pairs that are left.
 
@@ -71,7 +71,8 @@ def rarity(docs: DataFrame, text: str) -> list[int]:
 def numbers(found: Column, table: list[int]) -> Column:
     """Words as numbers: the magnitude of the word's cell above the bits of its hash."""
     cells = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to a constant
-    return F.transform(found, lambda w: let(F.xxhash64(w), lambda h: _number(F.shiftleft(F.get(cells, cell(h)), HASH_BITS), h)))
+    hashes = F.transform(found, lambda w: F.xxhash64(w))
+    return F.transform(hashes, lambda h: _number(F.shiftleft(F.get(cells, cell(h)), HASH_BITS), h))
 
 
 def _number(magnitude: Column, hashed: Column) -> Column:
@@ -99,10 +100,10 @@ def tokens(found: Column, table: list[int]) -> Column:
     return F.when(F.size(found) < SIZE, short).otherwise(let(numbers(found, table), runs))
 
 
-def parity(set_: Column, half: int) -> Column:
-    """64 bits, each flipped by the tokens that fall on it; two halves share the tokens of a line."""
-    flip = lambda s, t: F.when(F.shiftright(t, 6).bitwiseAND(F.lit(1)) == half, s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int")))).otherwise(s)
-    return F.aggregate(set_, F.lit(0).cast("long"), flip)
+def parity(set_: Column) -> Column:
+    """64 bits, each flipped by the tokens that fall on it."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(set_, F.lit(0).cast("long"), lambda s, t: s.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def similar(n_x: Column | str, n_y: Column | str, both: Column | str) -> Column:
@@ -113,8 +114,8 @@ def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in names])
 
 
-def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(known, id, hash, line)`` of the lines to remove from ``docs``."""
+def repeated(docs: DataFrame, key: str, text: str, again: bool) -> DataFrame:
+    """``(known, id, hash, line)`` of the lines to remove from ``docs``; ``again`` tells that rows are equal in key and text."""
     table = rarity(docs, text)
     place = F.struct(*ROW, "line").alias("p")
     found = lines(docs, key, text).select(place, words(F.col("body")).alias("words"))
@@ -122,21 +123,22 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     made = found.select("p", F.xxhash64(text_of).alias("k1"), F.xxhash64(F.lit(1), text_of).alias("k2"), tokens(F.col("words"), table).alias("tokens"), (F.size("words") >= SIZE).alias("long"))
     n = F.size("tokens")
     prefix = F.when(F.col("long"), F.slice("tokens", 1, F.expr("size(tokens) - (4 * size(tokens) + 4) div 5 + 1").cast("int")))
-    light = stage(made.select("p", "k1", "k2", n.alias("n"), parity(F.col("tokens"), 0).alias("s0"), parity(F.col("tokens"), 1).alias("s1"), prefix.alias("prefix")), "lines")
-    keep = [F.first(c).alias(c) for c in ("n", "s0", "s1", "prefix")]
-    folded = light.groupBy("k1", "k2").agg(F.min("p").alias("p"), F.count("*").alias("copies"), *keep)
+    light = stage(made.select("p", "k1", "k2", n.alias("n"), parity(F.col("tokens")).alias("bits"), prefix.alias("prefix")), "lines")
+    folded = light.groupBy("k1", "k2").agg(F.min("p").alias("p"), F.count("*").alias("copies"), F.first("bits").alias("bits"))
+    firsts = stage(folded, "folded")
+
+    entries = light.select("k1", "n", F.posexplode("prefix").alias("i", "token"))
+    narrow = entries.select("token", "k1", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"))
+    # A token goes on when two different lines hold it. Copies are one line, and are added up before the shuffle.
+    shared = narrow.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high").select("token")
+    met = stage(narrow.join(shared, "token").distinct(), "shared")
     # Numbers that grow in the order of the lines: ranges one after the other, each in order.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = folded.repartitionByRange(parts, "p").sortWithinPartitions("p")
-    firsts = stage(ranged.withColumn("l", F.monotonically_increasing_id()), "folded")
-
-    entries = firsts.select("l", "n", F.posexplode("prefix").alias("i", "token"))
-    narrow = entries.select("token", "l", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"))
-    shared = narrow.groupBy("token").agg(F.min("l").alias("first"), F.max("l").alias("last")).where("first < last").select("token", "first")
-    met = narrow.join(shared, "token").select("token", "first", "l", F.shiftright("ni", 32).cast("int").alias("n"), F.col("ni").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("i"))
-    met = stage(met, "met")
-    parities = firsts.select("l", "s0", "s1")
-    sets = stage(sets_of(met.select("l").distinct().join(firsts.select("l", "p"), "l"), docs, key, text, table), "line-sets")
+    held = met.select("k1").distinct().join(firsts, "k1").repartitionByRange(parts, "p").sortWithinPartitions("p")
+    held = stage(held.select(F.monotonically_increasing_id().alias("l"), "k1", "p", "bits"), "met-lines")
+    met = met.join(held.select("k1", "l"), "k1").select("token", "l", F.shiftright("ni", 32).cast("int").alias("n"), F.col("ni").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("i"))
+    met = stage(met.join(met.groupBy("token").agg(F.min("l").alias("first")), "token"), "met")
+    sets = stage(sets_of(held.select("l", "p"), docs, key, text, table, again), "line-sets")
     name = lambda df, s: df.select("token", F.col("l").alias(s), F.col("n").alias(f"n_{s}"), F.col("i").alias(f"i_{s}"))
     fits = F.expr("5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x AND 9 * (1 + least(n_x - i_x, n_y - i_y) - 1) >= 4 * (n_x + n_y)")
 
@@ -144,30 +146,31 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         """Numbers x of the pairs (x, y) that are similar."""
         close = pairs.where(fits).select("x", "y", "n_x", "n_y").distinct()
         for s in "xy":
-            close = close.join(parities.select(F.col("l").alias(s), F.col("s0").alias(f"s0_{s}"), F.col("s1").alias(f"s1_{s}")), s)
-        apart = F.bit_count(F.col("s0_x").bitwiseXOR(F.col("s0_y"))) + F.bit_count(F.col("s1_x").bitwiseXOR(F.col("s1_y")))
+            close = close.join(held.select(F.col("l").alias(s), F.col("bits").alias(f"bits_{s}")), s)
+        apart = F.bit_count(F.col("bits_x").bitwiseXOR(F.col("bits_y")))
         close = stage(close.where(9 * apart <= F.col("n_x") + F.col("n_y")).select("x", "y", "n_x", "n_y"), "line-pairs")
         for s in "xy":
             close = close.join(sets.select(F.col("l").alias(s), F.col("set").alias(f"set_{s}")), s)
         both = close.withColumn("both", F.size(F.array_intersect("set_x", "set_y")))
         return both.where(similar("n_x", "n_y", "both")).select("x").distinct()
 
-    earliest = name(met.where("l = first"), "y")
-    found_first = stage(matching(name(met.where("l > first"), "x").join(earliest, "token")), "found")
-    rest = met.where("l > first").join(found_first, F.col("l") == F.col("x"), "left_anti")
+    earliest, later = met.where("l = first"), met.where("l > first")
+    found_first = stage(matching(name(later, "x").join(name(earliest, "y"), "token")), "found")
+    rest = later.join(found_first, F.col("l") == F.col("x"), "left_anti")
     # The earliest line has been tried; a line without a match there meets the others before it.
-    more = name(rest, "x").join(name(met.where("l > first"), "y"), "token").where("y < x")
+    more = name(rest, "x").join(name(later, "y"), "token").where("y < x")
     near = found_first.union(matching(more))
     copies = light.join(firsts.where("copies > 1").select("k1", "k2", F.col("p").alias("kept")), ["k1", "k2"]).where("p <> kept").select("p.*")
-    return near.join(firsts.select("l", "p"), F.col("x") == F.col("l")).select("p.*").union(copies).distinct()
+    return near.join(held.select("l", "p"), F.col("x") == F.col("l")).select("p.*").union(copies).distinct()
 
 
-def sets_of(wanted: DataFrame, docs: DataFrame, key: str, text: str, table: list[int]) -> DataFrame:
+def sets_of(wanted: DataFrame, docs: DataFrame, key: str, text: str, table: list[int], again: bool) -> DataFrame:
     """``(l, set)``: the token sets of the lines ``wanted(l, p)``."""
     asked = wanted.select("p.known", "p.id", "p.hash", F.struct("p.line", "l").alias("at")).groupBy(*ROW).agg(F.collect_list("at").alias("at"))  # lines of one text
-    rows = docs.select(*row_of(key, text), F.col(text).alias("text")).dropDuplicates(ROW) if _repeats(docs, key, text) else docs.select(*row_of(key, text), F.col(text).alias("text"))
+    rows = docs.select(*row_of(key, text), F.col(text).alias("text"))
     each = rows.join(asked, same(rows, asked, ROW)).select(F.explode("at").alias("at"), F.split("text", "\n").alias("split"))
-    return each.select("at.l", tokens(words(F.get("split", F.col("at.line"))), table).alias("set"))
+    found = each.select("at.l", tokens(words(F.get("split", F.col("at.line"))), table).alias("set"))
+    return found.dropDuplicates(["l"]) if again else found  # rows equal in key and text bring the same lines
 
 
 def _repeats(docs: DataFrame, key: str, text: str) -> bool:
@@ -178,12 +181,13 @@ def _repeats(docs: DataFrame, key: str, text: str) -> bool:
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that repeat earlier ones; ``n_chars``, where there is one, is counted anew."""
-    gone = stage(repeated(docs, key, text).groupBy(*ROW).agg(F.collect_set("line").alias("lines")), "gone")
+    again = _repeats(docs, key, text)
+    gone = stage(repeated(docs, key, text, again).groupBy(*ROW).agg(F.collect_set("line").alias("lines")), "gone")
     columns = [F.col(f"`{c}`").alias(c) for c in docs.columns]
     rows = docs.select(*row_of(key, text), F.monotonically_increasing_id().alias("place"), F.struct(*columns).alias("doc"))
     body = F.col("doc")[text]
     marked = rows.join(gone, same(rows, gone, ROW), "left").select(*[rows[c] for c in [*ROW, "place", "doc"]], F.coalesce("lines", F.array().cast("array<int>")).alias("lines"))
-    if _repeats(docs, key, text):
+    if again:
         groups = rows.groupBy(*ROW).agg(F.min("place").alias("kept"), F.count("*").alias("n")).where("n > 1")
         marked = marked.join(groups, same(marked, groups, ROW), "left").select("doc", "lines", (F.col("place") > F.coalesce("kept", "place")).alias("again"))
     else:
