@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cargolens.session import shared_dir
+from cargolens.streaming.slices import remove
 
 #: The ASCII white space that ends a word.
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -23,6 +26,27 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Of the tables staged inside, only the last one stays: it must hold all that is needed of the others.
+
+    They go once it is committed; if something fails before, they are left to the shared folder's expiry.
+    """
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.pop()
+    for path in made[:-1]:
+        remove(spark, path)
+    if _scratch:
+        _scratch[-1].extend(made[-1:])
+
+
 def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Writes ``df`` to the cluster's shared folder and reads it back: what follows survives lost executors.
 
@@ -30,6 +54,8 @@ def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path, compression=codec)
+    if _scratch:
+        _scratch[-1].append(path)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import SPACE, let, stage, words
+from cargolens.llm.common import SPACE, let, scratch, stage, words
 
 SIZE = 5
 #: Cells of the rarity table: its size is fixed, whatever the corpus.
@@ -182,7 +182,8 @@ def _repeats(docs: DataFrame, key: str, text: str) -> bool:
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that repeat earlier ones; ``n_chars``, where there is one, is counted anew."""
     again = _repeats(docs, key, text)
-    gone = stage(repeated(docs, key, text, again).groupBy(*ROW).agg(F.collect_set("line").alias("lines")), "gone")
+    with scratch(docs.sparkSession):
+        gone = stage(repeated(docs, key, text, again).groupBy(*ROW).agg(F.collect_set("line").alias("lines")), "gone")
     columns = [F.col(f"`{c}`").alias(c) for c in docs.columns]
     rows = docs.select(*row_of(key, text), F.monotonically_increasing_id().alias("place"), F.struct(*columns).alias("doc"))
     body = F.col("doc")[text]
