@@ -11,7 +11,7 @@ import pyarrow as pa
 from cargolens.llm.mixing import scramble
 
 #: Bytes of text hashed in one go; a longer text is one go of its own.
-GO = 4 << 20
+GO = 1 << 20
 _U = np.uint64
 _random = np.random.Generator(np.random.PCG64(5))
 #: A number per byte, and the odd base of the rolling sums with its inverse modulo 2**64.
