@@ -163,7 +163,8 @@ PLANNED_STOPS_SQL = """
 SELECT concat('delivery-', CAST(o_orderkey AS STRING)) AS delivery_id, stop,
        CAST(CASE stop WHEN 0 THEN 40 + (o_custkey % 25) * 0.01 WHEN 1 THEN 40.05 ELSE 40 + (o_orderkey % 90) * 0.001 END AS DOUBLE) AS latitude,
        CAST(CASE stop WHEN 0 THEN 49 + (o_custkey % 25) * 0.01 WHEN 1 THEN 49 + (o_orderkey % 100) * 0.001 ELSE 49.1 END AS DOUBLE) AS longitude
-FROM {orders} JOIN (SELECT 0 AS stop UNION ALL SELECT 1 UNION ALL SELECT 2) AS stops ON stop < 2 OR o_orderstatus <> 'P'"""
+FROM {orders} JOIN (SELECT 0 AS pending, 0 AS stop UNION ALL SELECT 0, 1 UNION ALL SELECT 0, 2 UNION ALL SELECT 1, 0 UNION ALL SELECT 1, 1) AS stops
+     ON pending = CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END"""
 
 VIEWS = {
     "transportation_costs": (COSTS_SQL, ["lineitem", "supplier", "nation", "region"]),
