@@ -6,9 +6,9 @@ checksum of the payload, all little-endian. The payload is the key (signed 64 bi
 id (2 or 4), and the ids. Beside every file lies an index of one offset per record, so a shuffled
 reader seeks to any record without scanning.
 
-Text is dealt by ranges of the key, encoded and written where it arrives; files appear under
-temporary names and are renamed when complete, so a repeated task leaves the same file, and
-a manifest that Spark commits names the files that count. No task holds more than a batch.
+Text is dealt by ranges of the key, encoded and written where it arrives; a file that reaches ``FILE_BYTES`` is closed and
+the next one begins. Files appear under temporary names and are renamed when complete, so a repeated task leaves the same
+files, and a manifest that Spark commits names those that count. No task holds more than a batch.
 
 Defined results: null text counts as empty and keeps its end id; null keys come first and read
 back as null; repeated keys keep all their rows; an empty table gives no file and an empty
@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +34,14 @@ from cargolens.llm.bpe import FIRST_UNASSIGNED, byte_names
 from cargolens.llm.common import filesystem, ready
 from cargolens.session import shared_dir
 
-#: Entries of the word cache of a worker; a full one is set aside, and dropped when the next is full.
+#: Entries of each cache of a worker; a full one is set aside, and dropped when the next is full.
 CACHE = 400_000
 #: Longer words are not kept.
 KEEP_CHARS = 64
+#: Text that is cut to words at once (a longer text is taken alone), and the size at which a file is closed.
+SLICE_BYTES, FILE_BYTES = 8 << 20, 256 << 20
+#: A task's files are numbered from its partition times this.
+FILES_OF_TASK = 1 << 24
 #: Stands for a null key in a file.
 NO_KEY = -(1 << 63)
 #: Fixed value: the mask constant of the record format.
@@ -49,16 +54,31 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + MASK) & 0xFFFFFFFF
 
 
-#: Characters that Python takes for white space and Unicode does not, and the blanks to cut at where they occur.
-ODD_SPACE, BLANKS = re.compile("[\x1c-\x1f]"), re.compile("[ \t\n\v\f\r]+")
+class Recent(dict):
+    """Values by key, made when first asked for; two generations of ``CACHE`` entries at most are kept."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= KEEP_CHARS:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class WordCoder:
-    """Ids of texts whose tokenizer drops white space: words are encoded once and kept.
+    """Ids of texts whose tokenizer drops white space: the distinct words of many texts are encoded once, and kept.
 
     Cutting at ASCII blanks changes nothing there: such a pattern never spans white space, special
     tokens hold none, and no normalisation joins a blank with its neighbours. A word not kept is normalised and cut to pieces as
-    the file says, and the library's model encodes each piece; unusual words go through the whole library.
+    the file says, and the library's model encodes each piece not kept; unusual words go through the whole library.
     """
 
     def __init__(self, path: str):
@@ -77,46 +97,44 @@ class WordCoder:
         self.names = dict(enumerate(byte_names()))
         self.special = re.compile("|".join(re.escape(t["content"][:2]) for t in spec["added_tokens"]))
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def keep(self, word: str, ids: bytes) -> bytes:
-        if len(word) <= KEEP_CHARS:
-            if len(self.recent) >= CACHE:
-                self.older, self.recent = self.recent, {}
-            self.recent[word] = ids
-        return ids
+        self.words, self.pieces = Recent(self.word), Recent(self.piece)
 
     def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
     def piece(self, text: str) -> bytes:
-        known = self.recent.get(text) or self.older.get(text)
-        if known is None:
-            shown = text if text.isascii() and text.isalpha() else "".join(map(self.names.__getitem__, text.encode()))
-            known = self.packed([t.id for t in self.model.tokenize(shown)])
-        return known
+        shown = text if text.isascii() and text.isalpha() else "".join(map(self.names.__getitem__, text.encode()))
+        return self.packed([t.id for t in self.model.tokenize(shown)])
 
     def word(self, text: str) -> bytes:
-        """Ids of one word that is not among the recent ones."""
-        old = self.older.get(text)
-        if old is not None:
-            return self.keep(text, old)
         plain = text.isascii()
-        if self.special.search(text) or not (plain or max(text) < FIRST_UNASSIGNED):
-            return self.keep(text, self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
+        if self.special.search(text) or not (plain or max(text, default="") < FIRST_UNASSIGNED):
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         normal = text.lower() if plain else self.normalizer.normalize_str(text)
         if normal.isalpha():
-            return self.keep(text, self.piece(normal))
-        return self.keep(text, b"".join(map(self.piece, self.pattern.findall(normal))))
+            return self.pieces[normal]
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(normal)))
+
+    def encode_all(self, texts: pa.StringArray) -> Iterator[memoryview]:
+        """Little-endian ids of each text (null: none)."""
+        cut = pc.ascii_split_whitespace(texts.fill_null(""))
+        found = cut.flatten().dictionary_encode()
+        ids = pa.array(list(map(self.words.__getitem__, found.dictionary.to_pylist())), pa.large_binary()).take(found.indices)
+        _, places, data = ids.buffers()
+        ends = np.frombuffer(places, "<i8")[cut.offsets.to_numpy()].tolist()
+        view = memoryview(data) if data is not None else memoryview(b"")
+        return (view[a:b] for a, b in zip(ends, ends[1:], strict=False))
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of one text."""
-        words = text.split() if not ODD_SPACE.search(text) else BLANKS.split(text.strip(" \t\n\v\f\r"))
-        found = list(map(self.recent.get, words))
-        if None in found:
-            found = [self.word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
-        return b"".join(found)
+        return bytes(next(self.encode_all(pa.array([text], pa.string()))))
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose text stays near ``SLICE_BYTES``."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype("i8").cumsum() // SLICE_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(starts, starts[1:], strict=False))
 
 
 _coders: dict[str, WordCoder] = {}
@@ -156,37 +174,57 @@ def read_at(uri: str, offset: int) -> tuple[int | None, np.ndarray]:
         return next(records(stream))
 
 
-def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+class TokenFile:
+    """The file a task writes at present, with its index; ``close`` renames both and tells the manifest row."""
+
+    def __init__(self, folder: str, number: int):
+        self.files, self.root = filesystem(folder)
+        self.folder, self.number, self.name, self.mark = folder, number, f"part-{number:012d}", uuid.uuid4().hex
+        self.data, self.index = (self.files.open_output_stream(self.temporary(kind), compression=None) for kind in ("tokens", "index"))
+        self.size = self.records = self.ids = 0
+
+    def temporary(self, kind: str) -> str:
+        return f"{self.root}/_temporary-{self.name}-{self.mark}.{kind}"
+
+    def add(self, record: bytes, ids: int) -> None:
+        self.index.write(struct.pack("<Q", self.size))
+        self.data.write(record)
+        self.size, self.records, self.ids = self.size + len(record), self.records + 1, self.ids + ids
+
+    def close(self) -> tuple:
+        for stream, kind in ((self.data, "tokens"), (self.index, "index")):
+            stream.close()
+            self.files.move(self.temporary(kind), f"{self.root}/{self.name}.{kind}")
+        names = (f"{self.folder}/{self.name}.{kind}" for kind in ("tokens", "index"))
+        return self.number, *names, self.records, self.ids, self.size
+
+
+def write(
+    docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES
+) -> DataFrame:
     """Writes the files and the manifest; returns the manifest (file number, names, records, ids, bytes)."""
     spark = ready(docs.sparkSession)
     schema = pa.schema([("file", pa.int64()), ("data", pa.string()), ("index", pa.string()), ("records", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = filesystem(folder)
-        words, data, index, name, temporary = coder(vocabulary), None, None, "", uuid.uuid4().hex
-        offset = count = ids = part = 0
+        words, current, done = coder(vocabulary), None, []
         end = np.array([end_id], f"<u{words.width}").tobytes()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if data is None:
-                part = batch.column(2)[0].as_py()
-                name = f"part-{part:06d}"
-                data, index = (files.open_output_stream(f"{root}/_temporary-{name}-{temporary}.{kind}", compression=None) for kind in ("tokens", "index"))
-            offsets = []
-            for k, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                coded = words.encode(value.as_py() or "") + end
-                record = frame(k, words.width, coded)
-                offsets.append(offset)
-                data.write(record)
-                offset, count, ids = offset + len(record), count + 1, ids + len(coded) // words.width
-            index.write(np.array(offsets, "<u8").tobytes())
-        if data is not None:
-            for stream, kind in ((data, "tokens"), (index, "index")):
-                stream.close()
-                files.move(f"{root}/_temporary-{name}-{temporary}.{kind}", f"{root}/{name}.{kind}")
-            row = [part, f"{folder}/{name}.tokens", f"{folder}/{name}.index", count, ids, offset]
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+            first = batch.column(2)[0].as_py() * FILES_OF_TASK
+            for rows in slices(batch, 1):
+                for k, ids in zip(rows.column(0).to_pylist(), words.encode_all(rows.column(1)), strict=True):
+                    if current and current.size >= file_bytes:
+                        done.append(current.close())
+                        current = None
+                    current = current or TokenFile(folder, first + len(done))
+                    coded = b"".join((ids, end))
+                    current.add(frame(k, words.width, coded), len(coded) // words.width)
+        if current:
+            done.append(current.close())
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
 
     make_folder(folder)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

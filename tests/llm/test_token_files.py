@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -65,3 +66,22 @@ def test_odd_rows_index_and_damage(spark, library, tmp_path):
         list(token_files.records(open(entry["data"], "rb")))  # noqa: SIM115
     empty = token_files.write(no_documents(spark), str(tmp_path / "e"), PATH, 1)
     assert token_files.offsets(token_files.read(empty), empty).count() == 0
+
+
+def test_files_are_closed_at_their_size(spark, library, tmp_path):
+    manifest = token_files.write(odd_documents(spark), str(tmp_path / "t"), PATH, 1, file_bytes=1000)
+    assert manifest.count() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r["bytes"] for r in manifest.collect() if r["records"] > 1) < 1000 + 6100 * 2
+    rows = token_files.offsets(token_files.read(manifest), manifest).orderBy("start").collect()
+    want = sorted(((r[0], ids_of(library, r[1])) for r in odd_rows()), key=lambda r: (r[0] is not None, r[0]))
+    assert [(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows] == [(k, len(i), crc(i)) for k, i in want]
+
+
+def test_slices_of_a_batch(monkeypatch, library):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 50)
+    texts = [None, "", "ab " * 10, "x " * 100, "c", None, "d e " * 40]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["key", "text"])
+    cut = list(token_files.slices(batch, 1))
+    assert len(cut) > 2 and pa.Table.from_batches(cut).column("text").to_pylist() == texts
+    coded = [bytes(ids) for part in cut for ids in token_files.coder(PATH).encode_all(part.column(1))]
+    assert [[*np.frombuffer(c, "<u2").tolist(), 1] for c in coded] == [ids_of(library, t) for t in texts]
