@@ -3,7 +3,8 @@
 Records are sorted by page id; running totals of payload bytes cut the order into shards, so which record
 lies in which shard follows from the data alone. A shard is written by one task, record by record, each
 its own gzip member without a time stamp; a file is closed when its compressed size reaches the limit and the
-next one begins. Headers, record ids and digests are made anew from the payload. Files are written under
+next one begins. Headers, record ids and digests are made anew; an id comes from page id, url, digest and the place among rows
+that are equal in these, so no two records share one. Files are written under
 temporary names and renamed when complete; a manifest, committed by Spark, names the files that count. A
 repeated task writes the same bytes under the same names.
 
@@ -58,14 +59,19 @@ def plan(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     size = F.octet_length(raw).cast("long")
     light = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), size.alias("size"), F.unhex(F.sha2(raw, 256)).alias("digest"), F.when(size < REVISIT_BYTES, raw).alias("small"))
     by = ["page_id", "digest", "url"]  # rows that are equal in these are the same record
-    placed = stage(running(numbered(light, by), by, "size", ready_ranges=True), "placed")
+    ranged = running(numbered(light, by).withColumn("one", F.lit(1)), by, "size", ready_ranges=True)
+    placed = stage(running(ranged, by, "one", ready_ranges=True, name="number").drop("one"), "placed")
     total = placed.agg(F.sum("size")).head()[0] or 0
     order = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", F.col("url").isNotNull().alias("known"), "url", "_part", "_tie")
     groups = placed.where(F.col("size") >= REVISIT_BYTES).groupBy("digest", "size").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    joined = placed.join(groups, ["digest", "size"], "left")
+    repeated = placed.groupBy(*[F.col(c).alias(f"same_{c}") for c in by]).agg(F.min("number").alias("start"), F.count("*").alias("n")).where("n > 1")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"same_{c}"))
+    joined = placed.join(groups, ["digest", "size"], "left").join(repeated, same, "left")
     refers = F.when(F.col("first").isNotNull() & (F.col("first") != order), F.col("first"))
     shard = F.expr(f"before div {max(SHARD_BYTES, -(-total // MOST_SHARDS))}").alias("shard")
-    return stage(joined.select("page_id", "url", "size", "digest", "small", shard, refers["page_id"].alias("refers_to"), refers.isNotNull().alias("revisit")), "plan")
+    return stage(joined.select("page_id", "url", "size", "digest", "small", shard, refers["page_id"].alias("refers_to"), refers["url"].alias("refers_url"), refers.isNotNull().alias("revisit"), F.coalesce(F.col("number") - F.col("start"), F.lit(0)).alias("place")), "plan")
 
 
 def shard_by(starts: list[tuple], page_id: Column, digest: Column) -> Column:
@@ -82,15 +88,20 @@ def shard_by(starts: list[tuple], page_id: Column, digest: Column) -> Column:
     return F.pandas_udf(run, T.LongType()).asNondeterministic()(page_id, digest)
 
 
-def record(page: int | None, url: str | None, payload: bytes, size: int, digest: str, revisit: bool, refers_to: int | None) -> bytes:
-    """One gzip member; a revisit leaves its payload of ``size`` bytes out."""
+def record_id(page: int | None, url: str | None, digest: str, place: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}/{digest}/{place}/{"" if url is None else f":{url}"}')}>"
+
+
+def record(
+    page: int | None, url: str | None, place: int, payload: bytes, size: int, digest: str, revisit: bool, refers_to: int | None, refers_url: str | None
+) -> bytes:
+    """One gzip member; a revisit leaves its payload of ``size`` bytes out. A response is the first of the rows equal to it."""
     body = HTTP if revisit else HTTP + payload
-    name = lambda p: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{p}/{digest}')}>"
-    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", name(page)), ("WARC-Date", DATE)]
+    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(page, url, digest, place)), ("WARC-Date", DATE)]
     if url is not None:
         headers.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
     if revisit:
-        headers += [("WARC-Refers-To", name(refers_to)), ("WARC-Profile", REVISIT_PROFILE)]
+        headers += [("WARC-Refers-To", record_id(refers_to, refers_url, digest, 0)), ("WARC-Profile", REVISIT_PROFILE)]
         headers += [] if refers_to is None else [(REFERS_PAGE, refers_to)]
     headers += [] if page is None else [(PAGE, page)]
     headers += [(LENGTH, size), ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(body).hexdigest()}")]
@@ -127,7 +138,7 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, number, done, held, wanted = None, 0, [], None, {s: n for s, *n in counts}
         for batch in batches:
-            for shard, kind, page, digest, value, uri, size, revisit, refers in zip(*batch.columns, strict=True):
+            for shard, kind, page, digest, value, uri, size, revisit, refers, refers_url, place in zip(*batch.columns, strict=True):
                 shard, page, digest = shard.as_py(), page.as_py(), digest.as_py()
                 if not kind.as_py():  # a payload comes before the records of its page and digest
                     held = page, digest, value
@@ -147,7 +158,7 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
                     roll = None
                 if roll is None:
                     roll = Roll(folder, shard, number)
-                roll.add(record(page, uri, payload, size, digest.hex(), revisit, refers.as_py()))
+                roll.add(record(page, uri, place.as_py(), payload, size, digest.hex(), revisit, refers.as_py(), refers_url.as_py()))
         if roll:
             done.append(roll.close())
         if any(wanted[d[1]] != [0, 0] for d in done):
@@ -163,15 +174,15 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     shards = planned.groupBy("shard").agg(first, F.count("*").alias("n"), F.count_if("revisit").alias("revisits")).collect()  # MOST_SHARDS + 1 rows at most
     counts = [(r["shard"], r["n"], r["revisits"]) for r in shards]
     starts = sorted((r["s"]["known"], r["s"]["page_id"] or 0, bytes(r["s"]["digest"]), r["shard"]) for r in shards if r["s"])
-    noted = planned.select("shard", F.lit(1).alias("kind"), "page_id", "digest", F.col("small").alias("value"), "url", "size", "revisit", "refers_to")
+    noted = planned.select("shard", F.lit(1).alias("kind"), "page_id", "digest", F.col("small").alias("value"), "url", "size", "revisit", "refers_to", "refers_url", "place")
     rows = noted
     if starts:
         full = pages.select(F.col(key).cast("long").alias("page_id"), F.unhex(F.sha2(F.col(html), 256)).alias("digest"), F.col(html).alias("value")).where(F.octet_length("value") >= REVISIT_BYTES)
         full = full.select(shard_by(starts, F.col("page_id"), F.col("digest")).alias("shard"), "page_id", "digest", "value").where("shard IS NOT NULL")
         none = lambda kind: F.lit(None).cast(kind)
-        full = full.select("shard", F.lit(0).alias("kind"), "page_id", "digest", "value", none("string").alias("url"), none("long").alias("size"), none("boolean").alias("revisit"), none("long").alias("refers_to"))
+        full = full.select("shard", F.lit(0).alias("kind"), "page_id", "digest", "value", none("string").alias("url"), none("long").alias("size"), none("boolean").alias("revisit"), none("long").alias("refers_to"), none("string").alias("refers_url"), none("long").alias("place"))
         rows = full.union(noted)
-    ordered = rows.repartition(parts, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first(), F.col("revisit"))
+    ordered = rows.repartition(parts, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first(), "place")
     ordered.mapInArrow(run, "name string, shard long, records long, bytes long, sha256 string").write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest").withColumn("uri", F.concat(F.lit(f"{folder}/"), "name"))
 

@@ -100,3 +100,21 @@ def test_equal_rows_of_many_shards(spark, tmp_path, monkeypatch):
     pages = [(None, "u", LONG, 1, "d")] * 40 + [(1, None, "tiny", 1, "d")] * 300 + [(2, u, LONG + "2", 1, "d") for u in ("b", "a", None)] * 5
     manifest = warc.write(spark.createDataFrame(pages, SCHEMA).repartition(5), str(tmp_path / "equal"))
     assert got(warc.read(manifest)) == plain(pages) and manifest.select("shard").distinct().count() > 5
+
+
+def test_record_ids_are_unique_and_revisits_name_their_response(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 700)
+    pages = rows() + [(None, "u", LONG, 1, "d")] * 9 + [(1, None, "tiny", 1, "d")] * 20 + [(2, u, LONG + "2", 1, "d") for u in ("b", "a", None, "")] * 5
+    ids, refers = [], []
+    for run in range(2):
+        frame = spark.createDataFrame(pages, SCHEMA).repartition(2 + 3 * run)
+        names = [r["uri"] for r in warc.write(frame, str(tmp_path / f"ids{run}")).collect()]
+        headers = []
+        for name in names:
+            with open(name, "rb") as stream:
+                headers += [h for h, _ in warc.records(stream)]
+        ids.append({h["WARC-Record-ID"]: h["WARC-Type"] for h in headers})
+        refers.append({h["WARC-Refers-To"] for h in headers if h["WARC-Type"] == "revisit"})
+        assert len(ids[-1]) == len(headers) == len(pages)
+    assert ids[0] == ids[1] and refers[0] == refers[1]
+    assert {ids[0][r] for r in refers[0]} == {"response"}
