@@ -17,7 +17,7 @@ from cargolens.plans.incremental import Layer, refresh
 from cargolens.session import shared_dir
 from cargolens.sources import adapters
 from cargolens.sources.tables import SORT_KEYS
-from cargolens.streaming import fleet, keyed, seen, windows
+from cargolens.streaming import fleet, keyed, seen, slices, upkeep, windows
 
 PARTS = 3
 COST_KEY, COST_ORDER = ["cost_id"], ["updated_at", "vehicle_id", "route_id"]
@@ -91,6 +91,32 @@ def telemetry_dedup_history_stream(spark: SparkSession, sf: str) -> DataFrame:
     return seen.read_history(spark, tables)
 
 
+def telemetry_history_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings of four months taken in three batches; packed and expired after the second, packed again and swept after the third."""
+    root, sort = shared_dir(spark, "kept"), SORT_KEYS["vehicle_telemetry_events"]
+    path, checkpoint = f"{root}/history", f"{root}/checkpoint"
+    rows = tm.raw(tm.admit(_telemetry(spark, sf))).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    number = F.col("event_id").cast("long")
+    first = rows.agg(F.min("event_timestamp")).head()[0]
+    moved = rows.withColumn("event_timestamp", F.add_months(F.lit(first).cast("date"), number.cast("int") % 4).cast("timestamp"))
+    parts = [moved.where(F.pmod(F.xxhash64("event_id"), F.lit(PARTS)) == k) for k in range(PARTS)]
+    done = []
+
+    def start(stream: DataFrame) -> list:
+        writer = stream.writeStream.option("checkpointLocation", checkpoint)
+        query = writer.foreachBatch(lambda df, b: slices.write_month_slice(df, path, b, "event_timestamp", sort)).trigger(availableNow=True).start()
+        query.awaitTermination()
+        done.append(query)
+        if len(done) > 1 and first:
+            before = F.date_format(F.add_months(F.lit(first).cast("date"), 1), "yyyyMM")
+            upkeep.maintain(spark, path, upkeep.committed(spark, checkpoint), rows.schema, sort, before=spark.range(1).select(before).head()[0])
+        return [query]
+
+    arriving(parts, root, start)
+    upkeep.sweep(spark, path)
+    return upkeep.read(spark, path, rows.schema)
+
+
 # -- change feeds -------------------------------------------------------------------
 
 
@@ -173,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_telemetry_stream": late_telemetry_stream,
     "delivery_state_keyed_stream": delivery_state_keyed_stream,
     "telemetry_dedup_history_stream": telemetry_dedup_history_stream,
+    "telemetry_history_kept": telemetry_history_kept,
     "cost_change_feed": cost_change_feed,
     "cost_feed_applied": cost_feed_applied,
     "cost_gold_incremental": cost_gold_incremental,

@@ -637,6 +637,11 @@ def statements() -> dict[str, str]:
             WHERE time_bucket(INTERVAL '5 minutes', event_timestamp) + INTERVAL '5 minutes' <= watermark""",
         "delivery_state_keyed_stream": f"SELECT * {AS_ORDER} FROM delivery_state",
         "telemetry_dedup_history_stream": "SELECT DISTINCT * FROM admitted",
+        "telemetry_history_kept": """
+            SELECT * EXCLUDE (first_day) REPLACE (CAST(first_day + to_months(CAST(CAST(event_id AS BIGINT) % 4 AS INT)) AS TIMESTAMP) AS event_timestamp),
+                   strftime(first_day + to_months(CAST(CAST(event_id AS BIGINT) % 4 AS INT)), '%Y%m') AS event_month
+            FROM (SELECT *, CAST(min(event_timestamp) OVER () AS DATE) AS first_day FROM admitted)
+            WHERE CAST(event_id AS BIGINT) % 4 > 0""",
         "cost_change_feed": f"""
             SELECT * {AS_COST} FROM (
               SELECT 'delete' AS change, * EXCLUDE (kind) FROM old_costs WHERE kind = 0

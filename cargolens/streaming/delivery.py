@@ -13,6 +13,7 @@ from cargolens.operators import events as ev
 from cargolens.operators.latest import latest_by_key
 from cargolens.operators.parse import is_valid_delivery, parse_delivery_events
 from cargolens.sources.tables import SORT_KEYS
+from cargolens.streaming import upkeep
 from cargolens.streaming.run import dedup as drop_repeats
 from cargolens.streaming.run import spread
 from cargolens.streaming.slices import read_latest, write_month_slice, write_slice
@@ -128,4 +129,12 @@ def read_vehicle_state(spark: SparkSession, tables: DeliveryTables) -> DataFrame
 
 
 def read_history(spark: SparkSession, tables: DeliveryTables) -> DataFrame:
-    return spark.read.parquet(tables.history).drop("batch")
+    if not upkeep.maintained(spark, tables.history):
+        return spark.read.parquet(tables.history).drop("batch")
+    return upkeep.read(spark, tables.history).withColumn("event_month", F.expr("try_cast(event_month AS int)"))
+
+
+def maintain_history(spark: SparkSession, tables: DeliveryTables, before: str | None = None, target: int = upkeep.TARGET) -> int:
+    """Pack the history of committed batches and expire months before ``before`` (yyyyMM); returns how many fewer files are read."""
+    up_to = upkeep.committed(spark, f"{tables.checkpoint}/delivery-serving")
+    return upkeep.maintain(spark, tables.history, up_to, None, SORT_KEYS["delivery_events"], before, target)

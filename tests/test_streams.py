@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cargolens.operators import events as ev
 from cargolens.operators import telemetry as tm
 from cargolens.operators.parse import parse_delivery_events
-from cargolens.streaming import delivery, fleet, slices
+from cargolens.streaming import delivery, fleet, slices, upkeep
 from tests.test_telemetry import BASE, SCENARIO, SCHEMA
 
 TELEMETRY = [part.split()[0] for part in SCHEMA.split(", ")]
@@ -135,6 +135,22 @@ def test_repeated_ids_stay_in_the_history_unless_dedup_is_asked(spark, delivery_
     assert delivery.read_history(spark, tables).count() == 4
 
 
+def test_the_packed_history_holds_the_same_events(spark, delivery_run):
+    tables = delivery_run([delivered(1, 5), delivered(2, 6)], [delivered(3, 7)])
+
+    def shown():
+        history = delivery.read_history(spark, tables)
+        return history.schema["event_month"].dataType, sorted(str(r.asDict()) for r in history.select(sorted(history.columns)).collect())
+
+    before = shown()
+    assert len(before[1]) == 3
+    delivery.maintain_history(spark, tables)
+    upkeep.sweep(spark, tables.history)
+    assert shown() == before
+    delivery.maintain_history(spark, tables, before="999901")
+    assert delivery.read_history(spark, tables).count() == 0
+
+
 def test_dedup_drops_repeats_and_still_keeps_rejects(spark, delivery_run):
     tables = delivery_run([delivered(1, 5), delivered(1, 5), "{broken"], [delivered(1, 5), delivered(2, 6)], dedup=True)
     assert sorted(r["event_id"] for r in delivery.read_history(spark, tables).collect()) == ["e1", "e2"]
