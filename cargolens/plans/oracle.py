@@ -637,6 +637,11 @@ def statements() -> dict[str, str]:
             WHERE time_bucket(INTERVAL '5 minutes', event_timestamp) + INTERVAL '5 minutes' <= watermark""",
         "delivery_state_keyed_stream": f"SELECT * {AS_ORDER} FROM delivery_state",
         "telemetry_dedup_history_stream": "SELECT DISTINCT * FROM admitted",
+        "active_vehicles_by_period": " UNION ALL ".join(
+            f"""SELECT '{grain}' AS grain, CAST(date_trunc('{grain}', event_timestamp) AS TIMESTAMP) AS period, vehicle_status,
+                count(DISTINCT vehicle_id) AS active_vehicle_count FROM admitted GROUP BY ALL"""
+            for grain in ("day", "week", "month")
+        ),
         "telemetry_history_kept": """
             SELECT * EXCLUDE (first_day) REPLACE (CAST(first_day + to_months(CAST(CAST(event_id AS BIGINT) % 4 AS INT)) AS TIMESTAMP) AS event_timestamp),
                    strftime(first_day + to_months(CAST(CAST(event_id AS BIGINT) % 4 AS INT)), '%Y%m') AS event_month
