@@ -62,10 +62,11 @@ def assign(rows: DataFrame, key: str, shards: int, shard: str = "shard", grown:
 
 
 def place(rows: DataFrame, key: str, shard: str = "shard", slot: str = "slot") -> DataFrame:
-    """Adds the gapless position of every row in its shard, from 0."""
-    ranged = numbered(rows.withColumn("_one", F.lit(1)), [key])
-    placed = running(ranged, [key], "_one", by=[shard], ready_ranges=True, name=slot)
-    return placed.drop("_one", "_tie", "_part")
+    """Adds the gapless position of every row in its shard, from 0; all other columns come through, whatever their names."""
+    given = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != slot]).alias("given")
+    light = rows.select(F.col(key).alias("key"), F.col(shard).alias("shard"), F.lit(1).alias("one"), given)
+    placed = running(numbered(light, ["key"]), ["key"], "one", by=["shard"], ready_ranges=True, name="slot")
+    return placed.select("given.*", F.col("slot").alias(slot))
 
 
 def write(rows: DataFrame, path: str, shard: str = "shard") -> None:

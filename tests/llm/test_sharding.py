@@ -60,3 +60,14 @@ def test_odd_rows_keep_their_columns_and_equal_keys_meet(spark):
 def test_written_shards_read_back(spark, tmp_path):
     sharding.write(sharding.assign(odd_documents(spark), "doc_id", 3), str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).count() == odd_documents(spark).count()
+
+
+def test_names_that_the_code_uses_come_through(spark):
+    names = ["_p", "_offset", "_one", "_tie", "_part", "_inside", "_row", "key", "one", "given", "slot", "a.b"]
+    rows = spark.createDataFrame([(k, *[f"{n}{k}" for n in names]) for k in range(50)], ["doc_id", *names])
+    got = sharding.place(sharding.assign(rows, "doc_id", 3, grown=None), "doc_id")
+    assert got.columns == ["doc_id", *[n for n in names if n != "slot"], "shard", "slot"]
+    found = [r.asDict() for r in got.collect()]
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in found for n in names if n != "slot")
+    slots = {s: sorted(r["slot"] for r in found if r["shard"] == s) for s in range(3)}
+    assert all(v == list(range(len(v))) for v in slots.values()) and sum(map(len, slots.values())) == 50
