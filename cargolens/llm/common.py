@@ -71,6 +71,14 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(df: DataFrame, order: list[str]) -> DataFrame:
     """Range-partitioned by ``order`` and staged, with ``_part`` and ``_tie``: together a total order.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import components, ready, stage
+from cargolens.llm.common import components, fresh, ready, stage
 from cargolens.llm.shingles import of_texts
 
 SIZE = 5
@@ -205,13 +205,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest id of each component, and every document without n-grams; columns as they came."""
-    kept = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "kept")
-    found = classes(kept.select("_row", text), "_row", text)
-    ids = kept.select(F.col("_row").alias("_id"), F.col(key).alias("_key"))
+    row = fresh(docs, "_row")
+    kept = stage(docs.withColumn(row, F.monotonically_increasing_id()), "kept")
+    light = kept.select(F.col(row).alias("_row"), F.col(text).alias("text"), F.col(key).alias("_key"))
+    found = classes(light.select("_row", "text"), "_row", "text")
+    ids = light.select(F.col("_row").alias("_id"), "_key")
     ranked = found.where("n_shingles > 0").join(ids, F.col("doc_id") == F.col("_id"))
-    best = ranked.groupBy("label").agg(F.min(F.struct(F.col("_key").isNull(), "_key", "_id")).alias("m")).select(F.col("m._id").alias("_row"))
-    blank = found.where("n_shingles = 0").select(F.col("doc_id").alias("_row"))
-    return kept.join(best.union(blank), "_row").select(*docs.columns)
+    best = ranked.groupBy("label").agg(F.min(F.struct(F.col("_key").isNull(), "_key", "_id")).alias("m")).select(F.col("m._id").alias(row))
+    blank = found.where("n_shingles = 0").select(F.col("doc_id").alias(row))
+    return kept.join(best.union(blank), row).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

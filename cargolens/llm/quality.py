@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import let, stage, words
+from cargolens.llm.common import fresh, let, stage, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -152,9 +152,10 @@ def verdicts(docs: DataFrame, carry: tuple[str, ...] = (), lang: str = "lang", s
 
 def passing(docs: DataFrame, **columns: str) -> DataFrame:
     """The documents that are kept, with the columns they came with; they are written once with their row numbers, which a second scan may give anew."""
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered", "zstd")
-    good = verdicts(rows, ("_row",), **columns).where("kept").select("_row")
-    return rows.join(good, "_row", "left_semi").select(*docs.columns)
+    row = fresh(docs, "_row")
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered", "zstd")
+    good = verdicts(rows, (row,), **columns).where("kept").select(row)
+    return rows.join(good, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
