@@ -2,10 +2,13 @@
 
 Base counts come from the whole text. Rates derived from them are put into log-linear histograms
 per language and source: a quantile sketch with a relative error of 1/16 at most, exact below 32, that
-merges by adding counts and gives the same answer in any order of rows. Fences follow from its
-quartiles, so each source is held against its own habit instead of a fixed cutoff; sources with few
-documents use the merged sketch of their language, then that of all. The fences join the documents
-on (language, source) and filter them.
+merges by adding counts and gives the same answer in any order of rows. A group's sketch is blended with
+that of its language and that of all, each with the weight of ``PRIOR`` documents: one rule at every size, by which small
+groups lean on the others and large ones on themselves. Fences follow from the quartiles of the blend, so each source
+is held against its own habit instead of a fixed cutoff. Where the quartiles tie, as in rates that are mostly zero, the
+spread is what one occurrence (a symbol, a line, a repeated window) makes of the group's median document, by
+the sketch of the denominators; up to ``REACH`` occurrences are no habit in a document of any length.
+The fences join the documents on (language, source) and filter them.
 
 The counts of a document are taken once and written without its text; the rest works on them. Bucket counts are added
 before the shuffle, so a source with a third of all rows sends
@@ -26,17 +29,19 @@ from cargolens.llm.common import fresh, let, stage, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: Documents below which a source uses a coarser sketch.
-FEW = 50
-#: Rates: numerator, denominator, scale to whole numbers, smallest spread that counts, and whether low values are odd as well.
+#: Documents that the sketch of the language, and that of all, weigh in a group's own; counts are scaled to whole weights.
+PRIOR, SCALE = 50, 1_000
+#: Rates: numerator, denominator, scale to whole numbers, size of an occurrence (none: one per denominator), whether low values are odd as well.
 RATES = {
-    "word_length": ("word_chars", "n_words", 100, 100, True),
-    "symbols": ("n_symbols", "word_chars", 10_000, 100, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1_000, 200, False),
-    "repeats": ("n_repeat_words", "n_words", 1_000, 90, False),
+    "word_length": ("word_chars", "n_words", 100, None, True),
+    "symbols": ("n_symbols", "word_chars", 10_000, 1, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 1_000, 1, False),
+    "repeats": ("n_repeat_words", "n_words", 1_000, 2 * WINDOW, False),
 }
 #: Spreads between the quartiles that a rate may lie beyond them.
 REACH = 3
+#: The denominators, whose medians tell what an occurrence is worth.
+UNDER = sorted({r[1] for r in RATES.values()})
 BASE_FAILED = "n_words < 20 OR 100 * n_repeat_words > 30 * n_words"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -101,8 +106,12 @@ def lowest(b: Column) -> Column:
 
 
 def sketch(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Histogram rows ``(lang, source, rate, bucket, n)`` of the documents that pass the base rules; they merge by adding ``n``."""
-    each = F.explode(F.array(*[F.struct(F.lit(name).alias("rate"), bucket(rate(name)).alias("bucket")) for name in RATES])).alias("x")
+    """Histogram rows ``(lang, source, rate, bucket, n)`` of the documents that pass the base rules; they merge by adding ``n``.
+
+    The denominators of the rates have histograms of their own, under their names.
+    """
+    values = {name: rate(name) for name in RATES} | {name: F.col(name) for name in UNDER}
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("rate"), bucket(v).alias("bucket")) for name, v in values.items()])).alias("x")
     rows = measured.where("NOT base_failed").select(F.col(lang).alias("lang"), F.col(source).alias("source"), each)
     return rows.groupBy("lang", "source", "x.rate", "x.bucket").agg(F.count("*").alias("n"))
 
@@ -113,25 +122,33 @@ def levels() -> Column:
     return F.explode(F.array(*[F.struct(F.lit(k).alias("level"), keep("lang", 2, k), keep("source", 1, k)) for k in range(3)])).alias("l")
 
 
-def fences(sketches: DataFrame) -> DataFrame:
-    """``(lang, source)`` with the bounds ``<rate>_low`` and ``<rate>_high`` of its own sketch or of a merged one."""
+def blended(sketches: DataFrame) -> DataFrame:
+    """``(lang, source, rate, bucket, w)``: each group's own counts, and those of its language and of all with a fixed weight."""
     merged = sketches.select("rate", "bucket", "n", levels()).groupBy("l.level", "l.a", "l.b", "rate", "bucket").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy("level", "a", "b", "rate")
-    counted = merged.withColumn("all", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
-    quartile = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("all") * k, F.col("bucket")))
-    found = counted.groupBy("level", "a", "b", "rate").agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.first("all").alias("all"))
-    spread = F.create_map(*[x for name, r in RATES.items() for x in (F.lit(name), F.lit(r[3]))])[F.col("rate")]
-    found = found.withColumn("q1", lowest(F.col("q1"))).withColumn("q3", lowest(F.col("q3")))
-    found = found.withColumn("reach", REACH * F.greatest(F.col("q3") - F.col("q1"), spread))
-    pick = lambda name, c: F.max(F.when(F.col("rate") == name, c))
-    bounds = [f(name) for name in RATES for f in (lambda n: pick(n, F.col("q1") - F.col("reach")).alias(f"{n}_low"), lambda n: pick(n, F.col("q3") + F.col("reach")).alias(f"{n}_high"))]
-    wide = found.groupBy("level", "a", "b").agg(F.max("all").alias("all"), *bounds)
-    names = [f"{name}_{end}" for name in RATES for end in ("low", "high")]
-    usable = wide.where((F.col("all") >= FEW) | (F.col("level") == 2)).select(F.col("level").alias("k"), "a", "b", F.struct(*names).alias("f"))
+    merged = merged.withColumn("all", F.sum("n").over(Window.partitionBy("level", "a", "b", "rate")))
+    w = F.when(F.col("level") == 0, F.col("n") * SCALE).otherwise(F.expr(f"n * {SCALE * PRIOR} div all"))
+    # A row per sketch: it holds as many buckets as there are magnitudes, however many documents.
+    whole = merged.groupBy(F.col("level").alias("k"), "a", "b").agg(F.collect_list(F.struct("rate", "bucket", w.alias("w"))).alias("buckets"))
     pairs = sketches.select("lang", "source").distinct().select("lang", "source", levels())
     match = (F.col("l.level") == F.col("k")) & F.col("l.a").eqNullSafe(F.col("a")) & F.col("l.b").eqNullSafe(F.col("b"))
-    best = pairs.join(usable, match).groupBy("lang", "source").agg(F.min_by("f", "k").alias("f"))
-    return best.select("lang", "source", "f.*")
+    each = pairs.join(whole, match).select("lang", "source", F.explode("buckets").alias("x"))
+    return each.groupBy("lang", "source", "x.rate", "x.bucket").agg(F.sum("x.w").alias("w"))
+
+
+def fences(sketches: DataFrame) -> DataFrame:
+    """``(lang, source)`` with the bounds ``<rate>_low`` and ``<rate>_high`` of the group's blended sketch."""
+    group = Window.partitionBy("lang", "source", "rate")
+    counted = blended(sketches).withColumn("all", F.sum("w").over(group)).withColumn("upto", F.sum("w").over(group.orderBy("bucket")))
+    quartile = lambda k: lowest(F.min(F.when(F.col("upto") * 4 >= F.col("all") * k, F.col("bucket")))).alias(f"q{k}")
+    found = counted.groupBy("lang", "source", "rate").agg(*[quartile(k) for k in (1, 2, 3)])
+    pick = lambda name, q: F.max(F.when(F.col("rate") == name, F.col(q))).alias(f"{name}_{q}")
+    wide = found.groupBy("lang", "source").agg(*[pick(n, q) for n in RATES for q in ("q1", "q3")], *[pick(n, "q2") for n in UNDER])
+    bounds = []
+    for name, (_, under, scale, size, _) in RATES.items():
+        least = F.lit(scale) if size is None else F.expr(f"{size * scale} div greatest({under}_q2, 1)")
+        reach = REACH * F.greatest(F.col(f"{name}_q3") - F.col(f"{name}_q1"), least)
+        bounds += [(F.col(f"{name}_q1") - reach).alias(f"{name}_low"), (F.col(f"{name}_q3") + reach).alias(f"{name}_high")]
+    return wide.select("lang", "source", *bounds)
 
 
 def verdicts(docs: DataFrame, carry: tuple[str, ...] = (), lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
@@ -141,9 +158,10 @@ def verdicts(docs: DataFrame, carry: tuple[str, ...] = (), lang: str = "lang", s
     bounds = fences(sketch(light, "_lang", "_source"))
     joined = light.join(bounds, F.col("_lang").eqNullSafe(F.col("lang")) & F.col("_source").eqNullSafe(F.col("source")), "left")
     inside = F.lit(True)
-    for name, (*_, both) in RATES.items():
+    for name, (over, _, _, size, both) in RATES.items():
         value = rate(name)
-        inside = inside & (value <= F.col(f"{name}_high"))
+        few = F.lit(False) if size is None else F.col(over) <= REACH * size
+        inside = inside & (few | (value <= F.col(f"{name}_high")))
         if both:
             inside = inside & (value >= F.col(f"{name}_low"))
     kept = (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept")
@@ -166,7 +184,9 @@ def sql() -> str:
     """The same verdicts in DuckDB SQL."""
     blank = "[\\x20\\x09-\\x0D]+"
     symbols = " + ".join(f"(strlen(t) - strlen(replace(t, '{c}', '')))" for c in SYMBOLS)
-    rates = " UNION ALL ".join(f"SELECT *, '{n}' AS rate, {o} * {s} // greatest({u}, 1) AS v, {w} AS spread, {str(b).lower()} AS low_too FROM m" for n, (o, u, s, w, b) in RATES.items())
+    one = lambda n, o, u, s, w, b: f"SELECT *, '{n}' AS rate, '{u}' AS under, {o} * {s} // greatest({u}, 1) AS v, {s if w is None else w * s} AS least, {str(w is None).lower()} AS whole, {o} <= {REACH * (w or 0)} AS few, {str(b).lower()} AS low_too FROM f"
+    rates = " UNION ALL ".join(one(n, *r) for n, r in RATES.items())
+    unders = " UNION ALL ".join(f"SELECT lang, source, '{u}' AS rate, {u} AS v, base_failed FROM f" for u in UNDER)
     bucket_of = "CASE WHEN v < 32 THEN v ELSE (length(bin(v)) - 5) * 16 + (v >> (length(bin(v)) - 5)) END"
     value_of = "CASE WHEN {0} < 32 THEN {0} ELSE ({0} - 16 * ({0} // 16 - 1)) << ({0} // 16 - 1) END"
     return f"""
@@ -182,23 +202,30 @@ WITH b AS (
     CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
   FROM b LEFT JOIN r USING (doc_id)
 ), f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
-), v AS (SELECT *, {bucket_of} AS bucket FROM ({rates.replace('FROM m', 'FROM f')})
-), h AS (SELECT lang, source, rate, any_value(spread) AS spread, bucket, count(*) AS n FROM v WHERE NOT base_failed GROUP BY lang, source, rate, bucket
+), v AS ({rates}
+), h AS (
+  SELECT lang, source, rate, {bucket_of} AS bucket, count(*) AS n FROM (SELECT lang, source, rate, v, base_failed FROM v UNION ALL {unders}) WHERE NOT base_failed GROUP BY ALL
 ), k AS (
-  SELECT 0 AS level, lang AS a, source AS b, * FROM h UNION ALL SELECT 1, lang, NULL, * FROM h UNION ALL SELECT 2, NULL, NULL, * FROM h
-), s AS (SELECT level, a, b, rate, any_value(spread) AS spread, bucket, sum(n) AS n FROM k GROUP BY level, a, b, rate, bucket
-), c AS (SELECT *, sum(n) OVER (PARTITION BY level, a, b, rate) AS total, sum(n) OVER (PARTITION BY level, a, b, rate ORDER BY bucket) AS upto FROM s
+  SELECT 0 AS level, lang AS a, source AS b, rate, bucket, n FROM h UNION ALL SELECT 1, lang, NULL, rate, bucket, n FROM h UNION ALL SELECT 2, NULL, NULL, rate, bucket, n FROM h
+), s AS (SELECT level, a, b, rate, bucket, sum(n) AS n FROM k GROUP BY ALL
+), y AS (SELECT level, a, b, rate, bucket, CASE WHEN level = 0 THEN n * {SCALE} ELSE n * {SCALE * PRIOR} // sum(n) OVER (PARTITION BY level, a, b, rate) END AS w FROM s
+), o AS (
+  SELECT lang, source, rate, bucket, sum(w) AS w FROM (SELECT DISTINCT lang, source FROM h) JOIN y
+    ON (level = 0 AND a IS NOT DISTINCT FROM lang AND b IS NOT DISTINCT FROM source) OR (level = 1 AND a IS NOT DISTINCT FROM lang) OR level = 2 GROUP BY ALL
+), c AS (
+  SELECT *, sum(w) OVER (PARTITION BY lang, source, rate) AS total, sum(w) OVER (PARTITION BY lang, source, rate ORDER BY bucket) AS upto FROM o
 ), q AS (
-  SELECT level, a, b, rate, any_value(spread) AS spread, any_value(total) AS total, min(bucket) FILTER (upto * 4 >= total) AS b1, min(bucket) FILTER (upto * 4 >= total * 3) AS b3 FROM c GROUP BY level, a, b, rate
-), z AS (SELECT *, {value_of.format('b1')} AS q1, {value_of.format('b3')} AS q3 FROM q WHERE total >= {FEW} OR level = 2
-), fence AS (SELECT *, {REACH} * greatest(q3 - q1, spread) AS reach FROM z
-), best AS (
-  SELECT v.*, arg_min(struct_pack(q1, q3, reach), level) AS x FROM v LEFT JOIN fence e ON e.rate = v.rate
-    AND ((level = 0 AND a IS NOT DISTINCT FROM lang AND b IS NOT DISTINCT FROM source) OR (level = 1 AND a IS NOT DISTINCT FROM lang) OR level = 2) GROUP BY ALL
+  SELECT lang, source, rate, min(bucket) FILTER (upto * 4 >= total) AS b1, min(bucket) FILTER (upto * 4 >= total * 2) AS b2, min(bucket) FILTER (upto * 4 >= total * 3) AS b3
+  FROM c GROUP BY ALL
+), z AS (SELECT lang, source, rate, {value_of.format('b1')} AS q1, {value_of.format('b2')} AS q2, {value_of.format('b3')} AS q3 FROM q
+), x AS (
+  SELECT v.*, z.q1, z.q3, {REACH} * greatest(z.q3 - z.q1, CASE WHEN whole THEN least ELSE least // greatest(d.q2, 1) END) AS reach
+  FROM v LEFT JOIN z ON z.rate = v.rate AND z.lang IS NOT DISTINCT FROM v.lang AND z.source IS NOT DISTINCT FROM v.source
+  LEFT JOIN z d ON d.rate = v.under AND d.lang IS NOT DISTINCT FROM v.lang AND d.source IS NOT DISTINCT FROM v.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  bool_and(NOT base_failed AND coalesce(v <= x.q3 + x.reach AND (NOT low_too OR v >= x.q1 - x.reach), true)) AS kept
-FROM best GROUP BY ALL
+  bool_and(NOT base_failed AND coalesce((v <= q3 + reach OR (few AND NOT whole)) AND (NOT low_too OR v >= q1 - reach), true)) AS kept
+FROM x GROUP BY ALL
 """
 
 

@@ -27,27 +27,41 @@ def low(v):
 
 
 def plain_kept(rows):
-    """Verdicts from sorted lists: quartiles of the values' buckets, by group, language or all."""
-    measured = [(r, *plain_counts(r[1]), len([x for x in (r[1] or "").split("\n") if words(x)])) for r in rows]
-    groups, out = [defaultdict(list) for _ in range(3)], []
-    rate = lambda name, m: dict(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"), m[1:]))
-    value = lambda name, m: (lambda d: d[quality.RATES[name][0]] * quality.RATES[name][2] // max(d[quality.RATES[name][1]], 1))(rate(name, m))
-    failed = lambda m: m[1] < 20 or 100 * m[5] > 30 * m[1]
-    for m in measured:
+    """Verdicts from counts of bucketed values: quartiles of a group blended with its language and all."""
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+    measured = [(r, dict(zip(names, (*plain_counts(r[1]), len([x for x in (r[1] or "").split("\n") if words(x)]))))) for r in rows]
+    failed = lambda m: m["n_words"] < 20 or 100 * m["n_repeat_words"] > 30 * m["n_words"]
+    value = lambda name, m: m[name] if name in m else m[quality.RATES[name][0]] * quality.RATES[name][2] // max(m[quality.RATES[name][1]], 1)
+    groups, out = defaultdict(list), []
+    for r, m in measured:
         if not failed(m):
-            for k, g in enumerate(((m[0][2], m[0][3]), m[0][2], 0)):
-                groups[k][g].append(m)
-    for m in measured:
+            for g in ((r[2], r[3]), (r[2],), ()):
+                groups[g].append(m)
+
+    def quartiles(name, r):
+        weights = Counter()
+        for g in ((r[2], r[3]), (r[2],), ()):
+            counts = Counter(low(value(name, m)) for m in groups[g])
+            for v, n in counts.items():
+                weights[v] += n * quality.SCALE if len(g) == 2 else n * quality.SCALE * quality.PRIOR // sum(counts.values())
+        found, upto = {}, 0
+        for v in sorted(weights):
+            upto += weights[v]
+            for k in (1, 2, 3):
+                if 4 * upto >= k * sum(weights.values()):
+                    found.setdefault(k, v)
+        return found
+
+    for r, m in measured:
         ok = not failed(m)
         if ok:
-            own = [groups[k][g] for k, g in enumerate(((m[0][2], m[0][3]), m[0][2], 0))]
-            peers = next((p for p in own[:2] if len(p) >= quality.FEW), own[2])
-            for name, (_, _, _, spread, both) in quality.RATES.items():
-                seen = sorted(low(value(name, p)) for p in peers)
-                q1, q3 = (seen[-(-len(seen) * k // 4) - 1] for k in (1, 3))
-                reach = quality.REACH * max(q3 - q1, spread)
-                ok = ok and value(name, m) <= q3 + reach and (not both or value(name, m) >= q1 - reach)
-        out.append((m[0][0], *m[1:6], failed(m), ok))
+            for name, (over, under, scale, size, both) in quality.RATES.items():
+                q = quartiles(name, r)
+                least = scale if size is None else size * scale // max(quartiles(under, r)[2], 1)
+                reach = quality.REACH * max(q[3] - q[1], least)
+                few = size is not None and m[over] <= quality.REACH * size
+                ok = ok and (few or value(name, m) <= q[3] + reach) and (not both or value(name, m) >= q[1] - reach)
+        out.append((r[0], *(m[n] for n in names[:5]), failed(m), ok))
     return sorted(out, key=str)
 
 
@@ -78,6 +92,29 @@ def test_sketches_merge_by_adding_counts(spark):
     assert sorted(map(str, map(tuple, merged.collect()))) == sorted(map(str, map(tuple, whole.collect())))
 
 
+def sketch_of(spark, groups):
+    rows = [(lang, source, rate, bucket, n) for (lang, source), found in groups.items() for rate, bucket, n in found]
+    return spark.createDataFrame(rows, "lang string, source string, rate string, bucket int, n long")
+
+
+def test_fences_follow_a_group_as_it_grows(spark):
+    """One rule at every size: the same habit moves a group's fence the further, the more documents show it."""
+    usual = [(name, 0, 10_000) for name in quality.RATES] + [(name, 30, 10_000) for name in quality.UNDER]
+    highs = []
+    for n in (1, 10, 49, 50, 51, 100, 1_000):
+        odd = [(name, b, -(-n // 3)) for name in quality.RATES for b in (5, 15, 25)] + [(name, 30, n) for name in quality.UNDER]
+        got = quality.fences(sketch_of(spark, {("en", "a"): usual, ("en", "b"): odd})).where("source = 'b'").head()
+        highs.append(got["word_length_high"])
+        assert got["dup_lines_high"] >= quality.REACH * (1_000 // 30)  # quartiles that tie: an occurrence in the median document
+    assert highs == sorted(highs) and highs[0] < highs[-1]
+
+
+def test_an_occurrence_is_worth_more_in_shorter_documents(spark):
+    flat = lambda b: [(name, 0, 500) for name in quality.RATES] + [(name, b, 500) for name in quality.UNDER]
+    got = {r["lang"]: r for r in quality.fences(sketch_of(spark, {("short", None): flat(4), (None, "long"): flat(31)})).collect()}
+    assert got["short"]["dup_lines_high"] == 3 * (1_000 // 4) and got[None]["dup_lines_high"] == 3 * (1_000 // 31)
+
+
 def test_labelled_documents(spark):
     """Held-out labels: what is marked good stays, what is marked bad goes."""
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
