@@ -44,6 +44,67 @@ def test_batches_add_up_once(spark, tmp_path):
         rollup.commit("../x", frame())
 
 
+def test_totals_are_maintained(spark, tmp_path):
+    place = str(tmp_path / "r")
+    rollup = Rollup(spark, place, fold_after=3)
+    frame = lambda *rows: spark.createDataFrame(rows, CHANGES)
+    batch = lambda k: frame(("insert", "a", "en", None, None, "v1", k), ("insert", None, f"l{k}", None, None, None, 1))
+    expected, read = Counter(), []
+    for k in range(1, 9):
+        assert rollup.commit(f"b{k}", batch(k))
+        expected["a", "en", "v1"] += k
+        expected[None, f"l{k}", None] += 1
+        assert {g: t for g, (_, t) in got(rollup.totals()).items()} == expected
+        read.append(len({f.rsplit("/", 1)[0] for f in rollup.totals().inputFiles()}))
+    assert max(read) <= 3  # the totals and the batches since, not all that were ever committed
+    before = got(rollup.totals())
+    assert rollup.batches() == [f"b{k}" for k in range(1, 9)]
+    for k in (1, 8):  # folded and open
+        assert not rollup.commit(f"b{k}", batch(k))
+        with pytest.raises(ValueError, match="other content"):
+            rollup.commit(f"b{k}", batch(k + 1))
+    assert rollup.sweep() > 0 and got(rollup.totals()) == before
+    assert not Rollup(spark, place).commit("b2", batch(2)) and got(Rollup(spark, place).totals()) == before
+    assert rollup.fold() == 2 and rollup.fold() == 0 and got(rollup.totals()) == before
+
+
+def test_a_fold_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    rollup = Rollup(spark, str(tmp_path / "r"))
+    frame = lambda *rows: spark.createDataFrame(rows, CHANGES)
+    rollup.commit("1", frame(("insert", "a", "en", None, None, "v1", 10)))
+    before = got(rollup.totals())
+
+    def stop(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(rollup, "_publish", stop)
+        with pytest.raises(OSError):
+            rollup.fold()
+        with pytest.raises(OSError):
+            rollup.commit("2", frame(("insert", "a", "en", None, None, "v1", 5)))
+    assert got(rollup.totals()) == before and rollup.batches() == ["1"]
+    assert rollup.commit("2", frame(("insert", "a", "en", None, None, "v1", 6))) and rollup.fold() == 2
+    assert got(rollup.totals()) == {("a", "en", "v1"): (2, 16)}
+
+
+def test_two_writers_of_a_batch(spark, tmp_path, monkeypatch):
+    place = str(tmp_path / "r")
+    rollup = Rollup(spark, place)
+    rows = spark.createDataFrame([("insert", "a", "en", None, None, "v1", 10)], CHANGES)
+    publish, calls = rollup._publish, []
+
+    def later(name, content):
+        if not calls:
+            calls.append(name)
+            assert Rollup(spark, place).commit("1", rows)  # the other writer is faster
+        publish(name, content)
+
+    monkeypatch.setattr(rollup, "_publish", later)
+    assert not rollup.commit("1", rows)
+    assert got(rollup.totals()) == {("a", "en", "v1"): (1, 10)}
+
+
 def test_counts_of_odd_texts(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
