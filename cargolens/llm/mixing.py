@@ -15,7 +15,7 @@ Every draw and permutation follows from the seed and the data: a rerun gives the
 
 Defined results: null text has no words and gives none; a null source is a source of its own, last;
 documents without words stay with 0; repeated rows are documents of their own; an empty table
-gives an empty table; ``documents_of`` returns the columns of its input, extra ones included.
+gives an empty table; ``documents_of`` returns the columns of its input, extra ones included, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cargolens.llm.common import numbered, ready, running, stage, words
+from cargolens.llm.common import fresh, numbered, ready, running, stage, words
 
 #: Words of a block, and slots of an output shard.
 BLOCK, SHARD_SLOTS = 256, 16_384
@@ -197,15 +197,17 @@ def documents_of(docs: DataFrame, key: str = "doc_id", source: str = "source", t
 
     Documents of which nothing is taken, or which have no words, are not in the mix.
     """
-    kept = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "kept")
-    found = mix(kept.withColumn("_key", F.col("_row")), "_key", source, text, **options)
-    merged = found.takes.groupBy("_part", "_tie", "epoch").agg(F.collect_list(F.struct("from", "to")).alias("_spans"))
-    spans = merged.join(found.documents.select("_part", "_tie", F.col("doc_id").alias("_row")), ["_part", "_tie"])
-    spans = spans.select("_row", "epoch", F.transform(join_spans(F.col("_spans")), lambda s: s).alias("_spans"))
-    rows = kept.join(spans, "_row").withColumn(text, cut(F.col(text), F.col("_spans")))
+    row, spans_of = fresh(docs, "_row"), fresh(docs, "_spans")
+    kept = stage(docs.withColumn(row, F.monotonically_increasing_id()), "kept")
+    named = lambda c: F.col(f"`{c}`")
+    found = mix(kept.select(named(row).alias("key"), named(source).alias("source"), named(text).alias("text")), "key", **options)
+    merged = found.takes.groupBy("_part", "_tie", "epoch").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    spans = merged.join(found.documents.select("_part", "_tie", F.col("doc_id").alias(row)), ["_part", "_tie"])
+    spans = spans.select(row, join_spans(F.col("spans")).alias(spans_of))
+    rows = kept.join(spans, row).withColumn(text, cut(named(text), named(spans_of)))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        rows = rows.withColumn("n_chars", F.char_length(named(text)).cast(docs.schema["n_chars"].dataType))
+    return rows.select(*[named(c) for c in docs.columns])
 
 
 def join_spans(spans: Column) -> Column:

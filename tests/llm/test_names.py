@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cargolens.llm import ngram_join, quality
+from cargolens.llm import mixing, ngram_join, quality
 from tests.llm.cases import SENTENCE
 
-NAMES = ["_row", "_row_", "label", "_id", "_key", "m", "kept", "_text", "a.b"]
+NAMES = ["_row", "_row_", "label", "_id", "_key", "m", "kept", "_text", "a.b", "epoch", "_spans", "_part", "_tie", "key", "before", "target", "shard"]
 LONG = " ".join(f"{SENTENCE} part {k}" for k in range(3))
 
 
@@ -29,3 +29,14 @@ def test_all_columns_come_through(spark, tmp_path):
         found = whole(got)
         assert len(found) == got.count() and set(found) == {r["doc_id"] for r in step(plain).collect()}
     assert set(found) == {0, 3, 4, 5}
+
+
+def test_the_mix_keeps_all_columns(spark, tmp_path):
+    table(spark).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    got = mixing.documents_of(docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in NAMES)
+    plain = mixing.documents_of(docs.select("doc_id", "text", "lang", "source")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted((r["doc_id"], r["text"]) for r in plain)
