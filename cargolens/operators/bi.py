@@ -122,6 +122,27 @@ def chart(
     return result if limit is None else result.orderBy(*order).limit(limit)
 
 
+def dashboard(df: DataFrame, charts: Mapping[str, Chart]) -> DataFrame:
+    """Charts of one view in one pass over it: a row per chart and group, by grouping sets.
+
+    Columns are ``chart``, all group columns and all metrics; null where a chart does not have them. The grouping id, not the
+    nulls, tells the charts apart, so groups whose key is null are rows like others. Charts with the same keys share
+    their groups. An empty view has no rows, totals included. No pivots and no hourly charts.
+    """
+    if odd := [name for name, spec in charts.items() if spec.columns or spec.hourly]:
+        raise ValueError(f"not a plain grouping: {odd}")
+    keys = list(dict.fromkeys(k for spec in charts.values() for k in spec.groupby))
+    metrics = list(dict.fromkeys(m for spec in charts.values() for m in spec.metrics))
+    sets = list(dict.fromkeys(tuple(k for k in keys if k in spec.groupby) for spec in charts.values()))
+    # A grouping id has a bit per key, the first one highest, set where the key is left out.
+    number = lambda cols: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in cols)
+    grouped = df.groupingSets([list(s) for s in sets], *keys).agg(*[metric_column(df, m) for m in metrics], F.grouping_id().alias("gid"))
+    shown = F.array(*[F.struct(F.lit(number(spec.groupby)).cast("long").alias("gid"), F.lit(name).alias("chart")) for name, spec in charts.items()])
+    each = grouped.select("*", F.explode(F.filter(shown, lambda c: c["gid"] == F.col("gid"))).alias("c"))
+    having = lambda m: [name for name, spec in charts.items() if m in spec.metrics]
+    return each.select(F.col("c.chart").alias("chart"), *keys, *[F.when(F.col("c.chart").isin(*having(m)), F.col(m)).alias(m) for m in metrics])
+
+
 def apply_filters(
     df: DataFrame,
     *,

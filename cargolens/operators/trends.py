@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,28 @@ def trend(enriched: DataFrame, grain: str) -> DataFrame:
     return totals.withColumn("delay_rate", F.col("delayed_deliveries") / decided)
 
 
+def trends(enriched: DataFrame, grains: Sequence[str] = ("day", "week", "month")) -> DataFrame:
+    """Delivery KPI of several grains from one pass over the events: a row per ``grain`` and ``period``.
+
+    Each task adds its events up per grain before the shuffle, so what travels is a row per period and task. Events
+    without a time are a period of every grain, as in ``trend``.
+    """
+    start = lambda g: F.to_date(F.date_trunc(g, F.col("event_timestamp"))).alias(g)
+    dated = enriched.select(*[start(g) for g in grains], "is_completed", "is_delayed", "delay_minutes", "order_value")
+    grouped = dated.groupingSets([[g] for g in grains], *grains).agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.sum("is_completed").alias("completed_deliveries"),
+        F.sum("is_delayed").alias("delayed_deliveries"),
+        mean(dated, "delay_minutes").alias("avg_delay_minutes"),
+        F.sum("order_value").alias("total_order_value"),
+        *[F.grouping(g).alias(f"without_{g}") for g in grains],
+    )
+    named = F.coalesce(*[F.when(F.col(f"without_{g}") == 0, F.lit(g)) for g in grains]).alias("grain")
+    decided = F.greatest(F.lit(1), F.col("completed_deliveries") + F.col("delayed_deliveries"))
+    figures = ("event_count", "completed_deliveries", "delayed_deliveries", "avg_delay_minutes", "total_order_value")
+    return grouped.select(named, F.coalesce(*grains).alias("period"), *figures, (F.col("delayed_deliveries") / decided).alias("delay_rate"))
+
+
 def cost_trend(gold_kpi: DataFrame, grain: str) -> DataFrame:
     """Cost per period from the route-day KPI; ratios again from sums."""
     dated = gold_kpi.withColumn("period", F.to_date(F.date_trunc(grain, F.col("business_date"))))

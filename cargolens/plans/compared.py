@@ -32,5 +32,7 @@ DIGITS: dict[str, dict[str, int]] = {
     "bi_route_cost": _ROUTE_COST,
     "bi_route_cost_limited": _ROUTE_COST,
     "bi_filtered_cost": _ROUTE_COST,
+    "bi_cost_dashboard": _ROUTE_COST | {"delay_rate": 9, "avg_delay_minutes": 9, "cost_delay_risk_score": 5},
+    "bi_cost_dashboard_filtered": _ROUTE_COST | {"delay_rate": 9, "avg_delay_minutes": 9, "cost_delay_risk_score": 5},
     "bi_route_risk": {"delay_rate": 9, "avg_delay_minutes": 9, "cost_delay_risk_score": 5},
 }

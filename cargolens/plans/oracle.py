@@ -317,6 +317,22 @@ def _pivot() -> str:
     return f"SELECT region, {', '.join(cells)} FROM delay_by_region GROUP BY region"
 
 
+def _dashboard(view: str) -> str:
+    """The cost charts one by one, under their names; a chart lacks the columns of the others."""
+    breakdown = _money("fuel_cost", "driver_cost", "toll_cost", "maintenance_cost", "other_cost")
+    risk = {**_money("actual_cost"), **{c: f"avg({c})" for c in ("delay_rate", "avg_delay_minutes")}, "cost_delay_risk_score": "sum(cost_delay_risk_score)"}
+    charts = {
+        "actual_cost": _chart(view, _money("actual_cost")),
+        "cost_variance": _chart(view, {"cost_variance": "sum(cost_variance)"}),
+        "cost_per_delivery": _chart(view, {"cost_per_delivery": "sum(cost_per_delivery)"}),
+        "cost_breakdown": _chart(view, breakdown, "business_date"),
+        "route_cost": _chart(view, ROUTE_COST, "route_id, region"),
+        "warehouse_cost": _chart(view, _money("actual_cost"), "warehouse_id, region"),
+        "route_risk": _chart(view, risk, "route_id, warehouse_id, region"),
+    }
+    return " UNION ALL BY NAME ".join(f"SELECT '{name}' AS chart, * FROM ({sql})" for name, sql in charts.items())
+
+
 def _trend(grain: str) -> str:
     return f"""
 SELECT *, delayed_deliveries / greatest(1, completed_deliveries + delayed_deliveries) AS delay_rate
@@ -557,6 +573,13 @@ def statements() -> dict[str, str]:
             ROUTE_COST,
             "route_id, region",
         ),
+        "bi_cost_dashboard": _dashboard("cost_performance"),
+        "bi_cost_dashboard_filtered": _dashboard(
+            """(SELECT * FROM cost_performance WHERE business_date >= DATE '1996-01-01' AND business_date < DATE '2006-01-01'
+                AND region IN ('EUROPE', 'MIDDLE EAST')
+                AND warehouse_id IN ('warehouse-3', 'warehouse-6', 'warehouse-9', 'warehouse-13', 'warehouse-19')
+                AND route_id IN ('route-EUROPE-0', 'route-EUROPE-1', 'route-MIDDLE EAST-0', 'route-MIDDLE EAST-5'))"""
+        ),
         "upsert_cost": _upsert(),
         "insert_absent": """
             SELECT delivery_id, shipment_id, vehicle_id, driver_id, route_id, event_timestamp FROM delivery_events
@@ -589,6 +612,7 @@ def statements() -> dict[str, str]:
               SELECT delivery_id, min(event_timestamp) FILTER (status = 'VEHICLE_DEPARTED') AS actual_departure_at,
                      min(event_timestamp) FILTER (status = 'DELIVERED') AS actual_arrival_at
               FROM delivery_events GROUP BY 1) USING (delivery_id)""",
+        "trends_all": " UNION ALL ".join(f"SELECT '{g}' AS grain, * FROM ({_trend(g)})" for g in ("day", "week", "month")),
         "trend_day": _trend("day"),
         "trend_week": _trend("week"),
         "trend_month": _trend("month"),

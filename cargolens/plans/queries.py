@@ -36,6 +36,12 @@ BATCH_DATE = date(1998, 9, 2)
 RETENTION_AS_OF = datetime(2001, 11, 1)
 TELEMETRY_AS_OF = datetime(2024, 1, 31)
 COST_HIGH_WATER = datetime(2000, 6, 1)
+#: A choice in each of the cost dashboard's filters.
+DASHBOARD_SELECTIONS = {
+    "region": ["EUROPE", "MIDDLE EAST"],
+    "warehouse_id": ["warehouse-3", "warehouse-6", "warehouse-9", "warehouse-13", "warehouse-19"],
+    "route_id": ["route-EUROPE-0", "route-EUROPE-1", "route-MIDDLE EAST-0", "route-MIDDLE EAST-5"],
+}
 SERVICE_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 TOP_K = 10
 
@@ -380,6 +386,21 @@ def bi_route_cost_limited(spark: SparkSession, sf: str) -> DataFrame:
     return bi.chart(cost_performance(spark, sf), bi.CHARTS["route_cost"], limit=bi.ROW_LIMIT)
 
 
+def _cost_charts() -> dict[str, bi.Chart]:
+    return {name: bi.CHARTS[name] for name in bi.DASHBOARDS["cost_and_routes"][0]}
+
+
+def bi_cost_dashboard(spark: SparkSession, sf: str) -> DataFrame:
+    """All charts of the cost dashboard from one pass over its view."""
+    return bi.dashboard(cost_performance(spark, sf), _cost_charts())
+
+
+def bi_cost_dashboard_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same under the dashboard's four filters."""
+    view = bi.apply_filters(cost_performance(spark, sf), start=date(1996, 1, 1), end=date(2006, 1, 1), selections=DASHBOARD_SELECTIONS)
+    return bi.dashboard(view, _cost_charts())
+
+
 def bi_filtered_cost(spark: SparkSession, sf: str) -> DataFrame:
     view = bi.apply_filters(
         cost_performance(spark, sf),
@@ -568,6 +589,8 @@ _BUILDERS: dict[str, Query] = {
     **{f"bi_{name}": _chart(name) for name in bi.CHARTS},
     "bi_cost_per_delivery_avg": bi_cost_per_delivery_avg,
     "bi_filtered_cost": bi_filtered_cost,
+    "bi_cost_dashboard": bi_cost_dashboard,
+    "bi_cost_dashboard_filtered": bi_cost_dashboard_filtered,
     "bi_route_cost_limited": bi_route_cost_limited,
     "upsert_cost": upsert_cost,
     "insert_absent": insert_absent,
@@ -579,6 +602,7 @@ _BUILDERS: dict[str, Query] = {
     "source_sample": source_sample,
     "source_trace": source_trace,
     "planned_vs_actual": planned_vs_actual,
+    "trends_all": lambda spark, sf: trends.trends(_enriched(spark, sf)),
     "trend_day": _trend("day"),
     "trend_week": _trend("week"),
     "trend_month": _trend("month"),

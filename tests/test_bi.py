@@ -59,3 +59,24 @@ def test_filters(spark):
     assert bi.apply_filters(df).count() == 6
     some = bi.apply_filters(df, start=date(2024, 1, 2), end=date(2024, 1, 3), selections={"region": ["n"], "route_id": []})
     assert [tuple(r) for r in some.collect()] == [(date(2024, 1, 2), "n", "r1")]
+
+
+ROWS = "business_date date, warehouse_id string, region string, route_id string, actual_cost bigint, cost_variance double, cost_per_delivery double"
+
+
+def test_a_dashboard_equals_its_charts(spark):
+    charts = {name: bi.CHARTS[name] for name in ("actual_cost", "cost_variance", "route_cost", "warehouse_cost")}
+    day = date(2024, 1, 1)
+    df = spark.createDataFrame(
+        [(day, "w1", "n", "r1", 1, 0.5, 2.0), (day, "w1", "n", None, 2, 0.25, 4.0), (day, None, None, None, 4, None, None), (day, "w2", "s", "r1", None, 1.0, 1.0)], ROWS
+    )
+    out = bi.dashboard(df, charts)
+    for name, spec in charts.items():
+        columns = [*spec.groupby, *spec.metrics]
+        got = out.where(F.col("chart") == name)
+        assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, bi.chart(df, spec).select(*columns).collect()))
+        rest = [c for c in out.columns if c not in ("chart", *columns)]
+        assert got.where(" OR ".join(f"{c} IS NOT NULL" for c in rest)).isEmpty()
+    assert bi.dashboard(df.limit(0), charts).isEmpty()
+    with pytest.raises(ValueError, match="delay_pivot"):
+        bi.dashboard(df, {"delay_pivot": bi.CHARTS["delay_pivot"]})

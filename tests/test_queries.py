@@ -61,6 +61,15 @@ def test_cost_charts_drop_the_branches_they_do_not_need(spark):
     assert text.count("lineitem.parquet") == 1 and "Join [business_date" not in text and "count(distinct" not in text
 
 
+def test_a_dashboard_reads_its_view_once(spark):
+    single, whole = plan(spark, "bi_route_risk"), plan(spark, "bi_cost_dashboard")
+    assert whole.count("lineitem.parquet") == single.count("lineitem.parquet") and whole.count("Expand") == 1
+    text = plan(spark, "trends_all")
+    assert text.count("lineitem.parquet") == plan(spark, "trend_day").count("lineitem.parquet") and text.count("Expand") == 1
+    lines = text.splitlines()
+    assert next(i for i, x in enumerate(lines) if "Exchange" in x) < next(i for i, x in enumerate(lines) if "partial_" in x)
+
+
 def test_no_query_plans_python_or_a_cross_join(spark):
     streams = {name for name in SQL if name.endswith("_stream")} | {"cost_gold_table", "history_layout", "cost_gold_incremental"}
     for name in sorted(set(SQL) - streams):
