@@ -184,6 +184,37 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert len(before[0]) == 3 and before[1][0][28] == "e2"
 
 
+def test_a_batch_is_neither_held_on_executors_nor_moved_when_dealt(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(*_):
+        raise AssertionError("a micro-batch is persisted")
+
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    tables = delivery.DeliveryTables(str(tmp_path))
+    rows = batch_of(spark, *[delivered(i, 10 + i, f"d{i % 3}") for i in range(8)], delivered(8, 9, schema_version=2)).repartition(4)
+    delivery.write_batch(rows, 0, tables, gather=False)
+    files = {f.rsplit("/", 1)[1][:10] for f in delivery.read_history(spark, tables).inputFiles()}
+    assert len(files) > 1  # each task wrote its own rows
+    assert delivery.read_history(spark, tables).count() == 8
+    assert [r["event_id"] for r in spark.read.parquet(tables.quarantine).collect()] == ["e8"]
+    assert sorted(r["last_event_id"] for r in delivery.read_delivery_state(spark, tables).collect()) == ["e5", "e6", "e7"]
+    # A batch without rows or without admitted rows leaves readable tables.
+    delivery.write_batch(rows.limit(0), 1, tables, gather=False)
+    delivery.write_batch(batch_of(spark, delivered(9, 9, schema_version=2)), 2, tables)
+    assert (delivery.read_history(spark, tables).count(), spark.read.parquet(tables.quarantine).count()) == (8, 2)
+
+
+def test_the_dealt_event_stream_holds_every_event(spark, sf_dir, monkeypatch):
+    from cargolens.sources import adapters
+    from cargolens.streaming.run import drain
+
+    monkeypatch.setattr(adapters, "EVENTS_PER_TASK", 5_000)
+    dealt, whole = drain(spark, adapters.delivery_event_stream(spark, sf_dir), "dealt-test"), adapters.delivery_events(spark, sf_dir)
+    assert sorted(dealt.columns) == sorted(whole.columns)
+    assert dealt.select(whole.columns).exceptAll(whole).isEmpty() and dealt.count() == whole.count()
+
+
 def test_compaction_keeps_the_latest_state_at_every_step(spark, tmp_path):
     tables = delivery.DeliveryTables(str(tmp_path))
     for i in range(4):
