@@ -46,6 +46,16 @@ def test_newer_state_is_never_overwritten_across_restarts(spark, tmp_path):
     assert state(spark, tmp_path) == {"a": third, "b": second[1], "c": second[2], None: first[3]}
 
 
+def test_state_without_a_time_to_live_passes_no_row_through_python(spark, tmp_path):
+    first = ("a", 5, "x", "first", AT, 1)
+    stream = feed(spark, tmp_path, [first], "0")
+    plan = keyed.latest(stream, ["k"], ["version", "tie"])._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "MapInArrow" not in plan
+    assert drained(stream, tmp_path) == [first]
+    assert drained(feed(spark, tmp_path, [("a", 5, "x", "equal in the order", AT, 2)], "1"), tmp_path) == []
+    assert state(spark, tmp_path) == {"a": first}
+
+
 def test_a_key_is_forgotten_after_its_time_to_live(spark, tmp_path):
     import time
 
