@@ -134,7 +134,8 @@ def _revised(rows: DataFrame) -> DataFrame:
             "actual_total_cost": more("actual_total_cost", 2),
         }
     )
-    return changed.unionByName(rows.where(kind == 3).withColumn("cost_id", F.concat(F.lit("extra-"), "cost_id")))
+    # The new rows alone are dealt by their new key; the others stay where they are.
+    return changed.unionByName(rows.where(kind == 3).withColumn("cost_id", F.concat(F.lit("extra-"), "cost_id")).repartition("cost_id"))
 
 
 def _with_month(rows: DataFrame) -> DataFrame:

@@ -107,3 +107,25 @@ def test_deviation_from_the_planned_way_by_hand(spark):
     assert deviation(spark, 1.0, 10.0, [(0.0, 10.0)])["deviation_km"] == pytest.approx(degree)
     assert tuple(deviation(spark, None, 10.0, along))[-2:] == (None, 0)
     assert tuple(trends.route_deviation(spark.createDataFrame([("x", 1.0, 1.0)], "delivery_id string, latitude double, longitude double"), spark.createDataFrame([("d", 0, 0.0, 0.0)], "delivery_id string, stop int, latitude double, longitude double"), 5.0).first())[-2:] == (None, 0)
+
+
+def test_a_feed_of_versions_dealt_by_key_shuffles_neither_again(spark):
+    keys = [None, "a", "b", "c"]
+    rows = spark.createDataFrame([(k, n) for n, k in enumerate(keys)], "k string, v int")
+    old, new = (df.repartition(8, "k") for df in (rows, rows.withColumn("v", F.when(F.col("k") == "b", 7).otherwise(F.col("v") + F.col("k").isNull().cast("int")))))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        feed = changes.change_feed(old, new, ["k"])
+        plan = feed._jdf.queryExecution().executedPlan().toString()
+        found = sorted((r["change"], r["k"] or "", r["v"]) for r in feed.collect())
+        applied = sorted((r["k"] or "", r["v"]) for r in changes.apply_feed(old, feed, ["k"]).collect())
+    finally:
+        spark.conf.set(key, before)
+    # One exchange of each version for the whole keys; the null-safe ones hold the rows with a null key only.
+    assert plan.count("Exchange hashpartitioning(k#") == 4 and plan.count("Exchange hashpartitioning(coalesce(k#") == 2
+    whole = plan[: plan.index("coalesce(k#")]
+    assert "Exchange hashpartitioning(k#" in whole
+    assert found == [("update_after", "", 1), ("update_after", "b", 7), ("update_before", "", 0), ("update_before", "b", 2)]
+    assert applied == [("", 1), ("a", 1), ("b", 7), ("c", 3)]
