@@ -98,6 +98,18 @@ def test_upsert_applied_twice_changes_nothing(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [("a", 5, 2), ("b", 6, 2)]
 
 
+def test_upsert_of_many_changes_gives_the_rows_of_upsert_of_few(spark):
+    schema = "id string, part int, day string, cost int, at int"
+    base = spark.createDataFrame([("a", 1, "mon", 1, 1), ("b", 1, "mon", 2, 1), ("b", 1, "tue", 3, 1), (None, 1, "wed", 4, 1), ("c", 1, None, None, None)], schema)
+    changes = spark.createDataFrame([("b", 1, "x", 20, 2), ("b", 1, "x", 15, 1), ("b", 2, "x", 6, 1), (None, 1, "x", 7, 2), ("a", 1, "x", None, 2), ("n", 1, None, None, 1)], schema)
+    few, many = ({tuple(r) for r in upsert(base, changes, ["id", "part"], ["cost", "at"], ["at"], few=f).collect()} for f in (True, False))
+    assert few == many
+    assert many == {
+        ("a", 1, "mon", None, 2), ("b", 1, "mon", 20, 2), ("b", 1, "tue", 20, 2), (None, 1, "wed", 4, 1), ("c", 1, None, None, None),
+        ("b", 2, "x", 6, 1), (None, 1, "x", 7, 2), ("n", 1, None, None, 1),
+    }
+
+
 def test_insert_absent_keeps_known_keys_out(spark):
     base = spark.createDataFrame([("a", 1)], "id string, at int")
     new = spark.createDataFrame([("a", 9), ("b", 1), ("b", 2)], base.schema)

@@ -87,3 +87,18 @@ def test_batch_date_filter_reaches_the_partition_scan(spark, tmp_path):
     view(spark, SMALL, "transportation_costs").limit(200).write.partitionBy("business_date").parquet(str(tmp_path / "t"))
     text = for_date(spark.read.parquet(str(tmp_path / "t")), date(1998, 9, 2))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(business_date" in text
+
+
+def test_the_cost_upsert_shuffles_the_table_once_and_the_return_trips_once(spark, sf_dir):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 16))  # the small tables only
+    try:
+        df = registered.registry()["upsert_cost"](spark, sf_dir)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    final = plan[: plan.index("Initial Plan")]
+    shuffles = [line for line in final.splitlines() if "+- Exchange hashpartitioning(" in line]
+    assert len(shuffles) == 2 and final.count("ReusedExchange [cost_id") == 1, final
