@@ -4,10 +4,12 @@
 """
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cargolens.plans import oracle
 from cargolens.plans import queries as registered
+from cargolens.sources import adapters
 from tests.check import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
@@ -102,3 +104,13 @@ def test_the_cost_upsert_shuffles_the_table_once_and_the_return_trips_once(spark
     final = plan[: plan.index("Initial Plan")]
     shuffles = [line for line in final.splitlines() if "+- Exchange hashpartitioning(" in line]
     assert len(shuffles) == 2 and final.count("ReusedExchange [cost_id") == 1, final
+
+
+@pytest.mark.parametrize("name", ["json_parse_events", "contract_split_json"])
+def test_json_is_made_and_parsed_by_as_many_tasks_as_there_are_events_for(spark, sf_dir, monkeypatch, name):
+    monkeypatch.setattr(adapters, "EVENTS_PER_TASK", 4000)
+    rows = []
+    monkeypatch.setattr(registered.parse, "delivery_json", lambda events, source, made=registered.parse.delivery_json: rows.append(events) or made(events, source))
+    registered.registry()[name](spark, sf_dir)
+    tasks = [r["n"] for r in rows[0].groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(tasks) == 15 and sum(tasks) == 60_000 and max(tasks) < 5000
