@@ -27,12 +27,27 @@ def _dot(a: tuple, b: tuple) -> Column:
     return a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
 
 
-def leg_km(lat: Column, lon: Column, from_lat: Column, from_lon: Column, to_lat: Column, to_lon: Column) -> Column:
-    """Distance of a point from the leg between two stops: from its great circle beside the leg, else from the nearer end."""
-    p, a, b = _vector(lat, lon), _vector(from_lat, from_lon), _vector(to_lat, to_lon)
-    pole = _cross(a, b)
-    length = F.sqrt(_dot(pole, pole))
+def place(lat: Column, lon: Column) -> Column:
+    """A point with its vector."""
+    x, y, z = _vector(lat, lon)
+    return F.struct(lat.alias("lat"), lon.alias("lon"), x.alias("x"), y.alias("y"), z.alias("z"))
+
+
+def leg(a: Column, b: Column) -> Column:
+    """Two places with the pole of the circle through them and its length, which do not depend on a point beside them."""
+    x, y, z = _cross(_of(a), _of(b))
+    pole = F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
+    return F.transform(F.array(pole), lambda p: F.struct(a.alias("a"), b.alias("b"), p.alias("pole"), F.sqrt(_dot(_of(p), _of(p))).alias("length")))[0]
+
+
+def _of(point: Column) -> tuple[Column, Column, Column]:
+    return point["x"], point["y"], point["z"]
+
+
+def to_leg_km(point: Column, way: Column) -> Column:
+    """Distance of a ``place`` from a ``leg``: from its great circle beside the leg, else from the nearer end."""
+    p, a, b, pole, length = _of(point), _of(way["a"]), _of(way["b"]), _of(way["pole"]), way["length"]
     beside = (length > 0) & (_dot(_cross(a, p), pole) >= 0) & (_dot(_cross(p, b), pole) >= 0)
     across = EARTH_RADIUS_KM * F.asin(F.abs(_dot(p, pole)) / F.greatest(length, F.abs(_dot(p, pole))))
-    ends = F.least(haversine_km(lat, lon, from_lat, from_lon), haversine_km(lat, lon, to_lat, to_lon))
-    return F.when(beside, across).otherwise(ends)
+    end = lambda s: haversine_km(point["lat"], point["lon"], way[s]["lat"], way[s]["lon"])
+    return F.when(beside, across).otherwise(F.least(end("a"), end("b")))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.geo import haversine_km, leg_km
+from cargolens.functions.geo import haversine_km, leg, place, to_leg_km
 from cargolens.functions.numbers import mean, ratio_or_zero
 from cargolens.operators.events import delay_rate
 
@@ -222,19 +222,19 @@ def route_deviation(positions: DataFrame, stops: DataFrame, deviation_km: float)
     is rounded before it is compared. A delivery with one stop is measured from that; without stops, or without a
     position, the distance is null and the position does not count as off the route.
     """
+    # A delivery's stops are few; positions meet them as one array and are not multiplied. What a leg has of its own is computed
+    # once per delivery, what a position has once per row, and only the rest for each pair.
     point = F.struct("stop", "latitude", "longitude")
-    # A delivery's stops are few; positions meet them as one array and are not multiplied.
     ways = stops.groupBy("delivery_id").agg(F.array_sort(F.collect_list(point)).alias("_stops"))
-    legs = F.when(F.size("_stops") == 1, F.array(F.struct(F.get("_stops", F.lit(0)).alias("a"), F.get("_stops", F.lit(0)).alias("b")))).otherwise(
+    ways = ways.select("delivery_id", F.transform("_stops", lambda s: place(s["latitude"], s["longitude"])).alias("_places"))
+    legs = F.when(F.size("_places") == 1, F.transform("_places", lambda a: leg(a, a))).otherwise(
         F.transform(
-            F.slice("_stops", F.lit(1), F.size("_stops") - 1),
-            lambda a, i: F.struct(a.alias("a"), F.get(F.col("_stops"), (i + 1).cast("int")).alias("b")),
+            F.slice("_places", F.lit(1), F.size("_places") - 1),
+            lambda a, i: leg(a, F.get(F.col("_places"), (i + 1).cast("int"))),
         )
     )
     ways = ways.select("delivery_id", legs.alias("_legs"))
-    far = F.transform(
-        "_legs",
-        lambda g: leg_km(F.col("latitude"), F.col("longitude"), g["a"]["latitude"], g["a"]["longitude"], g["b"]["latitude"], g["b"]["longitude"]),
-    )
-    measured = positions.join(ways, "delivery_id", "left").withColumn("deviation_km", F.array_min(far)).drop("_legs")
+    placed = positions.join(ways, "delivery_id", "left").withColumn("_place", place(F.col("latitude"), F.col("longitude")))
+    far = F.transform("_legs", lambda g: to_leg_km(F.col("_place"), g))
+    measured = placed.withColumn("deviation_km", F.array_min(far)).drop("_legs", "_place")
     return measured.withColumn("is_off_route", F.coalesce((F.col("deviation_km") > deviation_km).cast("int"), F.lit(0)))

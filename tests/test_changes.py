@@ -129,3 +129,13 @@ def test_a_feed_of_versions_dealt_by_key_shuffles_neither_again(spark):
     assert "Exchange hashpartitioning(k#" in whole
     assert found == [("update_after", "", 1), ("update_after", "b", 7), ("update_before", "", 0), ("update_before", "b", 2)]
     assert applied == [("", 1), ("a", 1), ("b", 7), ("c", 3)]
+
+
+def test_what_legs_and_positions_have_of_their_own_is_computed_once(spark):
+    where = spark.createDataFrame([("d", 1.0, 1.0)], "delivery_id string, latitude double, longitude double")
+    way = spark.createDataFrame([("d", 0, 0.0, 0.0), ("d", 1, 0.0, 2.0), ("d", 2, 2.0, 2.0)], "delivery_id string, stop int, latitude double, longitude double")
+    plan = trends.route_deviation(where, way, 5.0)._jdf.queryExecution().optimizedPlan().toString()
+    measuring = next(line for line in plan.splitlines() if "ASIN(" in line)
+    # The cosines of the two ends' distances; every vector comes from below.
+    assert measuring.count("COS(") == 8
+    assert plan.count("COS(") < 20
