@@ -104,3 +104,19 @@ def test_one_document_of_each_group_stays(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     assert {0, 1, 2, 3, 5} <= set(ids) and not {6, 7} & set(ids) and ids.count(5) == 1 and None not in ids
     assert ngram_join.one_of_each(no_documents(spark)).count() == 0
+
+
+def test_rows_whose_parity_differs_too_much_never_meet(spark):
+    random = np.random.default_rng(7)
+    sets = [np.unique(random.integers(0, 1 << 63, n, np.uint64)) for n in (300, 40, 1)]
+    sets += [sets[0][20:], np.zeros(0, np.uint64)]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    words = np.array(ngram_join.parity(np.concatenate(sets), bounds)).view(np.uint64).T
+    apart = lambda a, b: sum(int(w).bit_count() for w in words[a] ^ words[b])
+    assert all(apart(a, b) <= len(np.setxor1d(sets[a], sets[b])) for a in range(5) for b in range(5))
+    assert apart(2, 4) == 1 and 0 < apart(0, 3) <= 20 < apart(0, 1)
+    schema = "node long, n long, rest int, label long, column long, p0 long, p1 long, p2 long, p3 long"
+    left = spark.createDataFrame([(1, 45, 44, 1, 5, 0, 0, 0, 0)], schema)
+    right = spark.createDataFrame([(2, 45, 44, 2, 5, 0, 0, 0, 1023), (3, 45, 44, 3, 5, 0, 7, 0, 1023)], schema)
+    # 90 columns in all: linked sets differ in ten at most.
+    assert [tuple(r) for r in ngram_join.products(left, right).collect()] == [(1, 2)]
