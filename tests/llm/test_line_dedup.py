@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from cargolens.llm import line_dedup
 from tests.check import compare, duck
 from tests.llm.cases import DOCS, no_documents, odd_documents, odd_rows, words
@@ -118,3 +120,8 @@ def test_rows_are_numbered_anew_between_the_passes(spark, tmp_path, monkeypatch)
     finally:
         for name in ("maxPartitionBytes", "openCostInBytes"):
             spark.conf.unset(f"spark.sql.files.{name}")
+
+
+def test_lines_whose_parity_differs_too_much_make_no_pair(spark):
+    pairs = spark.createDataFrame([(9, 9, 0, 0, 7, 7), (9, 9, 0, 0, 0, 3), (9, 9, 0, 0, 0, 7), (9, 9, 2, 0, 7, 7), (9, 7, 0, 0, 7, 7)], "n_x int, n_y int, i_x int, i_y int, bits_x long, bits_y long")
+    assert [r[0] for r in pairs.select(F.expr(line_dedup.FITS)).collect()] == [True, True, False, False, False]
