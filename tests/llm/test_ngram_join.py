@@ -120,3 +120,36 @@ def test_rows_whose_parity_differs_too_much_never_meet(spark):
     right = spark.createDataFrame([(2, 45, 44, 2, 5, 0, 0, 0, 1023), (3, 45, 44, 3, 5, 0, 7, 0, 1023)], schema)
     # 90 columns in all: linked sets differ in ten at most.
     assert [tuple(r) for r in ngram_join.products(left, right).collect()] == [(1, 2)]
+
+
+def test_no_product_is_made_where_too_few_columns_follow(spark):
+    schema = "node long, n long, rest int, label long, column long, p0 long, p1 long, p2 long, p3 long"
+    row = lambda node, rest, column: (node, 45, rest, node, column, 0, 0, 0, 0)
+    left = spark.createDataFrame([row(1, 44, 5), row(1, 38, 6), row(1, 40, 7)], schema)
+    # 40 of 45 must be shared: 39 at a column and after it are too few on either side, however many columns precede.
+    right = spark.createDataFrame([row(2, 38, 5), row(3, 44, 6), row(4, 39, 7), row(5, 39, 5)], schema)
+    assert sorted(tuple(r) for r in ngram_join.products(left, right).collect()) == [(1, 4), (1, 5)]
+    assert sorted(tuple(r) for r in ngram_join.products(left, right, whole=False).collect()) == [(1, 2), (1, 3), (1, 4), (1, 5)]
+
+
+def test_a_loose_group_of_near_copies_is_joined_by_its_hubs(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(240):  # about half of the pairs link
+        w = list(base)
+        for at in rng.sample(range(0, 150, 5), rng.randint(1, 4)):
+            w[at] = f"v{rng.randrange(3)}"
+        rows.append((k, " ".join(w)))
+    made = []
+    products = ngram_join.products
+
+    def counted(left, right, *args, **more):
+        out = products(left, right, *args, **more)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "products", counted)
+    frame = spark.createDataFrame([(k, t, None, None, 0, "", "", 1) for k, t in rows], DOCS).repartition(6)
+    assert got(ngram_join.classes(frame)) == plain(rows)
+    assert sum(made) < 20 * len(rows)
