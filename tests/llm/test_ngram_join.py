@@ -154,3 +154,26 @@ def test_hubs_are_of_the_largest_component_and_differ_between_columns(spark):
     first, second = set(hubs(0)), set(hubs(1))
     assert first | second <= set(range(10, 20))
     assert 1 < len(first) <= ngram_join.HUBS < len(second)
+
+
+def test_large_sets_that_differ_too_much_are_not_fetched_whole(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 57, 1000)
+    # 900 columns that may be shared and 20 alone; of 1,840 columns linked sets differ in 204 at most.
+    sets = [(k, 920, [int(c) for c in base[k * at : k * at + 900]]) for k, at in ((0, 0), (1, 82), (2, 45), (3, 33))]
+    wide = ngram_join.wide_parity(spark.createDataFrame(sets, "node long, n long, columns array<long>"))
+    words = {r["node"]: [r[f"w{k}"] % (1 << 64) for k in range(ngram_join.WIDE)] for r in wide.collect()}
+    for node, _, columns in sets:
+        bits = [0] * ngram_join.WIDE
+        for c in columns:
+            bits[(c >> 6) % ngram_join.WIDE] ^= 1 << (c & 63)
+        assert words[node] == bits
+    assert {r["alone"] for r in wide.collect()} == {20}
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3), (1, 2), (2, 3)], "a long, b long")
+    kept = {tuple(r) for r in ngram_join.close(pairs, wide).collect()}
+    columns = {node: set(c) for node, _, c in sets}
+    for a, b in [tuple(r) for r in pairs.collect()]:
+        if 9 * (40 + len(columns[a] ^ columns[b])) <= 1840:
+            assert (a, b) in kept
+    far = spark.createDataFrame([(8, 920, [int(c) for c in rng.integers(0, 1 << 57, 900)]), sets[0]], "node long, n long, columns array<long>")
+    assert ngram_join.close(spark.createDataFrame([(0, 8)], "a long, b long"), ngram_join.wide_parity(far)).isEmpty()
