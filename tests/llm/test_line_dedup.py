@@ -125,3 +125,28 @@ def test_rows_are_numbered_anew_between_the_passes(spark, tmp_path, monkeypatch)
 def test_lines_whose_parity_differs_too_much_make_no_pair(spark):
     pairs = spark.createDataFrame([(9, 9, 0, 0, 7, 7), (9, 9, 0, 0, 0, 3), (9, 9, 0, 0, 0, 7), (9, 9, 2, 0, 7, 7), (9, 7, 0, 0, 7, 7)], "n_x int, n_y int, i_x int, i_y int, bits_x long, bits_y long")
     assert [r[0] for r in pairs.select(F.expr(line_dedup.FITS)).collect()] == [True, True, False, False, False]
+
+
+def test_only_lines_with_more_lone_runs_than_a_similar_line_may_lack_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SAMPLED", 256)  # all runs
+    base = [f"w{k}" for k in range(14)]
+    texts = [" ".join(base), " ".join(base + ["x"]), " ".join(base + ["y", "z", "u"]), " ".join(f"v{k}" for k in range(14)), "a b c d", "e  f\tg h i", "j k l m n " * 6]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(7, texts[3]), (8, "e f g h i")], "doc_id long, text string")
+    split = line_dedup.lines(frame, "doc_id", "text")
+    assert {r["plain"]: r["p"]["id"] for r in split.collect() if r["p"]["id"] == 5} == {"e f g h i": 5}
+    keys = {r["k1"]: r["plain"] for r in split.collect()}
+    # Of 10, 11 and 13 runs a similar line may lack 2; 0, 1 and 3 are in no other line. Copies are one line, and short lines have no runs.
+    # 26 runs, five of them different: they may lack 5.
+    assert {keys[r["k1"]] for r in line_dedup.unlike(split).collect()} == {texts[2], texts[3], "e f g h i"}
+
+
+def test_most_lines_unlike_all_others_get_no_token_set(spark, monkeypatch):
+    rng = random.Random(9)
+    some = lambda n: " ".join(f"{rng.randrange(10**6)}" for _ in range(n))
+    rows = [(k, "\n".join(some(40) for _ in range(10))) for k in range(30)]
+    rows += [(k + 30, rows[k][1].split("\n")[0] + " more\n" + some(40)) for k in range(5)]
+    wanted, bodies_of = [], line_dedup.bodies_of
+    monkeypatch.setattr(line_dedup, "bodies_of", lambda held, *rest: wanted.append(held.count()) or bodies_of(held, *rest))
+    out = got(line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert out == plain(rows)
+    assert 10 <= wanted[0] <= 80
