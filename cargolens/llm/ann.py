@@ -8,7 +8,8 @@ sqrt(1 - a*a) / a. A query is rotated alike and its coordinates are written as w
 ``SPREAD`` * factor * sqrt((1 - <s, q>**2) / (width - 1)) bounds its error but for a chance of about one in a thousand.
 
 The index (every vector with its code) is written in blocks; query blocks are sent to each index block, joined by block
-number, so index blocks stay whole and no key is hot. A first pass reranks the k best estimates of each block exactly, which gives
+number, so index blocks stay whole and no key is hot. They are always shuffled: Spark takes query blocks for as small as they are before they
+are sent to each index block, and would broadcast all the copies through the driver. A first pass reranks the k best estimates of each block exactly, which gives
 a threshold per query: the k-th best of all blocks. The second pass reranks, block by block, every vector whose estimate plus bound
 reaches it, however many there are, and keeps the k best of a block. Scores are exact cosines of the original vectors in double precision.
 
@@ -152,7 +153,11 @@ def nearest(vectors: DataFrame, queries: Column, k: int, key: str = "vec_id", em
     index = stage(packed(rows, n, dimensions, "c", INDEX_ROWS, True), "index")
     blocks = stage(packed(asked, n_asked, dimensions, "q", QUERY_ROWS, False), "queries")
     n_blocks = index.agg(F.max("c")).head()[0] + 1
-    spread = blocks.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+
+    def paired(asking: DataFrame) -> DataFrame:
+        """Every query block beside every index block."""
+        spread = asking.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+        return index.join(spread.hint("merge"), "c")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each pair of blocks the k best exact scores: of the k best estimates, or of all that may reach ``least``."""
@@ -184,13 +189,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int, key: str = "vec_id", em
 
     out = "q int, q_row long, query_id long, vec_id long, c_row long, score double"
     down = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "c_row")
-    first = index.join(spread, "c").mapInArrow(search, out).withColumn("rank", F.row_number().over(down))
+    first = paired(blocks).mapInArrow(search, out).withColumn("rank", F.row_number().over(down))
     # The k-th best score of a query so far: what scores less cannot be among its k nearest.
     known = first.where(F.col("rank") == k).select("q", "q_row", "score")
     least = known.groupBy("q").agg(F.collect_list(F.struct("q_row", "score")).alias("least"))  # as many as a block has queries
     bounded = stage(blocks.join(least, "q", "left"), "bounded")
-    spread = bounded.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    found = index.join(spread, "c").mapInArrow(search, out).withColumn("rank", F.row_number().over(down))
+    found = paired(bounded).mapInArrow(search, out).withColumn("rank", F.row_number().over(down))
     return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

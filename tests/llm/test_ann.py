@@ -108,3 +108,17 @@ def test_query_blocks_meet_index_blocks_by_block_number(spark, tmp_path):
     exchanges = [line for line in plan.splitlines() if "hashpartitioning(" in line]
     assert len(exchanges) == 3 and all("hashpartitioning(c#" in x or "hashpartitioning(q_row#" in x for x in exchanges)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_copies_of_query_blocks_are_never_broadcast(spark):
+    """Blocks are small, their copies for all index blocks are not, and Spark's size check sees the blocks only."""
+    draw = np.random.default_rng(4)
+    frame = spark.createDataFrame([(k, draw.standard_normal(4).tolist()) for k in range(40)], "vec_id long, embedding array<double>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        found = ann.nearest(frame, F.col("id") % 10 == 0, 3)
+        assert {q for q in by_query(found)} == {0, 10, 20, 30}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
