@@ -215,6 +215,37 @@ def test_the_dealt_event_stream_holds_every_event(spark, sf_dir, monkeypatch):
     assert dealt.select(whole.columns).exceptAll(whole).isEmpty() and dealt.count() == whole.count()
 
 
+def test_the_event_stream_holds_no_shuffle(spark, sf_dir, tmp_path):
+    from cargolens.sources import adapters
+
+    stream = adapters.delivery_event_stream(spark, sf_dir, f"{tmp_path}/arriving")
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "Repartition" not in plan and "orders" not in plan and "LeftOuter" not in plan
+    dealt = spark.read.parquet(f"{tmp_path}/arriving")
+    assert dealt.count() == adapters.table(spark, sf_dir, "lineitem").count()
+    assert not {"l_tax", "l_discount"} & set(dealt.columns)  # no event holds them
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    with adapters.file_per_task(spark):
+        assert spark.read.parquet(f"{tmp_path}/arriving").rdd.getNumPartitions() == len(dealt.inputFiles())
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_a_slice_is_written_in_passes_over_shares_of_its_keys(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(f"k{k % 7}" if k % 8 else None, k, f"n{k}") for k in range(50)], "k string, version int, note string")
+    want = sorted(map(str, slices.latest_by_key(rows, ["k"], ["version"]).collect()))
+    asked, latest, freed = [], slices.latest_by_key, []
+    monkeypatch.setattr(slices, "PASS_ROWS", 12)
+    monkeypatch.setattr(slices, "latest_by_key", lambda df, *a: (asked.append(df.count()), latest(df, *a))[1])
+    monkeypatch.setattr(slices, "free_shuffles", freed.append)
+    for _ in range(2):  # a replay replaces what is there
+        slices.write_latest_slice(rows, f"{tmp_path}/state", 3, ["k"], ["version"])
+        assert slices.slice_names(spark, f"{tmp_path}/state") == [slices.delta(3)]
+        assert sorted(map(str, spark.read.parquet(f"{tmp_path}/state").drop("slice").collect())) == want
+    assert len(asked) == 10 and sum(asked) == 100 and max(asked) < 50 and len(freed) == 10
+    slices.write_latest_slice(rows.limit(0), f"{tmp_path}/state", 4, ["k"], ["version"])
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/state").drop("slice").collect())) == want
+
+
 def test_compaction_keeps_the_latest_state_at_every_step(spark, tmp_path):
     tables = delivery.DeliveryTables(str(tmp_path))
     for i in range(4):
