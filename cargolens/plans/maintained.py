@@ -14,7 +14,7 @@ from cargolens.operators import telemetry as tm
 from cargolens.operators.latest import latest_by_key
 from cargolens.operators.parse import telemetry_json
 from cargolens.plans.incremental import Layer, refresh
-from cargolens.session import shared_dir
+from cargolens.session import free_shuffles, shared_dir
 from cargolens.sources import adapters
 from cargolens.sources.tables import SORT_KEYS
 from cargolens.streaming import fleet, keyed, seen, slices, upkeep, windows
@@ -32,13 +32,16 @@ def _telemetry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def arriving(parts: list[DataFrame], root: str, start: Callable[[DataFrame], list]) -> None:
-    """Hand the parts to a stream one after the other; it is stopped and started again for each."""
+    """Hand the parts to a stream one after the other; it is stopped and started again for each, and the part it has committed is removed."""
     spark, folder = parts[0].sparkSession, f"{root}/arriving"
     for k, part in enumerate(parts):
-        part.write.parquet(f"{folder}/{k}")
+        part.write.parquet(f"{folder}/{k}", compression="zstd")
+        free_shuffles(spark)
         stream = spark.readStream.schema(part.schema).option("recursiveFileLookup", "true").parquet(folder)
-        for query in start(stream):
-            query.awaitTermination()
+        done = [query.awaitTermination() for query in start(stream)]  # no name is left for a query, which holds its shuffle files
+        assert done
+        slices.remove(spark, f"{folder}/{k}")
+        free_shuffles(spark)
 
 
 def _corrected(spark: SparkSession, sf: str) -> windows.WindowTables:

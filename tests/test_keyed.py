@@ -56,6 +56,35 @@ def test_state_without_a_time_to_live_passes_no_row_through_python(spark, tmp_pa
     assert state(spark, tmp_path) == {"a": first}
 
 
+def test_the_state_holds_a_row_once_and_packed(spark, tmp_path):
+    rows = [("a", 5, "x", "first", AT, 1), (None, 7, None, None, None, None)]
+    drained(feed(spark, tmp_path, rows, "0"), tmp_path)
+    held = spark.read.format("statestore").option("path", f"{tmp_path}/checkpoint").load()
+
+    def leaves(kind):
+        return [x for f in kind.fields for x in (leaves(f.dataType) if hasattr(f.dataType, "fields") else [f.name])]
+
+    assert sorted(leaves(held.schema["value"].dataType)) == ["_batch", "_batch", "at", "n", "note", "tie", "version"]
+    assert state(spark, tmp_path) == {"a": rows[0], None: rows[1]}
+    before = spark.conf.get(keyed.PROVIDER, None)
+    with keyed.rocksdb(spark):
+        assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.compression") == "zstd"
+    assert spark.conf.get(keyed.PROVIDER, None) == before
+
+
+def test_a_part_is_gone_once_the_stream_has_taken_it(spark, tmp_path):
+    from cargolens.plans.maintained import arriving
+
+    taken = []
+
+    def start(stream):
+        writer = stream.writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint")
+        return [writer.foreachBatch(lambda df, _: taken.extend(r["id"] for r in df.collect())).trigger(availableNow=True).start()]
+
+    arriving([spark.range(k, k + 2) for k in (0, 2, 4)], str(tmp_path), start)
+    assert sorted(taken) == [0, 1, 2, 3, 4, 5] and not list((tmp_path / "arriving").iterdir())
+
+
 def test_a_key_is_forgotten_after_its_time_to_live(spark, tmp_path):
     import time
 
