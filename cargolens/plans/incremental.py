@@ -6,7 +6,7 @@ the touched partitions those of its rows: only these are read and replaced, in t
 aggregate. A partition that loses its last row is removed.
 
 New contents are written beside the tables first and swapped in by partition. A run that breaks off is repeated with the
-same feed: applying it again changes nothing.
+same feed: applying it again changes nothing. The shuffle files of each step go before the next one.
 """
 
 from __future__ import annotations
@@ -20,9 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolens.operators.changes import apply_feed
+from cargolens.session import free_shuffles
 from cargolens.streaming import slices
 
 
+def _write(rows: DataFrame, partition: str, path: str) -> None:
+    rows.hint("rebalance", partition).write.partitionBy(partition).parquet(path, compression="zstd")
+    free_shuffles(rows.sparkSession)
+
+
 @dataclass(frozen=True)
 class Layer:
     """A file table: its folder, and the column that partitions it."""
@@ -31,7 +37,7 @@ class Layer:
     partition: str
 
     def create(self, rows: DataFrame) -> None:
-        rows.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(self.path)
+        _write(rows, self.partition, self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
@@ -50,12 +56,13 @@ class Layer:
         """Make ``rows`` the contents of some partitions."""
         spark = rows.sparkSession
         staged = f"{self.path}__swap_{uuid.uuid4().hex[:8]}"
-        rows.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(staged)
+        _write(rows, self.partition, staged)
         filled = set(slices.folder_values(spark, staged, self.partition))
         if filled:
             whole = spark.read.schema(rows.schema).parquet(staged)
-            writer = whole.hint("rebalance", self.partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(self.partition).parquet(self.path)
+            # Staged files are of one partition and of a good size each: they are copied as they lie.
+            writer = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(self.partition).parquet(self.path, compression="zstd")
         for value in {str(v) for v in values} - filled:
             slices.remove(spark, self.folder(value))
         slices.remove(spark, staged)
@@ -89,9 +96,13 @@ def refresh(
     detail.replace(rows.select(*[c for c in schema.fieldNames() if c != detail.partition], detail.partition), values)
     touched = feed.select(*groups).distinct()
     current = detail.some(spark, values, schema)
-    fresh = build(current.join(touched, _like(current, touched, groups), "left_semi"))
     shape = result.read(spark).schema
+    fresh = build(current.join(touched, _like(current, touched, groups), "left_semi")).select(*shape.fieldNames())
+    staged = f"{result.path}__fresh_{uuid.uuid4().hex[:8]}"
+    fresh.write.partitionBy(result.partition).parquet(staged, compression="zstd")
+    free_shuffles(spark)
     known = result.some(spark, values, shape)
     untouched = known.join(touched, _like(known, touched, groups), "left_anti")
-    result.replace(untouched.unionByName(fresh.select(*shape.fieldNames())), values)
+    result.replace(untouched.unionByName(spark.read.schema(fresh.schema).parquet(staged)), values)
+    slices.remove(spark, staged)
     return values

@@ -167,12 +167,19 @@ def _gold(rows: DataFrame) -> DataFrame:
 def cost_gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Gold of the old version, brought up to date from the feed: only the months it touches are read and replaced."""
     root = shared_dir(spark, "incremental")
-    old, new = (_with_month(v) for v in _versions(spark, sf))
+    current = lambda rows: latest_by_key(rows, COST_KEY, COST_ORDER)
     detail, gold = Layer(f"{root}/costs", "month"), Layer(f"{root}/gold", "month")
-    detail.create(old)
+    taken = f"{root}/taken"  # written once more, so that only one shuffle of whole rows is there at a time
+    current(adapters.view(spark, sf, "transportation_costs")).write.parquet(taken, compression="zstd")
+    free_shuffles(spark)
+    detail.create(_with_month(spark.read.parquet(taken)))
+    slices.remove(spark, taken)
     gold.create(_gold(detail.read(spark)))
-    feed = changes.change_feed(detail.read(spark), new, COST_KEY)
-    feed.write.parquet(f"{root}/feed")
+    # Both versions come from one shuffle of the table by its key.
+    old = current(detail.read(spark).drop("month"))
+    feed = changes.change_feed(_with_month(old), _with_month(_revised(old)), COST_KEY)
+    feed.write.parquet(f"{root}/feed", compression="zstd")
+    free_shuffles(spark)
     feed = spark.read.schema(feed.schema).parquet(f"{root}/feed")
     refresh(spark, feed, detail, gold, keys=COST_KEY, groups=[*ev.ROUTE_KEYS, "month"], build=_gold)
     return gold.read(spark).drop("month")

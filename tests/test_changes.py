@@ -70,6 +70,24 @@ def test_refresh_equals_a_full_run_and_reads_touched_partitions_only(spark, tmp_
     assert refresh(spark, feed.where("false"), detail, result, keys=["id"], groups=["month", "region"], build=total) == []
 
 
+def test_partitions_are_swapped_in_without_another_shuffle_and_each_step_frees_its_own(spark, tmp_path, versions, monkeypatch):
+    from cargolens.plans import incremental
+
+    old, new = versions
+    detail, result = Layer(f"{tmp_path}/detail", "month"), Layer(f"{tmp_path}/result", "month")
+    shuffled, freed, write = [], [], incremental._write
+    monkeypatch.setattr(incremental, "_write", lambda df, *a: (shuffled.append(a[-1]), write(df, *a))[1])
+    monkeypatch.setattr(incremental, "free_shuffles", freed.append)
+    detail.create(old)
+    result.create(total(old))
+    feed = changes.change_feed(old, new, ["id"])
+    refresh(spark, feed, detail, result, keys=["id"], groups=["month", "region"], build=total)
+    assert shuffled[:2] == [detail.path, result.path] and ["__swap_" in s for s in shuffled[2:]] == [True, True]
+    assert len(freed) == 5  # every write that shuffles
+    assert sorted(p.name for p in tmp_path.iterdir() if p.name.startswith(("detail", "result"))) == ["detail", "result"]
+    assert rows(detail.read(spark).select("id", "cost")) == rows(new.select("id", "cost"))
+
+
 AT = datetime(2024, 1, 1, 10)
 
 
